@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions import exprs as E
-from .ordered import group_median
+from .ordered import group_median, materialize
 
 SIG = {ch: f"sig_{ch}" for ch in K.CHANNELS}
 
@@ -60,7 +60,10 @@ def with_masks(sig: DataFrame, tiers: DataFrame, by) -> DataFrame:
     base = (F.when(F.col("n_base_ic") > 0, a & t.isin("I", "C")).when(F.col("n_allowed") > 0, a)
             .otherwise(F.lit(True)))
     target = (F.when(F.col("n_rel") > 0, a & (t == "R")).when(F.col("n_allowed") > 0, a).otherwise(F.lit(True)))
-    return j.withColumn("in_baseline", base).withColumn("in_target", target)
+    n_base = (F.when(F.col("n_base_ic") > 0, F.col("n_base_ic")).when(F.col("n_allowed") > 0, F.col("n_allowed"))
+              .otherwise(F.col("n_items")))
+    return (j.withColumn("in_baseline", base).withColumn("in_target", target)
+            .withColumn("n_baseline", n_base))
 
 
 def robust_stats(masked: DataFrame, by) -> DataFrame:
@@ -68,11 +71,11 @@ def robust_stats(masked: DataFrame, by) -> DataFrame:
     population sd, else 1 (over baseline rows). One row per test, wide."""
     by = _by(by)
     keys = by + ["channel"]
-    long = (masked.where("in_baseline").select(*by, *SIG.values())
-            .unpivot(by, list(SIG.values()), "channel", "x"))
-    centre = group_median(long, keys, "x", "centre")
-    dev = long.join(centre, keys).select(*keys, F.abs(F.col("x") - F.col("centre")).alias("dev"))
-    mad = group_median(dev, keys, "dev", "mad")
+    long = (masked.where("in_baseline").select(*by, "n_baseline", *SIG.values())
+            .unpivot(by + ["n_baseline"], list(SIG.values()), "channel", "x"))
+    centre = group_median(long, keys, "x", "centre", size_col="n_baseline")
+    dev = long.join(centre, keys).select(*keys, "n_baseline", F.abs(F.col("x") - F.col("centre")).alias("dev"))
+    mad = group_median(dev, keys, "dev", "mad", size_col="n_baseline")
     sd = long.groupBy(*keys).agg(F.stddev_pop("x").alias("sd"))
     st = centre.join(mad, keys, "left").join(sd, keys, "left")
     robust = F.col("mad") * K.MAD_FACTOR
@@ -149,7 +152,7 @@ def evidence(df: DataFrame) -> DataFrame:
 def score_direct(stim: DataFrame, by="test_id", within_group: bool = False) -> DataFrame:
     """JOB4 row level: every stimulus with signals, z, deltas, probability."""
     sig = signals(stim)
-    masked = with_masks(sig, test_tiers(sig, by), by)
+    masked = materialize(with_masks(sig, test_tiers(sig, by), by))
     z = robust_z(masked, by)
     return evidence(nearest_reference(z, by, within_group))
 

@@ -111,15 +111,50 @@ def ordered_scan(df: DataFrame, group_cols: list[str], order: list[Column],
                     *[offs["tot_" + w] for w in weights])
 
 
-def group_median(df: DataFrame, group_cols: list[str], value: str, out: str = "median") -> DataFrame:
-    """Exact median (mean of the two middle values for even counts) of the
-    non-null ``value`` per group, one row per group that has a value."""
-    d = df.select(*group_cols, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and continue from the
+    files: cuts lineage (executor loss re-reads instead of recomputing) and
+    stops multi-branch plans from recomputing their common input."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+# Largest group whose exact median is computed by Spark's own aggregate in one
+# task (its buffer holds the group's distinct values). Bigger groups are
+# split across tasks by the range-partitioned scan.
+MEDIAN_GROUP_LIMIT = 1_000_000
+
+
+def _median_scan(d: DataFrame, group_cols: list[str], out: str) -> DataFrame:
     s = ordered_scan(d, group_cols, [F.col("_v").asc()])
     mid = s.where((F.col("_pos") == F.floor((F.col("_gn") - 1) / 2)) | (F.col("_pos") == F.floor(F.col("_gn") / 2)))
     return mid.groupBy(*group_cols).agg(F.avg("_v").alias(out))
 
 
+def group_median(df: DataFrame, group_cols: list[str], value: str, out: str = "median",
+                 size_col: str | None = None, limit: int | None = None) -> DataFrame:
+    """Exact median (interpolated midpoint for even counts) of the non-null
+    ``value`` per group; one row per group that has a value.
+
+    ``size_col`` (optional) is an upper bound of the group's row count carried
+    on every row (e.g. a per-test count joined earlier). Groups within
+    ``limit`` use the built-in ``median`` aggregate; larger ones go through the
+    skew-safe ordered scan. Without ``size_col`` the sizes are counted first.
+    """
+    limit = MEDIAN_GROUP_LIMIT if limit is None else limit
+    d = df.select(*group_cols, F.col(value).cast("double").alias("_v"),
+                  *([F.col(size_col).alias("_sz")] if size_col else [])).where(F.col("_v").isNotNull())
+    if size_col is None:
+        sizes = d.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_sz")).select(
+            *[F.col(c).alias("_k_" + c) for c in group_cols], "_sz")
+        d = d.join(sizes, [d[c].eqNullSafe(sizes["_k_" + c]) for c in group_cols]).select(
+            *[d[c] for c in group_cols], d["_v"], sizes["_sz"])
+    small = d.where(F.col("_sz") <= limit).groupBy(*group_cols).agg(F.median("_v").alias(out))
+    if d.where(F.col("_sz") > limit).isEmpty():
+        return small
+    return small.unionByName(_median_scan(d.where(F.col("_sz") > limit).drop("_sz"), group_cols, out))
+
+
 def global_rank(df: DataFrame, order: list[Column], out: str = "rank") -> DataFrame:
     """0-based position of every row in a global order (use on distinct keys
     to get a dense rank) without a single-partition window."""

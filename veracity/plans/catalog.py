@@ -17,9 +17,15 @@ from .fixtures import fixture
 DIGITS = 6
 
 
+TIE_BIAS = 3e-11  # far above float noise, far below the rounding step
+
+
 def rnd(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    """Round every double column (both engines round identically at the end)."""
-    return df.select(*[F.round(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, (T.DoubleType, T.FloatType))
+    """Round every double column for cross-engine comparison. Values that are
+    exact decimal halves at digit ``digits+1`` would otherwise round either way
+    depending on summation order; a tiny bias puts both engines on one side."""
+    return df.select(*[(F.round(F.col(f.name) + TIE_BIAS, digits) + 0.0).alias(f.name)
+                       if isinstance(f.dataType, (T.DoubleType, T.FloatType))
                        else F.col(f.name) for f in df.schema.fields])
 
 
@@ -77,6 +83,93 @@ def q_direct_summary(spark, sf):
 
 def oracles() -> dict[str, str]:
     from .oracle_direct import direct_oracles
+    from .oracle_long import long_oracles
     out = {}
     out.update(direct_oracles())
+    out.update(long_oracles())
     return out
+
+
+# ---------------------------------------------------------------- features (F_LONG)
+from ..operators import features as FE  # noqa: E402
+
+
+def raw_long(spark, sf):
+    return fixture(spark, sf, "f_long").drop("event_id")
+
+
+def long_table(spark, sf):
+    return FE.build_long(raw_long(spark, sf))
+
+
+def wide_table(spark, sf):
+    return FE.build_features(long_table(spark, sf))
+
+
+@register("source_union")
+def q_source_union(spark, sf):
+    r = raw_long(spark, sf)
+    return rnd(FE.source_union(r.where("source_type = 'docx'"), r.where("source_type = 'xdex'")))
+
+
+@register("question_code_fill")
+def q_question_code_fill(spark, sf):
+    r = raw_long(spark, sf)
+    df = (r.withColumn("parameter_norm", FE.E.normalize_parameter("parameter"))
+          .where(~F.col("parameter_norm").isin(*K.JUNK_PARAMETERS)))
+    return FE.question_numbering(df)
+
+
+@register("long_dedupe")
+def q_long_dedupe(spark, sf):
+    return rnd(long_table(spark, sf))
+
+
+def _wide_select(spark, sf, pred):
+    w = wide_table(spark, sf)
+    return rnd(w.select(*FE.ID_COLS, *[c for c in w.columns if pred(c)]))
+
+
+@register("feature_scores")
+def q_feature_scores(spark, sf):
+    return _wide_select(spark, sf, lambda c: c == "score_result")
+
+
+@register("feature_meta_first")
+def q_feature_meta_first(spark, sf):
+    return _wide_select(spark, sf, lambda c: c in FE.META_COLS)
+
+
+@register("feature_pivot")
+def q_feature_pivot(spark, sf):
+    return _wide_select(spark, sf, lambda c: (c.startswith("i_") or c.startswith("ii_")) and "_neutral_" not in c)
+
+
+@register("feature_ratios")
+def q_feature_ratios(spark, sf):
+    return _wide_select(spark, sf, lambda c: c.startswith("ratio_ii_i_"))
+
+
+@register("neutral_zscores")
+def q_neutral_zscores(spark, sf):
+    return _wide_select(spark, sf, lambda c: c.endswith(("_neutral_mean", "_neutral_std", "_vs_neutral")))
+
+
+@register("surrogate_labels")
+def q_surrogate_labels(spark, sf):
+    return _wide_select(spark, sf, lambda c: c.startswith("label_"))
+
+
+@register("type_flags")
+def q_type_flags(spark, sf):
+    return _wide_select(spark, sf, lambda c: c.startswith("is_") and c.endswith("_q"))
+
+
+@register("feature_column_stats")
+def q_feature_column_stats(spark, sf):
+    return FE.feature_column_stats(wide_table(spark, sf), "label_bootstrap")
+
+
+@register("top_channels")
+def q_top_channels(spark, sf):
+    return rnd(FE.top_channels(wide_table(spark, sf)).withColumn("rank", F.col("rank").cast("int")))

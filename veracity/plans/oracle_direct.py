@@ -7,7 +7,7 @@ R = 6  # decimals every double is rounded to, on both sides
 
 
 def rd(x: str) -> str:
-    return f"(round(CAST({x} AS DOUBLE), {R}) + 0.0)"
+    return f"(round(CAST({x} AS DOUBLE) + 3e-11, {R}) + 0.0)"
 
 
 DIRECT_CTES = duck_ctes("f_stim") + """,
