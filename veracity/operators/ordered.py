@@ -39,9 +39,12 @@ def _same(a, b) -> bool:
     return True
 
 
-def _local_scan(group_cols: list[str], weight_cols: list[str]):
+def _local_scan(group_cols: list[str], weight_cols: list[str], carry_cols: list[str] | None = None):
+    carry_cols = carry_cols or []
+
     def fn(batches):
         carry_key, carry_pos, carry_sums = None, -1, [0.0] * len(weight_cols)
+        carry_last = [None] * len(carry_cols)
         for pdf in batches:
             n = len(pdf)
             if n == 0:
@@ -65,6 +68,14 @@ def _local_scan(group_cols: list[str], weight_cols: list[str]):
                 cs[cont] += carry_sums[i]
                 out["_lcum_" + w] = cs
                 carry_sums[i] = float(cs[-1])
+            for i, c in enumerate(carry_cols):
+                v = pdf[c].astype(object).where(pdf[c].notna(), None)
+                filled = v.groupby(seg).ffill()
+                if carry_last[i] is not None:
+                    filled = filled.where(~(pd.Series(cont) & filled.isna()), carry_last[i])
+                out["_ff_" + c] = filled
+                last = filled.iloc[-1]
+                carry_last[i] = None if pd.isna(last) else last
             carry_key = tuple(pdf[c].iloc[-1] for c in group_cols)
             carry_pos = int(pos[-1])
             yield out
@@ -72,29 +83,34 @@ def _local_scan(group_cols: list[str], weight_cols: list[str]):
 
 
 def ordered_scan(df: DataFrame, group_cols: list[str], order: list[Column],
-                 weights: list[str] | None = None, num_partitions: int | None = None) -> DataFrame:
+                 weights: list[str] | None = None, carry: list[str] | None = None,
+                 num_partitions: int | None = None) -> DataFrame:
     """Add ``_pos`` (0-based position inside the group in ``order``), ``_gn``
-    (group size) and for each weight column ``w``: ``cum_w`` (inclusive running
-    sum in order) and ``tot_w`` (group total).
+    (group size); for each weight column ``w``: ``cum_w`` (inclusive running
+    sum in order) and ``tot_w`` (group total); for each carry column ``c``:
+    ``ffill_c`` (last non-null value of ``c`` up to and including the row).
 
     ``order`` are sort expressions (``F.col(x).desc()`` ...). Positions among
     equal sort keys are arbitrary but consistent.
     """
-    weights = list(weights or [])
+    weights, carry = list(weights or []), list(carry or [])
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c).asc_nulls_first() for c in group_cols] + list(order)
     ensure_checkpoint_dir(spark)
     sorted_df = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
                  .withColumn("_pid", F.spark_partition_id())).checkpoint(eager=True)
+    types = {f.name: f.dataType for f in df.schema.fields}
     out_schema = T.StructType(
         sorted_df.schema.fields + [T.StructField("_lpos", T.LongType())]
-        + [T.StructField("_lcum_" + w, T.DoubleType()) for w in weights])
-    scanned = sorted_df.mapInPandas(_local_scan(group_cols, weights), out_schema)
-
-    part_aggs = [F.count(F.lit(1)).alias("_pn")] + [F.sum(F.coalesce(F.col(w).cast("double"), F.lit(0.0))).alias("_ps_" + w)
-                                                      for w in weights]
-    tot = sorted_df.groupBy("_pid", *group_cols).agg(*part_aggs)
+        + [T.StructField("_lcum_" + w, T.DoubleType()) for w in weights]
+        + [T.StructField("_ff_" + c, types[c]) for c in carry])
+    scanned = sorted_df.mapInPandas(_local_scan(group_cols, weights, carry), out_schema)
+
+    part_aggs = [F.count(F.lit(1)).alias("_pn")]
+    part_aggs += [F.sum(F.coalesce(F.col(w).cast("double"), F.lit(0.0))).alias("_ps_" + w) for w in weights]
+    part_aggs += [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("_lpos"))).alias("_pl_" + c) for c in carry]
+    tot = (scanned if carry else sorted_df.withColumn("_lpos", F.lit(0))).groupBy("_pid", *group_cols).agg(*part_aggs)
     before = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*group_cols)
     offs = tot.select(
@@ -102,13 +118,54 @@ def ordered_scan(df: DataFrame, group_cols: list[str], order: list[Column],
         F.coalesce(F.sum("_pn").over(before), F.lit(0)).alias("_off"),
         F.sum("_pn").over(whole).alias("_gn"),
         *[F.coalesce(F.sum("_ps_" + w).over(before), F.lit(0.0)).alias("_offs_" + w) for w in weights],
-        *[F.sum("_ps_" + w).over(whole).alias("tot_" + w) for w in weights])
+        *[F.sum("_ps_" + w).over(whole).alias("tot_" + w) for w in weights],
+        *[F.last("_pl_" + c, ignorenulls=True).over(before).alias("_prev_" + c) for c in carry])
     cond = [scanned["_pid"] == offs["_pid"]] + [scanned[c].eqNullSafe(offs["_g_" + c]) for c in group_cols]
     j = scanned.join(offs, cond, "inner")
     cols = [scanned[c] for c in df.columns]
     return j.select(*cols, (scanned["_lpos"] + offs["_off"]).alias("_pos"), offs["_gn"],
                     *[(scanned["_lcum_" + w] + offs["_offs_" + w]).alias("cum_" + w) for w in weights],
-                    *[offs["tot_" + w] for w in weights])
+                    *[offs["tot_" + w] for w in weights],
+                    *[F.coalesce(scanned["_ff_" + c], offs["_prev_" + c]).alias("ffill_" + c) for c in carry])
+
+
+def groups_within(df: DataFrame, group_cols: list[str], limit: int) -> bool:
+    """True when no group has more than ``limit`` rows (one aggregate job,
+    partially aggregated, so a hot key costs nothing special)."""
+    if not group_cols:
+        return df.limit(limit + 1).count() <= limit
+    return df.groupBy(*group_cols).count().where(F.col("count") > limit).isEmpty()
+
+
+# Largest group a single task may hold for an ordered window (rows).
+WINDOW_GROUP_LIMIT = 1_000_000
+
+
+def carry_forward(df: DataFrame, group_cols: list[str], order: list[Column], cols: list[str],
+                  limit: int | None = None) -> DataFrame:
+    """Last non-null value of each of ``cols`` up to the row, per group in
+    ``order`` (``ffill_<c>`` columns). Groups within the bound use a plain
+    window; otherwise the range-partitioned scan."""
+    limit = WINDOW_GROUP_LIMIT if limit is None else limit
+    if groups_within(df, group_cols, limit):
+        w = Window.partitionBy(*group_cols).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return df.select("*", *[F.last(c, ignorenulls=True).over(w).alias("ffill_" + c) for c in cols])
+    s = ordered_scan(df, group_cols, order, carry=cols)
+    return s.drop("_pos", "_gn")
+
+
+def running_sums(df: DataFrame, group_cols: list[str], order: list[Column], weights: list[str],
+                 limit: int | None = None) -> DataFrame:
+    """Inclusive running sums ``cum_w`` and totals ``tot_w`` per group in
+    ``order`` (sort keys should be unique within a group)."""
+    limit = WINDOW_GROUP_LIMIT if limit is None else limit
+    if groups_within(df, group_cols, limit):
+        run = Window.partitionBy(*group_cols).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        whole = Window.partitionBy(*group_cols)
+        return df.select("*", *[F.sum(w).over(run).alias("cum_" + w) for w in weights],
+                         *[F.sum(w).over(whole).alias("tot_" + w) for w in weights])
+    s = ordered_scan(df, group_cols, order, weights=weights)
+    return s.drop("_pos", "_gn")
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -84,7 +84,9 @@ def q_direct_summary(spark, sf):
 def oracles() -> dict[str, str]:
     from .oracle_direct import direct_oracles
     from .oracle_long import long_oracles
+    from .oracle_verdicts import verdict_oracles
     out = {}
+    out.update(verdict_oracles())
     out.update(direct_oracles())
     out.update(long_oracles())
     return out
@@ -173,3 +175,100 @@ def q_feature_column_stats(spark, sf):
 @register("top_channels")
 def q_top_channels(spark, sf):
     return rnd(FE.top_channels(wide_table(spark, sf)).withColumn("rank", F.col("rank").cast("int")))
+
+
+# ---------------------------------------------------------------- verdicts (F_STIM)
+from ..operators import verdicts as V  # noqa: E402
+from ..functions import exprs as E  # noqa: E402
+
+
+def collapsed(spark, sf):
+    return V.collapse_questions(D.score_direct(stim(spark, sf)), threshold=K.DIRECT_LABEL_THRESHOLD)
+
+
+@register("question_collapse")
+def q_question_collapse(spark, sf):
+    return rnd(collapsed(spark, sf))
+
+
+@register("question_votes")
+def q_question_votes(spark, sf):
+    return rnd(V.question_votes(collapsed(spark, sf), K.DIRECT_LABEL_THRESHOLD))
+
+
+@register("verdict_blend")
+def q_verdict_blend(spark, sf):
+    scored = D.score_direct(stim(spark, sf))
+    q = V.collapse_questions(scored, threshold=K.DIRECT_LABEL_THRESHOLD)
+    return rnd(V.blend_verdicts(D.direct_summary(scored), V.question_votes(q, K.DIRECT_LABEL_THRESHOLD)))
+
+
+@register("melt_channels")
+def q_melt_channels(spark, sf):
+    return rnd(V.melt_channels(stim(spark, sf)))
+
+
+@register("degenerate_flag")
+def q_degenerate_flag(spark, sf):
+    return rnd(V.degenerate_flag(collapsed(spark, sf)))
+
+
+@register("prob_diagnostics")
+def q_prob_diagnostics(spark, sf):
+    return rnd(V.prob_diagnostics(collapsed(spark, sf)))
+
+
+@register("chart_points")
+def q_chart_points(spark, sf):
+    return rnd(V.chart_points(collapsed(spark, sf)))
+
+
+# ---------------------------------------------------------------- string/scalar expressions
+SCORE_JSON = """SELECT event_id,
+ '{"isManuallyChanged": ' || CASE WHEN k % 3 = 0 THEN 'true' ELSE 'false' END
+ || ', "manualValue": ' || CASE WHEN k % 6 = 0 THEN '"n/a"' ELSE '"' || CAST(k AS VARCHAR(20)) || '.5"' END
+ || CASE WHEN k % 4 = 0 THEN '' ELSE ', "autoValue": ' || CAST(k % 50 AS VARCHAR(20)) END
+ || CASE WHEN k % 5 = 0 THEN ', "value": "' || CAST(k AS VARCHAR(20)) || '"' ELSE '' END
+ || ', "automaticScorePoints": [{"value": ' || CAST(k % 10 AS VARCHAR(20)) || '}, {"value": "x"}, {"value": "'
+ || CAST(k % 7 AS VARCHAR(20)) || '.25"}]}' AS score_json
+FROM ev"""
+
+EXPECTED_SQL = """SELECT event_id, CASE k % 5 WHEN 0 THEN ' YES ' WHEN 1 THEN 'no' WHEN 2 THEN 'No ' WHEN 3 THEN 'maybe' END
+ AS waiting_answer_raw FROM ev"""
+
+
+def _ev_sql(spark, sf, body):
+    from .fixtures import EV_SPARK, table
+    body = body.replace("{", "{{").replace("}", "}}")  # literal braces survive spark.sql formatting
+    return spark.sql(f"WITH ev AS ({EV_SPARK}) {body}", events=table(spark, sf, "events"))
+
+
+@register("score_precedence")
+def q_score_precedence(spark, sf):
+    from ..schemas import SCORE_OBJECT
+    df = _ev_sql(spark, sf, SCORE_JSON)
+    return rnd(df.select("event_id", E.score_value(F.from_json("score_json", SCORE_OBJECT)).alias("score_value")))
+
+
+@register("expected_answer")
+def q_expected_answer(spark, sf):
+    df = _ev_sql(spark, sf, EXPECTED_SQL)
+    ea = E.expected_answer("waiting_answer_raw")
+    return df.select("event_id", "waiting_answer_raw", ea["label"].alias("waiting_answer_label"),
+                     ea["ru"].alias("waiting_answer_ru"))
+
+
+@register("proxy_score")
+def q_proxy_score(spark, sf):
+    return rnd(stim(spark, sf).select(*ROW, E.proxy_score().alias("proxy_score")))
+
+
+@register("recommendation_bands")
+def q_recommendation_bands(spark, sf):
+    s = D.score_direct(stim(spark, sf))
+    g = s.groupBy("test_id").agg(
+        F.avg(F.when(F.col("allowed") & (F.col("q_type") == "R"), F.col("deception_probability"))).alias("score"))
+    return rnd(g.select("test_id", "score",
+                        E.recommend("score", *K.ML_BANDS).alias("recommendation_ml"),
+                        E.recommend("score", *K.DIRECT_BANDS).alias("recommendation_direct"),
+                        E.recommend("score", *K.DIRECT_BANDS, missing=K.REC_INSUFFICIENT).alias("recommendation_vote")))
