@@ -85,7 +85,9 @@ def oracles() -> dict[str, str]:
     from .oracle_direct import direct_oracles
     from .oracle_long import long_oracles
     from .oracle_verdicts import verdict_oracles
+    from .oracle_metrics import metric_oracles
     out = {}
+    out.update(metric_oracles())
     out.update(verdict_oracles())
     out.update(direct_oracles())
     out.update(long_oracles())
@@ -272,3 +274,76 @@ def q_recommendation_bands(spark, sf):
                         E.recommend("score", *K.ML_BANDS).alias("recommendation_ml"),
                         E.recommend("score", *K.DIRECT_BANDS).alias("recommendation_direct"),
                         E.recommend("score", *K.DIRECT_BANDS, missing=K.REC_INSUFFICIENT).alias("recommendation_vote")))
+
+
+# ---------------------------------------------------------------- metrics (F_PRED)
+from ..operators import metrics as M  # noqa: E402
+
+FOLD_METRICS = ["f1", "pr_auc", "brier", "ece", "accuracy", "precision", "recall"]
+
+
+def pred(spark, sf):
+    return fixture(spark, sf, "f_pred").withColumn("y_pred", (F.col("y_prob") >= 0.5).cast("int"))
+
+
+@register("binary_metrics")
+def q_binary_metrics(spark, sf):
+    return rnd(M.binary_metrics(pred(spark, sf), by=["model", "fold"]))
+
+
+@register("brier_ece")
+def q_brier_ece(spark, sf):
+    return rnd(M.brier_ece(pred(spark, sf), by=["model", "fold"]))
+
+
+@register("average_precision")
+def q_average_precision(spark, sf):
+    return rnd(M.average_precision(pred(spark, sf), by=["model", "fold"]))
+
+
+@register("roc_auc")
+def q_roc_auc(spark, sf):
+    return rnd(M.roc_auc(pred(spark, sf), by=["model", "fold"]))
+
+
+@register("fold_ci")
+def q_fold_ci(spark, sf):
+    folds = M.eval_metrics(pred(spark, sf), by=["model", "fold"])
+    return rnd(M.fold_ci(folds, FOLD_METRICS, by=["model"]))
+
+
+@register("source_breakdown")
+def q_source_breakdown(spark, sf):
+    return rnd(M.eval_metrics(pred(spark, sf), by=["model", "source_type"]))
+
+
+@register("best_threshold")
+def q_best_threshold(spark, sf):
+    return rnd(M.best_threshold(pred(spark, sf), by=["model"]))
+
+
+def model_table(spark, sf):
+    """Per-model comparison row: folds 1-4 are development, fold 0 is holdout."""
+    p = pred(spark, sf)
+    dev, hold = p.where("fold <> 0"), p.where("fold = 0")
+    bt = M.best_threshold(dev, by=["model"]).withColumnRenamed("f1", "cv_f1_opt")
+    ap = M.average_precision(dev, by=["model", "fold"]).groupBy("model").agg(F.avg("pr_auc").alias("cv_pr_auc"))
+    h = hold.join(bt.select("model", "threshold"), "model").withColumn(
+        "y_pred_t", (F.col("y_prob") >= F.col("threshold")).cast("int"))
+    hf = M.binary_metrics(h, pred="y_pred_t", by=["model"]).select("model", F.col("f1").alias("holdout_f1"))
+    return bt.join(ap, "model", "left").join(hf, "model", "left")
+
+
+@register("model_ranking")
+def q_model_ranking(spark, sf):
+    return rnd(M.rank_models(model_table(spark, sf)))
+
+
+@register("ensemble_members")
+def q_ensemble_members(spark, sf):
+    return rnd(M.ensemble_members(M.rank_models(model_table(spark, sf))))
+
+
+@register("class_counts")
+def q_class_counts(spark, sf):
+    return M.class_counts(pred(spark, sf), by=["model"])
