@@ -86,7 +86,9 @@ def oracles() -> dict[str, str]:
     from .oracle_long import long_oracles
     from .oracle_verdicts import verdict_oracles
     from .oracle_metrics import metric_oracles
+    from .oracle_misc import misc_oracles
     out = {}
+    out.update(misc_oracles())
     out.update(metric_oracles())
     out.update(verdict_oracles())
     out.update(direct_oracles())
@@ -347,3 +349,56 @@ def q_ensemble_members(spark, sf):
 @register("class_counts")
 def q_class_counts(spark, sf):
     return M.class_counts(pred(spark, sf), by=["model"])
+
+
+# ---------------------------------------------------------------- feedback (F_FB)
+from ..operators import feedback as FB  # noqa: E402
+
+
+def fb(spark, sf):
+    return fixture(spark, sf, "f_fb")
+
+
+@register("review_labels")
+def q_review_labels(spark, sf):
+    return FB.with_review_labels(fb(spark, sf)).drop("created_at")
+
+
+@register("feedback_latest")
+def q_feedback_latest(spark, sf):
+    return FB.latest_feedback(FB.with_review_labels(fb(spark, sf))).drop("created_at")
+
+
+@register("feedback_overlay")
+def q_feedback_overlay(spark, sf):
+    latest = FB.latest_feedback(FB.with_review_labels(fb(spark, sf)))
+    o = FB.overlay(wide_table(spark, sf), latest)
+    return o.select(*FE.ID_COLS, "label_bootstrap", "label_expert", "label_train", "label_source_train")
+
+
+# ---------------------------------------------------------------- document cells (F_CELLS)
+from ..operators import cells as CE  # noqa: E402
+
+
+def cells(spark, sf):
+    return fixture(spark, sf, "f_cells")
+
+
+@register("cell_numbers")
+def q_cell_numbers(spark, sf):
+    c = cells(spark, sf)
+    return rnd(c.select("doc", "row_no", E.to_float("cell_i").alias("metric_i"),
+                        E.to_float("cell_result").alias("score_result")))
+
+
+@register("question_split")
+def q_question_split(spark, sf):
+    c = cells(spark, sf)
+    p = E.question_parts(F.col("cell_question"))
+    return c.select("doc", "row_no", "cell_question", p["code"].alias("question_code"),
+                    p["text"].alias("question_text"), p["type"].alias("question_type"))
+
+
+@register("carry_forward")
+def q_carry_forward(spark, sf):
+    return rnd(CE.interpret_rows(cells(spark, sf)))
