@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions import exprs as E
-from .ordered import group_median, materialize
+from .ordered import MEDIAN_GROUP_LIMIT, group_median, materialize
 
 SIG = {ch: f"sig_{ch}" for ch in K.CHANNELS}
 
@@ -73,9 +73,10 @@ def robust_stats(masked: DataFrame, by) -> DataFrame:
     keys = by + ["channel"]
     long = (masked.where("in_baseline").select(*by, "n_baseline", *SIG.values())
             .unpivot(by + ["n_baseline"], list(SIG.values()), "channel", "x"))
-    centre = group_median(long, keys, "x", "centre", size_col="n_baseline")
+    has_large = not masked.where(F.col("n_baseline") > MEDIAN_GROUP_LIMIT).isEmpty()
+    centre = group_median(long, keys, "x", "centre", size_col="n_baseline", has_large=has_large)
     dev = long.join(centre, keys).select(*keys, "n_baseline", F.abs(F.col("x") - F.col("centre")).alias("dev"))
-    mad = group_median(dev, keys, "dev", "mad", size_col="n_baseline")
+    mad = group_median(dev, keys, "dev", "mad", size_col="n_baseline", has_large=has_large)
     sd = long.groupBy(*keys).agg(F.stddev_pop("x").alias("sd"))
     st = centre.join(mad, keys, "left").join(sd, keys, "left")
     robust = F.col("mad") * K.MAD_FACTOR

@@ -189,7 +189,7 @@ def _median_scan(d: DataFrame, group_cols: list[str], out: str) -> DataFrame:
 
 
 def group_median(df: DataFrame, group_cols: list[str], value: str, out: str = "median",
-                 size_col: str | None = None, limit: int | None = None) -> DataFrame:
+                 size_col: str | None = None, limit: int | None = None, has_large: bool | None = None) -> DataFrame:
     """Exact median (interpolated midpoint for even counts) of the non-null
     ``value`` per group; one row per group that has a value.
 
@@ -197,6 +197,7 @@ def group_median(df: DataFrame, group_cols: list[str], value: str, out: str = "m
     on every row (e.g. a per-test count joined earlier). Groups within
     ``limit`` use the built-in ``median`` aggregate; larger ones go through the
     skew-safe ordered scan. Without ``size_col`` the sizes are counted first.
+    ``has_large`` lets a caller that already checked the sizes skip the check.
     """
     limit = MEDIAN_GROUP_LIMIT if limit is None else limit
     d = df.select(*group_cols, F.col(value).cast("double").alias("_v"),
@@ -207,13 +208,19 @@ def group_median(df: DataFrame, group_cols: list[str], value: str, out: str = "m
         d = d.join(sizes, [d[c].eqNullSafe(sizes["_k_" + c]) for c in group_cols]).select(
             *[d[c] for c in group_cols], d["_v"], sizes["_sz"])
     small = d.where(F.col("_sz") <= limit).groupBy(*group_cols).agg(F.median("_v").alias(out))
-    if d.where(F.col("_sz") > limit).isEmpty():
+    if has_large is None:
+        has_large = not d.where(F.col("_sz") > limit).isEmpty()
+    if not has_large:
         return small
     return small.unionByName(_median_scan(d.where(F.col("_sz") > limit).drop("_sz"), group_cols, out))
 
 
-def global_rank(df: DataFrame, order: list[Column], out: str = "rank") -> DataFrame:
+def global_rank(df: DataFrame, order: list[Column], out: str = "rank", limit: int | None = None) -> DataFrame:
     """0-based position of every row in a global order (use on distinct keys
-    to get a dense rank) without a single-partition window."""
+    to get a dense rank). Up to ``limit`` rows a single ordered window is
+    used (size checked first); beyond it the range-partitioned scan."""
+    limit = WINDOW_GROUP_LIMIT if limit is None else limit
+    if groups_within(df, [], limit):
+        return df.withColumn(out, F.row_number().over(Window.orderBy(*order)) - 1)
     s = ordered_scan(df, [], order)
     return s.withColumnRenamed("_pos", out).drop("_gn")
