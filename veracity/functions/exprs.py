@@ -99,7 +99,7 @@ def expected_answer(x) -> Column:
     w = F.lower(utrim(_c(x)))
     lab = F.when(w == "yes", K.EXPECTED_YES[0]).when(w == "no", K.EXPECTED_NO[0])
     ru = F.when(w == "yes", K.EXPECTED_YES[1]).when(w == "no", K.EXPECTED_NO[1])
-    return F.struct(lab.alias("label"), ru.alias("ru"))
+    return F.named_struct(F.lit("label"), lab, F.lit("ru"), ru)  # names survive inside lambdas
 
 
 def score_value(s) -> Column:
