@@ -83,12 +83,13 @@ def q_direct_summary(spark, sf):
 
 def oracles() -> dict[str, str]:
     from .oracle_direct import direct_oracles
-    from .oracle_long import long_oracles
+    from .oracle_long import long_oracles, ml_oracles
     from .oracle_verdicts import verdict_oracles
     from .oracle_metrics import metric_oracles
     from .oracle_misc import misc_oracles
     out = {}
     out.update(misc_oracles())
+    out.update(ml_oracles())
     out.update(metric_oracles())
     out.update(verdict_oracles())
     out.update(direct_oracles())
@@ -402,3 +403,59 @@ def q_question_split(spark, sf):
 @register("carry_forward")
 def q_carry_forward(spark, sf):
     return rnd(CE.interpret_rows(cells(spark, sf)))
+
+
+# ---------------------------------------------------------------- models (F_ML = wide F_LONG, label_bootstrap)
+from ..operators import ml as ML  # noqa: E402
+from . import jobs as J  # noqa: E402
+from ..operators.ordered import materialize  # noqa: E402
+
+ML_LABEL = "label_bootstrap"
+
+
+def ml_rows(spark, sf):
+    w = wide_table(spark, sf)
+    cols = FE.select_feature_columns(w, ML_LABEL)
+    lab = w.where(F.col(ML_LABEL).isNotNull()).withColumn(ML.LABEL, F.col(ML_LABEL).cast("int"))
+    return materialize(ML.feature_matrix(lab, cols)), cols
+
+
+@register("group_folds")
+def q_group_folds(spark, sf):
+    rows, _ = ml_rows(spark, sf)
+    out, _, _ = ML.assign_folds(rows, "test_id", ML.LABEL)
+    return out.select(*FE.ID_COLS, "fold")
+
+
+@register("group_holdout")
+def q_group_holdout(spark, sf):
+    rows, _ = ml_rows(spark, sf)
+    return ML.group_holdout(rows, "test_id", ML.LABEL).select(*FE.ID_COLS, "split")
+
+
+@register("impute_scale")
+def q_impute_scale(spark, sf):
+    rows, cols = ml_rows(spark, sf)
+    return rnd(ML.fit_impute_scale(rows, cols))
+
+
+def _fit_predict(spark, sf, spec):
+    rows, cols = ml_rows(spark, sf)
+    f = ML.fit(spec, rows, cols)
+    return rnd(ML.predict_proba(f, rows, "deception_probability").select(*FE.ID_COLS, "deception_probability"))
+
+
+@register("train_logreg")
+def q_train_logreg(spark, sf):
+    return _fit_predict(spark, sf, ML.build_models()[0])
+
+
+@register("train_forests")
+def q_train_forests(spark, sf):
+    return _fit_predict(spark, sf, ML.build_models(trees_scale=0.04)[1])
+
+
+@register("ensemble_predict")
+def q_ensemble_predict(spark, sf):
+    out = J.train(wide_table(spark, sf), label=ML_LABEL, trees_scale=0.04, model_names=["logreg", "random_forest"])
+    return rnd(out["predictions"].select(*FE.ID_COLS, "split", "deception_probability", "pred_label"))

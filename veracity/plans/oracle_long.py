@@ -105,3 +105,28 @@ def long_oracles() -> dict[str, str]:
       rk AS (SELECT *, CAST(row_number() OVER (PARTITION BY test_id ORDER BY mean_abs DESC NULLS LAST, channel) AS INTEGER) AS rank FROM ma)
       SELECT test_id, channel, {rd('mean_abs')} AS mean_abs, rank FROM rk WHERE rank <= 3"""
     return q
+
+
+def ml_oracles() -> dict[str, str]:
+    """impute_scale: selected features (PRJ2 rule), exact median over the
+    labelled rows, mean / population sd of the imputed column (sd 0 -> 1)."""
+    feats = (["is_allowed"] + [f"i_{c}" for c in CH] + [f"ii_{c}" for c in CH] + [f"ratio_ii_i_{c}" for c in CH]
+             + [x for c in CH for x in (f"i_{c}_neutral_mean", f"i_{c}_neutral_std")]
+             + [f"z_i_{c}_vs_neutral" for c in CH]
+             + ["is_control_q", "is_probable_lie_q", "is_neutral_q", "is_sacrifice_q"])
+    counts = ", ".join(f"count({f}) AS c_{f}" for f in feats)
+    sel = " UNION ALL ".join(f"SELECT '{f}' AS feature, c_{f} >= greatest(5, CAST(floor(n * 0.15) AS BIGINT)) AS ok FROM cnt"
+                            for f in feats)
+    per = " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, median(CAST({f} AS DOUBLE)) AS med FROM lab" for f in feats)
+    vals = " UNION ALL ".join(f"SELECT '{f}' AS feature, CAST({f} AS DOUBLE) AS x FROM lab" for f in feats)
+    return {"impute_scale": LONG_CTES + f""", cnt AS (SELECT count(*) AS n, {counts} FROM wide2),
+      selected AS ({sel}),
+      lab AS (SELECT * FROM wide2 WHERE label_bootstrap IS NOT NULL),
+      meds AS ({per}),
+      vals AS ({vals}),
+      imp AS (SELECT v.feature, coalesce(v.x, m.med, 0.0) AS xi FROM vals v JOIN meds m USING (feature)),
+      st AS (SELECT feature, avg(xi) AS mean, stddev_pop(xi) AS sd FROM imp GROUP BY feature)
+      SELECT s.feature, {rd('m.med')} AS median, {rd('s.mean')} AS mean,
+        {rd('CASE WHEN s.sd IS NULL OR s.sd = 0 THEN 1.0 ELSE s.sd END')} AS std
+      FROM st s JOIN meds m USING (feature) JOIN selected k USING (feature) WHERE k.ok"""}
