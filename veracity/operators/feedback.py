@@ -36,7 +36,10 @@ def latest_feedback(fb: DataFrame, keys: list[str] | None = None, ts: str = "cre
 
 def upsert_feedback(old: DataFrame | None, new: DataFrame) -> DataFrame:
     """SNK4: old log + new reviews -> one latest row per key."""
-    new = with_review_labels(new) if "expert_label" not in new.columns else new
+    if "expert_label" in new.columns and "expert_review" in new.columns:
+        new = new.withColumn("expert_label", F.coalesce(E.to_double("expert_label").cast("int"), E.review_label("expert_review")))
+    elif "expert_label" not in new.columns:
+        new = with_review_labels(new)
     allr = new if old is None else old.unionByName(new, allowMissingColumns=True)
     return latest_feedback(allr)
 
