@@ -164,3 +164,29 @@ def chart_points(q: DataFrame, by: list[str] | None = None) -> DataFrame:
     d = q.select(*by, "question_code", "deception_probability").dropna(subset=["question_code", "deception_probability"])
     w = Window.partitionBy(*by).orderBy(F.col("deception_probability").desc(), F.col("question_code"))
     return d.withColumn("rank", F.row_number().over(w).cast("int"))
+
+
+def attach_expected(pred: DataFrame, questions: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """JOIN7: expected-answer columns the prediction rows lack, from the
+    question table (one row per key: the first by ordinal). The key includes
+    the test, so questions of different tests never mix."""
+    keys = keys or ["test_id", "question_code"]
+    wanted = [c for c in ("waiting_answer_label", "waiting_answer_ru", "waiting_answer_raw")
+              if c not in pred.columns and c in questions.columns]
+    if not wanted:
+        return pred
+    order = next((c for c in ("order", "question_index") if c in questions.columns), None)
+    ordkey = F.col(order) if order else F.lit(0)
+    q = questions.groupBy(*keys).agg(F.min_by(F.struct(*wanted), ordkey).alias("_w")).select(*keys, "_w.*")
+    return pred.join(q, keys, "left")
+
+
+def review_sheet(df: DataFrame) -> DataFrame:
+    """PRJ8 + EXP20: review table with a suggested expert review per
+    question (expected answer, else the predicted label, else Truth)."""
+    lab = F.col("waiting_answer_label") if "waiting_answer_label" in df.columns else F.lit(None).cast("string")
+    raw = F.col("waiting_answer_raw") if "waiting_answer_raw" in df.columns else F.lit(None).cast("string")
+    pred = F.col("pred_label") if "pred_label" in df.columns else F.lit(None).cast("int")
+    keep = [c for c in ("test_id", "question_code", "question_raw", "question_type", "deception_probability", "pred_label")
+            if c in df.columns]
+    return df.select(*keep, E.default_review(lab, raw, pred).alias("expert_review"))

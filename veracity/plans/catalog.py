@@ -83,13 +83,14 @@ def q_direct_summary(spark, sf):
 
 def oracles() -> dict[str, str]:
     from .oracle_direct import direct_oracles
-    from .oracle_long import long_oracles, ml_oracles
+    from .oracle_long import long_oracles, ml_oracles, review_oracles
     from .oracle_verdicts import verdict_oracles
     from .oracle_metrics import metric_oracles
     from .oracle_misc import misc_oracles
     out = {}
     out.update(misc_oracles())
     out.update(ml_oracles())
+    out.update(review_oracles())
     out.update(metric_oracles())
     out.update(verdict_oracles())
     out.update(direct_oracles())
@@ -459,3 +460,10 @@ def q_train_forests(spark, sf):
 def q_ensemble_predict(spark, sf):
     out = J.train(wide_table(spark, sf), label=ML_LABEL, trees_scale=0.04, model_names=["logreg", "random_forest"])
     return rnd(out["predictions"].select(*FE.ID_COLS, "split", "deception_probability", "pred_label"))
+
+
+@register("review_defaults")
+def q_review_defaults(spark, sf):
+    w = wide_table(spark, sf).withColumn("pred_label", F.col("label_weak"))
+    return V.review_sheet(w).select("test_id", "question_code", "question_raw", "question_type", "pred_label",
+                                    "expert_review")

@@ -163,3 +163,29 @@ def score_uploads(features: DataFrame, members: list, threshold: float, cols: li
     per_q = pred.select(*[c for c in ("test_id", "question_code", "question_raw", "question_type", "deception_probability")
                           if c in pred.columns])
     return summary, per_q
+
+
+def run_pipeline(spark: SparkSession, docx_dir: str | None, xdex_dir: str | None, out_dir: str,
+                 trees_scale: float = 1.0, feedback: DataFrame | None = None) -> dict:
+    """JOB5: preprocess then train; tables, reports and bundle under out_dir."""
+    _, wide = run_preprocess(spark, docx_dir, xdex_dir, f"{out_dir}/processed")
+    return train(spark.read.parquet(f"{out_dir}/processed/features"), feedback=feedback, trees_scale=trees_scale,
+                 out_dir=out_dir)
+
+
+def feedback_retrain(spark: SparkSession, features: DataFrame, log_dir: str, reviews: DataFrame, out_dir: str,
+                     trees_scale: float = 1.0) -> dict:
+    """JOB8: fold new reviews into the feedback log, then retrain with it."""
+    log = TB.upsert_feedback_log(spark, log_dir, reviews)
+    return train(features, feedback=log, trees_scale=trees_scale, out_dir=out_dir)
+
+
+def predict_job(spark: SparkSession, features: DataFrame, bundle_dir: str, out_dir: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """JOB3/ML17: features + stored bundle -> predictions and per-test summary."""
+    manifest, members = ML.load_bundle(f"{bundle_dir}")
+    pred = predict(features, members, float(manifest["threshold"]), manifest["feature_cols"])
+    summ = ml_summary(pred)
+    if out_dir:
+        TB.write_table(pred, f"{out_dir}/predictions")
+        TB.write_summary(summ, f"{out_dir}/summary")
+    return pred, summ

@@ -130,3 +130,11 @@ def ml_oracles() -> dict[str, str]:
       SELECT s.feature, {rd('m.med')} AS median, {rd('s.mean')} AS mean,
         {rd('CASE WHEN s.sd IS NULL OR s.sd = 0 THEN 1.0 ELSE s.sd END')} AS std
       FROM st s JOIN meds m USING (feature) JOIN selected k USING (feature) WHERE k.ok"""}
+
+
+def review_oracles() -> dict[str, str]:
+    return {"review_defaults": LONG_CTES + """SELECT test_id, question_code, question_raw, question_type, label_weak AS pred_label,
+      coalesce(CASE trim(waiting_answer_label) WHEN 'Lie' THEN 'Lie' WHEN 'Truth' THEN 'Truth' END,
+               CASE lower(trim(waiting_answer_raw)) WHEN 'no' THEN 'Lie' WHEN 'yes' THEN 'Truth' END,
+               CASE WHEN label_weak = 1 THEN 'Lie' WHEN label_weak IS NOT NULL THEN 'Truth' END, 'Truth') AS expert_review
+      FROM wide2"""}
