@@ -173,3 +173,18 @@ def test_upload_adapter(spark):
         adapt_upload(bad)
     with pytest.raises(ValueError, match="Unsupported"):
         adapt_upload(spark.createDataFrame([(1,)], "a int"))
+
+
+def test_calibrated_forest_probabilities(spark):
+    rng = np.random.default_rng(2)
+    n = 300
+    x = rng.normal(size=n)
+    y = (x > 0).astype(int)
+    df = spark.createDataFrame(pd.DataFrame({"a": x, "b": rng.normal(size=n), "_label": y}))
+    spec = [s for s in ML.build_models(trees_scale=0.01) if s.calibrated][0]
+    f = ML.fit(spec, df, ["a", "b"])
+    p = ML.predict_proba(f, df, "p")
+    assert p.columns == ["a", "b", "_label", "p"]
+    pdf = p.toPandas()
+    assert pdf.p.between(0, 1).all() and pdf[pdf._label == 1].p.mean() > pdf[pdf._label == 0].p.mean() + 0.3
+    assert ML.feature_importance(f) == [("a", 0.0), ("b", 0.0)]

@@ -28,8 +28,9 @@ def collapse_questions(df: DataFrame, threshold: float = 0.5, keys: list[str] |
     order), mean scores, label = coalesce(p, 0) >= threshold."""
     keys = keys or [k for k in ("test_id", "question_code") if k in df.columns]
     order = [c for c in (order or ["stimulus_idx", "group_idx"]) if c in df.columns]
-    ordkey = F.struct(*[F.col(c) for c in order]) if order else F.monotonically_increasing_id()
     firsts = [c for c in FIRST_COLS if c in df.columns and c not in keys]
+    # without a stimulus order the tie-break is the row content (deterministic, documented)
+    ordkey = F.struct(*[F.col(c) for c in (order or firsts or [c for c in df.columns if c not in keys])])
     means = [c for c in MEAN_COLS if c in df.columns]
     aggs = [F.min_by(F.col(c), F.when(F.col(c).isNotNull(), ordkey)).alias(c) for c in firsts]
     aggs += [F.avg(c).alias(c) for c in means]

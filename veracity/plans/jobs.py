@@ -105,7 +105,7 @@ def train(features: DataFrame, label: str | None = None, feedback: DataFrame | N
 
 def predict(features: DataFrame, members: list, threshold: float, cols: list[str]) -> DataFrame:
     """JOB3 / ML17: ensemble probability + label for every feature row."""
-    p = ML.ensemble_probability(members, ML.feature_matrix(features, cols), "test_id")
+    p = ML.ensemble_probability(members, features, "test_id")
     return p.withColumn("pred_label", (F.col("deception_probability") >= threshold).cast("int"))
 
 
@@ -166,11 +166,11 @@ def score_uploads(features: DataFrame, members: list, threshold: float, cols: li
 
 
 def run_pipeline(spark: SparkSession, docx_dir: str | None, xdex_dir: str | None, out_dir: str,
-                 trees_scale: float = 1.0, feedback: DataFrame | None = None) -> dict:
+                 trees_scale: float = 1.0, feedback: DataFrame | None = None, model_names: list[str] | None = None) -> dict:
     """JOB5: preprocess then train; tables, reports and bundle under out_dir."""
-    _, wide = run_preprocess(spark, docx_dir, xdex_dir, f"{out_dir}/processed")
+    run_preprocess(spark, docx_dir, xdex_dir, f"{out_dir}/processed")
     return train(spark.read.parquet(f"{out_dir}/processed/features"), feedback=feedback, trees_scale=trees_scale,
-                 out_dir=out_dir)
+                 out_dir=out_dir, model_names=model_names)
 
 
 def feedback_retrain(spark: SparkSession, features: DataFrame, log_dir: str, reviews: DataFrame, out_dir: str,
