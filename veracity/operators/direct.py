@@ -154,7 +154,7 @@ def score_direct(stim: DataFrame, by="test_id", within_group: bool = False) -> D
     """JOB4 row level: every stimulus with signals, z, deltas, probability."""
     sig = signals(stim)
     masked = materialize(with_masks(sig, test_tiers(sig, by), by))
-    z = robust_z(masked, by)
+    z = materialize(robust_z(masked, by))
     return evidence(nearest_reference(z, by, within_group))
 
 

@@ -105,13 +105,13 @@ def roc_auc(df: DataFrame, y: str = "y_true", prob: str = "y_prob", by: list[str
 def eval_metrics(df: DataFrame, y: str = "y_true", pred: str = "y_pred", prob: str = "y_prob",
                  by: list[str] | None = None) -> DataFrame:
     """Classification metrics + Brier + ECE + PR-AUC (+ n, positive rate)."""
-    by = by or []
+    if not by:  # global metrics: a constant key keeps every step an equi-join of one-row tables
+        return eval_metrics(df.withColumn("_all", F.lit(0)), y, pred, prob, ["_all"]).drop("_all")
     c = df.groupBy(*by).agg(*confusion(y, pred), F.count(F.lit(1)).alias("n_samples"),
                             F.avg(F.col(y).cast("double")).alias("positive_rate"))
     m = c.select(*by, "n_samples", "positive_rate", *classification_cols())
-    out = m.join(brier_ece(df, y, prob, by), by, "left") if by else m.crossJoin(brier_ece(df, y, prob, by))
-    ap = average_precision(df, y, prob, by)
-    return out.join(ap, by, "left") if by else out.crossJoin(ap)
+    out = m.join(brier_ece(df, y, prob, by), by, "left")
+    return out.join(average_precision(df, y, prob, by), by, "left")
 
 
 def fold_ci(folds: DataFrame, metrics: list[str], by: list[str] | None = None, z: float = 1.96) -> DataFrame:
@@ -141,7 +141,8 @@ def best_threshold(df: DataFrame, y: str = "y_true", prob: str = "y_prob", by: l
     """AGG20: threshold with the highest F1 over the fixed grid (first maximum
     wins). Each row lands in the bucket 'number of thresholds <= score'; the
     TP/FP at threshold j are the counts of rows in buckets > j."""
-    by = by or []
+    if not by:
+        return best_threshold(df.withColumn("_all", F.lit(0)), y, prob, ["_all"], lo, hi, n).drop("_all")
     grid = threshold_grid(lo, hi, n)
     step = (hi - lo) / (n - 1)
     s = F.col(prob).cast("double")
@@ -153,7 +154,7 @@ def best_threshold(df: DataFrame, y: str = "y_true", prob: str = "y_prob", by: l
     h = (df.select(*by, F.col(y).cast("int").alias("_y"), k.alias("_k"))
          .groupBy(*by, "_k").agg(F.count_if(F.col("_y") == 1).alias("pos"), F.count_if(F.col("_y") == 0).alias("neg")))
     # complete the (n+1)-bucket histogram of every group; windows span n+1 rows per group
-    keys = h.select(*by).distinct() if by else h.select().limit(1)
+    keys = h.select(*by).distinct()
     grid_rows = keys.select(*by, F.explode(F.sequence(F.lit(0), F.lit(n))).alias("_k"))
     full = grid_rows.join(h, by + ["_k"], "left").fillna(0, ["pos", "neg"])
     above = Window.partitionBy(*by).orderBy(F.col("_k").desc()).rowsBetween(Window.unboundedPreceding, -1)
@@ -192,9 +193,10 @@ def ensemble_members(ranked: DataFrame, margin: float = K.ENSEMBLE_F1_MARGIN, k:
                      min_weight: float = K.ENSEMBLE_MIN_WEIGHT) -> DataFrame:
     """ORD3: models within ``margin`` of the best cv_f1_opt, first ``k`` by
     rank; weight max(min_weight, F1); ensemble threshold = weighted mean."""
-    top = ranked.where(F.col("rank") == 1).select(F.col("cv_f1_opt").alias("_top"))
-    c = ranked.crossJoin(top).where((F.col("cv_f1_opt") >= F.col("_top") - margin) | (F.col("rank") == 1))
-    c = c.where(F.col("rank") <= F.lit(k) + 0).orderBy("rank").limit(k)
+    # the ranking table has one row per model: a global window over it is bounded by the model count
+    top = F.first("cv_f1_opt").over(Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    c = ranked.withColumn("_top", top).where((F.col("cv_f1_opt") >= F.col("_top") - margin) | (F.col("rank") == 1))
+    c = c.orderBy("rank").limit(k)
     c = c.withColumn("weight", F.greatest(F.lit(min_weight), F.coalesce(F.col("cv_f1_opt"), F.lit(0.0))))
     w = Window.partitionBy(F.lit(1))
     return c.select("model", "rank", "weight", "threshold",

@@ -100,6 +100,7 @@ def oracles() -> dict[str, str]:
 
 # ---------------------------------------------------------------- features (F_LONG)
 from ..operators import features as FE  # noqa: E402
+from ..operators.ordered import materialize  # noqa: E402
 
 
 def raw_long(spark, sf):
@@ -111,7 +112,7 @@ def long_table(spark, sf):
 
 
 def wide_table(spark, sf):
-    return FE.build_features(long_table(spark, sf))
+    return FE.build_features(materialize(long_table(spark, sf)))
 
 
 @register("source_union")
