@@ -55,13 +55,14 @@ def cells_to_fields(rows: DataFrame, doc: str = "doc", table: str = "tbl_no", ro
     c = carry_forward(r, [doc, table], [F.col(row)], ["_hdr"])
     hdr = F.coalesce(F.col("ffill__hdr"), F.array(*[F.lit(h) for h in K.DOCX_DEFAULT_HEADER]))
     up = F.transform(hdr, lambda h: F.lower(h))
-    padded = F.transform(F.sequence(F.lit(0), F.size(hdr) - 1),
-                         lambda i: F.coalesce(F.get(F.col(cells), i), F.lit("")))
-    m = F.map_from_arrays(up, padded)
+    rev = F.reverse(up)
+
+    def field(name):
+        # last header cell with this (case-insensitive) name wins; '' when the row is shorter
+        pos = F.array_position(rev, F.lit(name))
+        idx = F.size(up) - pos  # 0-based index of the last occurrence
+        return F.when(pos > 0, F.coalesce(F.get(F.col(cells), idx.cast("int")), F.lit("")))
+
     data = c.where(~F.col("is_header"))
-    return data.select(doc, table, row,
-                       F.try_element_at(m, F.lit("вопрос")).alias("cell_question"),
-                       F.try_element_at(m, F.lit("параметр")).alias("cell_parameter"),
-                       F.try_element_at(m, F.lit("i")).alias("cell_i"),
-                       F.try_element_at(m, F.lit("ii")).alias("cell_ii"),
-                       F.try_element_at(m, F.lit("результат")).alias("cell_result"))
+    return data.select(doc, table, row, field("вопрос").alias("cell_question"), field("параметр").alias("cell_parameter"),
+                       field("i").alias("cell_i"), field("ii").alias("cell_ii"), field("результат").alias("cell_result"))

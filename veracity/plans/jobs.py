@@ -62,47 +62,98 @@ def train(features: DataFrame, label: str | None = None, feedback: DataFrame | N
     work = materialize(ML.group_holdout(ML.feature_matrix(work, cols), "test_id", ML.LABEL, seed=seed))
     dev, hold = work.where("split = 'dev'"), work.where("split = 'holdout'")
     dev, k, kind = ML.assign_folds(dev, "test_id", ML.LABEL, seed=seed)
-    dev = materialize(dev)
+    dev = materialize(dev.withColumn("_rid", F.monotonically_increasing_id()))
+    n_dev, n_hold = dev.count(), hold.count()
     specs = [s for s in ML.build_models(trees_scale, seed) if model_names is None or s.name in model_names]
-    rows, folds_all, fitted, oofs = [], [], {}, {}
+    rows, folds_all, breakdown, fitted, oofs = [], [], [], {}, {}
     for spec in specs:
         oof, folds = ML.cross_validate(spec, dev, cols, seed)
         oof = materialize(oof)
         bt = M.best_threshold(oof, y=ML.LABEL, prob="oof").first()
         thr, f1opt = float(bt["threshold"]), float(bt["f1"])
+        oof = oof.withColumn("oof_pred_t", (F.col("oof") >= thr).cast("int"))
         f = ML.fit(spec, dev, cols, seed)
+        tp = ML.predict_proba(f, dev, "p").withColumn("pred", (F.col("p") >= thr).cast("int"))
+        train_m = M.binary_metrics(tp, y=ML.LABEL, pred="pred").first().asDict()
+        train_m["roc_auc"] = M.roc_auc(tp.withColumn("_all", F.lit(0)), y=ML.LABEL, prob="p", by=["_all"]).first()["roc_auc"]
         hp = ML.predict_proba(f, hold, "p").withColumn("pred", (F.col("p") >= thr).cast("int"))
         hm = M.eval_metrics(hp, y=ML.LABEL, pred="pred", prob="p").first().asDict()
-        cvap = folds.agg(F.avg("pr_auc")).first()[0]
-        rows.append({"model": spec.name, "threshold": thr, "cv_f1_opt": f1opt, "cv_pr_auc": cvap,
-                     "holdout_f1": hm["f1"], "holdout_pr_auc": hm["pr_auc"], "cv_folds": k, "cv_kind": kind,
-                     "n_features": len(cols)})
+        ci = {r["metric"]: r for r in M.fold_ci(folds, FOLD_METRICS).collect()}
+        row = {"model": spec.name, "n_samples_dev": n_dev, "n_samples_holdout": n_hold, "n_features": len(cols),
+               "threshold": thr, "cv_f1_opt": f1opt,
+               "oof_prob_std": oof.agg(F.stddev_pop("oof")).first()[0], "cv_folds": k, "cv_kind": kind}
+        for m in FOLD_METRICS:
+            r = ci.get(m)
+            row.update({f"cv_{m}": r and r["mean"], f"cv_{m}_std": r and r["std"],
+                        f"cv_{m}_ci_low": r and r["ci_low"], f"cv_{m}_ci_high": r and r["ci_high"]})
+        row.update({f"train_{m}": train_m.get(m) for m in ("accuracy", "precision", "recall", "f1", "roc_auc")})
+        row.update({f"holdout_{m}": hm.get(m) for m in ("accuracy", "precision", "recall", "f1", "brier", "ece", "pr_auc")})
+        rows.append(row)
         folds_all.append(folds)
+        breakdown += [_breakdown(oof, "oof", "oof_pred_t", spec.name, "cv_oof"), _breakdown(hp, "p", "pred", spec.name, "holdout")]
         fitted[spec.name] = f
         oofs[spec.name] = oof
     spark = features.sparkSession
-    comparison = M.rank_models(spark.createDataFrame(rows))
+    comparison = M.rank_models(_table(spark, rows))
     members = M.ensemble_members(comparison).collect()
     chosen = [(fitted[r["model"]], float(r["weight"]), float(r["threshold"])) for r in members]
     ens_thr = float(members[0]["ensemble_threshold"])
+    # ensemble diagnostics on the out-of-fold probabilities (rows aligned by _rid) and on the holdout
+    total_w = sum(w for _, w, _ in chosen)
+    ens_oof = None
+    for (f, w, _), r in zip(chosen, members):
+        o = oofs[r["model"]].select("_rid", "source_type", ML.LABEL, (F.col("oof") * w).alias("_wp"))
+        ens_oof = o if ens_oof is None else ens_oof.join(o.select("_rid", F.col("_wp").alias("_wp2")), "_rid").select(
+            "_rid", "source_type", ML.LABEL, (F.col("_wp") + F.col("_wp2")).alias("_wp"))
+    ens_oof = ens_oof.withColumn("p", F.col("_wp") / total_w).withColumn("pred", (F.col("p") >= ens_thr).cast("int"))
+    ens_hold = ML.ensemble_probability([(f, w) for f, w, _ in chosen], hold, "test_id", "p").withColumn(
+        "pred", (F.col("p") >= ens_thr).cast("int"))
+    breakdown += [_breakdown(ens_oof, "p", "pred", "ensemble", "cv_oof"), _breakdown(ens_hold, "p", "pred", "ensemble", "holdout")]
+    diagnostics = {"ensemble_cv_oof": M.eval_metrics(ens_oof, y=ML.LABEL, pred="pred", prob="p").first().asDict(),
+                   "ensemble_holdout": M.eval_metrics(ens_hold, y=ML.LABEL, pred="pred", prob="p").first().asDict()}
     preds = ML.ensemble_probability([(f, w) for f, w, _ in chosen], work, "test_id")
     preds = preds.withColumn("pred_label", (F.col("deception_probability") >= ens_thr).cast("int"))
     folds_df = folds_all[0]
     for x in folds_all[1:]:
         folds_df = folds_df.unionByName(x)
+    bd = breakdown[0]
+    for x in breakdown[1:]:
+        bd = bd.unionByName(x)
     best = comparison.where("rank = 1").first()["model"]
     importance = spark.createDataFrame(ML.feature_importance(fitted[best]), "feature string, importance double")
-    out = {"comparison": comparison, "folds": folds_df, "predictions": preds, "importance": importance,
-           "members": members, "threshold": ens_thr, "feature_cols": cols, "label_col": label_col, "fitted": chosen}
+    out = {"comparison": comparison, "folds": folds_df, "breakdown": bd, "predictions": preds, "importance": importance,
+           "members": members, "threshold": ens_thr, "feature_cols": cols, "label_col": label_col, "fitted": chosen,
+           "diagnostics": diagnostics}
     if out_dir:
         ML.save_bundle(f"{out_dir}/model", chosen, cols, label_col, ens_thr)
-        for name in ("comparison", "folds", "importance"):
+        for name in ("comparison", "folds", "breakdown", "importance"):
             TB.write_table(out[name], f"{out_dir}/reports/{name}")
         TB.write_table(preds.select("test_id", "question_code", "source_type", ML.LABEL, "split", "deception_probability",
                                     "pred_label"), f"{out_dir}/reports/predictions_train")
     return out
 
 
+FOLD_METRICS = ["f1", "pr_auc", "brier", "ece", "accuracy", "precision", "recall"]
+
+
+def _table(spark: SparkSession, rows: list[dict]) -> DataFrame:
+    """Small per-model table with an explicit schema (no inference on NULLs)."""
+    from pyspark.sql import types as T
+    strings, longs = {"model", "cv_kind"}, {"n_samples_dev", "n_samples_holdout", "n_features", "cv_folds"}
+    keys = list(rows[0])
+    schema = T.StructType([T.StructField(k, T.StringType() if k in strings else T.LongType() if k in longs
+                                         else T.DoubleType()) for k in keys])
+    conv = [tuple(r[k] if k in strings else (None if r[k] is None else int(r[k]) if k in longs else float(r[k]))
+                  for k in keys) for r in rows]
+    return spark.createDataFrame(conv, schema)
+
+
+def _breakdown(df: DataFrame, prob: str, pred: str, model: str, split: str) -> DataFrame:
+    """AGG19: metrics per source type (NULL source kept as its own group)."""
+    return (M.eval_metrics(df, y=ML.LABEL, pred=pred, prob=prob, by=["source_type"])
+            .withColumn("model", F.lit(model)).withColumn("eval_split", F.lit(split)))
+
+
 def predict(features: DataFrame, members: list, threshold: float, cols: list[str]) -> DataFrame:
     """JOB3 / ML17: ensemble probability + label for every feature row."""
     p = ML.ensemble_probability(members, features, "test_id")
