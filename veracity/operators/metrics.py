@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
-from .ordered import running_sums
+from .ordered import materialize, running_sums
 
 
 def _f1(tp, fp, fn):
@@ -82,12 +82,7 @@ def average_precision(df: DataFrame, y: str = "y_true", prob: str = "y_prob", by
     """AGG16: step-wise average precision over distinct scores (descending);
     NULL when only one class is present."""
     by = by or []
-    g = _score_table(df, y, prob, by)
-    r = running_sums(g, by, [F.col("_s").desc()], ["pos", "cnt"])
-    contrib = F.when(F.col("tot_pos") > 0, (F.col("pos") / F.col("tot_pos")) * (F.col("cum_pos") / F.col("cum_cnt")))
-    a = r.groupBy(*by).agg(F.sum(contrib).alias("_ap"), F.max("tot_pos").alias("_p"), F.max("tot_cnt").alias("_n"))
-    one_class = (F.col("_p") == 0) | (F.col("_p") == F.col("_n"))
-    return a.select(*by, F.when(one_class, F.lit(None).cast("double")).otherwise(F.col("_ap")).alias("pr_auc"))
+    return _ap_from_scores(_score_table(df, y, prob, by), by)
 
 
 def roc_auc(df: DataFrame, y: str = "y_true", prob: str = "y_prob", by: list[str] | None = None) -> DataFrame:
@@ -102,16 +97,47 @@ def roc_auc(df: DataFrame, y: str = "y_true", prob: str = "y_prob", by: list[str
     return a.select(*by, F.when(ok, F.col("_u") / (F.col("_p") * F.col("_q"))).alias("roc_auc"))
 
 
+def score_histogram(df: DataFrame, y: str, pred: str, prob: str, by: list[str]) -> DataFrame:
+    """One pass over the rows: (group, score, prediction) -> positives, count.
+    Every evaluation metric below is derived from this pre-aggregated table,
+    so the input is scanned and shuffled once."""
+    return df.groupBy(*by, F.col(prob).cast("double").alias("_s"), F.col(pred).cast("int").alias("_pd")).agg(
+        F.sum(F.col(y).cast("double")).alias("pos"), F.count(F.lit(1)).cast("double").alias("cnt"))
+
+
 def eval_metrics(df: DataFrame, y: str = "y_true", pred: str = "y_pred", prob: str = "y_prob",
-                 by: list[str] | None = None) -> DataFrame:
-    """Classification metrics + Brier + ECE + PR-AUC (+ n, positive rate)."""
+                 by: list[str] | None = None, n_bins: int = 10) -> DataFrame:
+    """Classification metrics + Brier + ECE + PR-AUC (+ n, positive rate)
+    from one score histogram (labels are 0/1)."""
     if not by:  # global metrics: a constant key keeps every step an equi-join of one-row tables
-        return eval_metrics(df.withColumn("_all", F.lit(0)), y, pred, prob, ["_all"]).drop("_all")
-    c = df.groupBy(*by).agg(*confusion(y, pred), F.count(F.lit(1)).alias("n_samples"),
-                            F.avg(F.col(y).cast("double")).alias("positive_rate"))
-    m = c.select(*by, "n_samples", "positive_rate", *classification_cols())
-    out = m.join(brier_ece(df, y, prob, by), by, "left")
-    return out.join(average_precision(df, y, prob, by), by, "left")
+        return eval_metrics(df.withColumn("_all", F.lit(0)), y, pred, prob, ["_all"], n_bins).drop("_all")
+    # three consumers with differently inferred filters would each rescan the input: write the histogram once
+    h = materialize(score_histogram(df, y, pred, prob, by))
+    s, pos, cnt, pd1 = F.col("_s"), F.col("pos"), F.col("cnt"), F.col("_pd") == 1
+    neg = cnt - pos
+    c = h.groupBy(*by).agg(
+        F.sum(F.when(pd1, pos).otherwise(0.0)).alias("tp"), F.sum(F.when(pd1, neg).otherwise(0.0)).alias("fp"),
+        F.sum(F.when(~pd1, pos).otherwise(0.0)).alias("fn"), F.sum(F.when(~pd1, neg).otherwise(0.0)).alias("tn"),
+        F.sum(cnt).alias("_n"), F.sum(pos).alias("_p"),
+        F.sum(cnt * s * s - 2.0 * s * pos + pos).alias("_se"))
+    m = c.select(*by, F.col("_n").cast("long").alias("n_samples"), (F.col("_p") / F.col("_n")).alias("positive_rate"),
+                 *classification_cols(), (F.col("_se") / F.col("_n")).alias("brier"))
+    b = h.withColumn("_bin", _bin_index(s, n_bins)).groupBy(*by, "_bin").agg(
+        F.sum(cnt).alias("_nb"), F.sum(cnt * s).alias("_sp"), F.sum(pos).alias("_sy"))
+    e = b.groupBy(*by).agg(
+        (F.sum(F.when(F.col("_bin").isNotNull(), F.abs(F.col("_sp") / F.col("_nb") - F.col("_sy") / F.col("_nb"))
+                      * F.col("_nb"))) / F.sum("_nb")).alias("_ece"))
+    e = e.select(*by, F.coalesce(F.col("_ece"), F.lit(0.0)).alias("ece"))
+    ap = _ap_from_scores(h.groupBy(*by, "_s").agg(F.sum("pos").alias("pos"), F.sum("cnt").alias("cnt")), by)
+    return m.join(e, by, "left").join(ap, by, "left")
+
+
+def _ap_from_scores(g: DataFrame, by: list[str]) -> DataFrame:
+    r = running_sums(g, by, [F.col("_s").desc()], ["pos", "cnt"])
+    contrib = F.when(F.col("tot_pos") > 0, (F.col("pos") / F.col("tot_pos")) * (F.col("cum_pos") / F.col("cum_cnt")))
+    a = r.groupBy(*by).agg(F.sum(contrib).alias("_ap"), F.max("tot_pos").alias("_p"), F.max("tot_cnt").alias("_n"))
+    one_class = (F.col("_p") == 0) | (F.col("_p") == F.col("_n"))
+    return a.select(*by, F.when(one_class, F.lit(None).cast("double")).otherwise(F.col("_ap")).alias("pr_auc"))
 
 
 def fold_ci(folds: DataFrame, metrics: list[str], by: list[str] | None = None, z: float = 1.96) -> DataFrame:
