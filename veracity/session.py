@@ -14,9 +14,10 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # runtime (measured) broadcast of small join sides; the size check is done by AQE
+    # broadcast only what AQE has measured at runtime (map output size of the finished stage);
+    # static broadcast from optimizer estimates is off because estimates are not a proven bound
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
-    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
