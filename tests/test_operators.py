@@ -188,3 +188,16 @@ def test_calibrated_forest_probabilities(spark):
     pdf = p.toPandas()
     assert pdf.p.between(0, 1).all() and pdf[pdf._label == 1].p.mean() > pdf[pdf._label == 0].p.mean() + 0.3
     assert ML.feature_importance(f) == [("a", 0.0), ("b", 0.0)]
+
+
+def test_robust_stats_paths_agree(spark, sf):
+    from veracity.operators import direct as D
+    from veracity.plans import catalog as C
+    m = O.materialize(C._masked(spark, sf))
+    a = {r.test_id: r for r in D.robust_stats(m, "test_id").collect()}
+    b = {r.test_id: r for r in D.robust_stats(m, "test_id", median_limit=-1).collect()}  # forced range scan
+    assert set(a) == set(b) and len(a) == 15
+    for k in a:
+        for f in a[k].asDict():
+            if f != "test_id":
+                assert abs(a[k][f] - b[k][f]) < 1e-12, (k, f)

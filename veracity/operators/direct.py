@@ -66,23 +66,37 @@ def with_masks(sig: DataFrame, tiers: DataFrame, by) -> DataFrame:
             .withColumn("n_baseline", n_base))
 
 
-def robust_stats(masked: DataFrame, by) -> DataFrame:
+def _scale(mad, sd):
+    robust = mad * K.MAD_FACTOR
+    return F.when(robust > K.SCALE_EPS, robust).when(sd > K.SCALE_EPS, sd).otherwise(F.lit(1.0))
+
+
+def robust_stats(masked: DataFrame, by, median_limit: int = MEDIAN_GROUP_LIMIT) -> DataFrame:
     """AGG6: per test and channel: centre = median, scale = 1.4826*MAD, else
-    population sd, else 1 (over baseline rows). One row per test, wide."""
+    population sd, else 1 (over baseline rows). One row per test, wide.
+
+    Tests within the median bound: two ``groupBy(test)`` passes with the four
+    channels side by side (medians + sds, then MADs). Tests above it: long
+    format through the range-partitioned exact median."""
     by = _by(by)
+    has_large = not masked.where(F.col("n_baseline") > median_limit).isEmpty()
+    base = masked.where("in_baseline").select(*by, "n_baseline", *SIG.values())
+    if not has_large:
+        c = base.groupBy(*by).agg(*[F.median(col).alias(f"centre_{ch}") for ch, col in SIG.items()],
+                                  *[F.stddev_pop(col).alias(f"sd_{ch}") for ch, col in SIG.items()])
+        dev = base.join(c, by).select(*by, *[F.abs(F.col(col) - F.col(f"centre_{ch}")).alias(f"dev_{ch}")
+                                             for ch, col in SIG.items()])
+        m = dev.groupBy(*by).agg(*[F.median(f"dev_{ch}").alias(f"mad_{ch}") for ch in SIG])
+        j = c.join(m, by)
+        return j.select(*by, *[x for ch in SIG for x in (F.col(f"centre_{ch}"),
+                                                          _scale(F.col(f"mad_{ch}"), F.col(f"sd_{ch}")).alias(f"scale_{ch}"))])
     keys = by + ["channel"]
-    long = (masked.where("in_baseline").select(*by, "n_baseline", *SIG.values())
-            .unpivot(by + ["n_baseline"], list(SIG.values()), "channel", "x"))
-    has_large = not masked.where(F.col("n_baseline") > MEDIAN_GROUP_LIMIT).isEmpty()
-    centre = group_median(long, keys, "x", "centre", size_col="n_baseline", has_large=has_large)
+    long = base.unpivot(by + ["n_baseline"], list(SIG.values()), "channel", "x")
+    centre = group_median(long, keys, "x", "centre", size_col="n_baseline", has_large=True)
     dev = long.join(centre, keys).select(*keys, "n_baseline", F.abs(F.col("x") - F.col("centre")).alias("dev"))
-    mad = group_median(dev, keys, "dev", "mad", size_col="n_baseline", has_large=has_large)
+    mad = group_median(dev, keys, "dev", "mad", size_col="n_baseline", has_large=True)
     sd = long.groupBy(*keys).agg(F.stddev_pop("x").alias("sd"))
-    st = centre.join(mad, keys, "left").join(sd, keys, "left")
-    robust = F.col("mad") * K.MAD_FACTOR
-    scale = (F.when(robust > K.SCALE_EPS, robust).when(F.col("sd") > K.SCALE_EPS, F.col("sd"))
-             .otherwise(F.lit(1.0)))
-    st = st.select(*keys, "centre", scale.alias("scale"))
+    st = centre.join(mad, keys, "left").join(sd, keys, "left").select(*keys, "centre", _scale(F.col("mad"), F.col("sd")).alias("scale"))
     aggs = []
     for ch, col in SIG.items():
         sel = F.col("channel") == col
