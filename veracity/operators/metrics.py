@@ -11,8 +11,6 @@ a rows x thresholds cross join.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -227,16 +225,3 @@ def ensemble_members(ranked: DataFrame, margin: float = K.ENSEMBLE_F1_MARGIN, k:
     w = Window.partitionBy(F.lit(1))
     return c.select("model", "rank", "weight", "threshold",
                     (F.sum(F.col("weight") * F.col("threshold")).over(w) / F.sum("weight").over(w)).alias("ensemble_threshold"))
-
-
-def mean_ci_row(values: list[float], z: float = 1.96) -> dict:
-    """Driver-side helper for tiny in-memory lists (fold summaries of one fit)."""
-    arr = [v for v in values if v is not None and not math.isnan(v)]
-    if not arr:
-        return {"mean": float("nan"), "std": float("nan"), "ci_low": float("nan"), "ci_high": float("nan"), "n": 0.0}
-    m = sum(arr) / len(arr)
-    if len(arr) < 2:
-        return {"mean": m, "std": 0.0, "ci_low": m, "ci_high": m, "n": float(len(arr))}
-    sd = math.sqrt(sum((v - m) ** 2 for v in arr) / (len(arr) - 1))
-    h = z * sd / math.sqrt(len(arr))
-    return {"mean": m, "std": sd, "ci_low": m - h, "ci_high": m + h, "n": float(len(arr))}

@@ -39,10 +39,6 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if master and master.startswith("local"):
         conf.setdefault("spark.driver.memory", "16g")
-        # tests/bench only: a scratch checkpoint folder when none is configured
-        if "spark.checkpoint.dir" not in (extra or {}) and not os.environ.get("SPARK_CHECKPOINT_DIR"):
-            conf["spark.checkpoint.dir"] = tempfile.mkdtemp(
-                prefix="veracity-ckpt-", dir=os.environ.get("VERACITY_SCRATCH", "/tmp"))
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
