@@ -205,7 +205,7 @@ def q_question_votes(spark, sf):
 
 @register("verdict_blend")
 def q_verdict_blend(spark, sf):
-    scored = D.score_direct(stim(spark, sf))
+    scored = materialize(D.score_direct(stim(spark, sf)))  # read by the summary and the vote branch
     q = V.collapse_questions(scored, threshold=K.DIRECT_LABEL_THRESHOLD)
     return rnd(V.blend_verdicts(D.direct_summary(scored), V.question_votes(q, K.DIRECT_LABEL_THRESHOLD)))
 
@@ -410,7 +410,6 @@ def q_carry_forward(spark, sf):
 # ---------------------------------------------------------------- models (F_ML = wide F_LONG, label_bootstrap)
 from ..operators import ml as ML  # noqa: E402
 from . import jobs as J  # noqa: E402
-from ..operators.ordered import materialize  # noqa: E402
 
 ML_LABEL = "label_bootstrap"
 
