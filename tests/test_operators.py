@@ -201,3 +201,26 @@ def test_robust_stats_paths_agree(spark, sf):
         for f in a[k].asDict():
             if f != "test_id":
                 assert abs(a[k][f] - b[k][f]) < 1e-12, (k, f)
+
+
+def test_feedback_log_versions(spark, tmp_path):
+    from veracity.sources.tables import upsert_feedback_log
+    schema = "created_at timestamp, test_id string, question_code string, expert_review string"
+    import datetime as dt
+    t = dt.datetime(2024, 1, 1)
+    a = spark.createDataFrame([(t, "T1", "c1", "Ложь"), (t + dt.timedelta(seconds=1), "T1", "c2", "maybe")], schema)
+    v0 = upsert_feedback_log(spark, str(tmp_path / "log"), a)
+    assert {(r.question_code, r.expert_label) for r in v0.collect()} == {("c1", 1)}
+    b = spark.createDataFrame([(t + dt.timedelta(days=1), "T1", "c1", " нет "), (t - dt.timedelta(days=1), "T1", "c1", "да")], schema)
+    v1 = upsert_feedback_log(spark, str(tmp_path / "log"), b)
+    assert {(r.question_code, r.expert_label) for r in v1.collect()} == {("c1", 0)}
+    assert spark.read.parquet(str(tmp_path / "log" / "v=0")).count() == 1  # previous version untouched
+
+
+def test_attach_expected_keys_by_test(spark):
+    from veracity.operators.verdicts import attach_expected
+    pred = spark.createDataFrame([("A", "Пв1", 0.7), ("B", "Пв1", 0.2)], "test_id string, question_code string, deception_probability double")
+    qs = spark.createDataFrame([("A", "Пв1", 2, "Lie"), ("B", "Пв1", 2, "Truth"), ("B", "Пв1", 5, "Lie")],
+                               "test_id string, question_code string, order int, waiting_answer_label string")
+    got = {r.test_id: r.waiting_answer_label for r in attach_expected(pred, qs).collect()}
+    assert got == {"A": "Lie", "B": "Truth"}

@@ -8,11 +8,12 @@ first-non-null picks use ``min_by`` (partially aggregated) instead of windows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions import exprs as E
+from .ordered import running_sums
 
 FIRST_COLS = ["source_file", "source_type", "question_raw", "question_text", "question_type", "question_type_code",
               "question_type_ru", "is_allowed", "ref_c_question_code", "waiting_answer_raw", "waiting_answer_label",
@@ -163,8 +164,9 @@ def chart_points(q: DataFrame, by: list[str] | None = None) -> DataFrame:
     probability descending within the test (bounded by its questions)."""
     by = ["test_id"] if by is None else by
     d = q.select(*by, "question_code", "deception_probability").dropna(subset=["question_code", "deception_probability"])
-    w = Window.partitionBy(*by).orderBy(F.col("deception_probability").desc(), F.col("question_code"))
-    return d.withColumn("rank", F.row_number().over(w).cast("int"))
+    r = running_sums(d.withColumn("_one", F.lit(1.0)), by,
+                     [F.col("deception_probability").desc(), F.col("question_code")], ["_one"])
+    return r.select(*by, "question_code", "deception_probability", F.col("cum__one").cast("int").alias("rank"))
 
 
 def attach_expected(pred: DataFrame, questions: DataFrame, keys: list[str] | None = None) -> DataFrame:
