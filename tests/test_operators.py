@@ -224,3 +224,16 @@ def test_attach_expected_keys_by_test(spark):
                                "test_id string, question_code string, order int, waiting_answer_label string")
     got = {r.test_id: r.waiting_answer_label for r in attach_expected(pred, qs).collect()}
     assert got == {"A": "Lie", "B": "Truth"}
+
+
+def test_nearest_reference_paths_agree(spark, sf):
+    from veracity.operators import direct as D
+    from veracity.plans import catalog as C
+    z = O.materialize(D.robust_z(O.materialize(C._masked(spark, sf)), "test_id"))
+    cols = ["test_id", "group_idx", "stimulus_idx", "ref_c_question_code", "ref_group_idx", "ref_stimulus_idx",
+            "delta_eda_vs_c", "delta_resp_vs_c"]
+    a = sorted(tuple(r) for r in D.nearest_reference(z, "test_id").select(*cols).collect())
+    b = sorted(tuple(r) for r in D.nearest_reference(z, "test_id", limit=1).select(*cols).collect())  # forced range scan
+    assert len(a) == 1000 and a == b
+    c = D.nearest_reference(z, "test_id", within_group=True).select(*cols).collect()
+    assert all(r.ref_group_idx is None or r.ref_group_idx == r.group_idx for r in c)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions import exprs as E
-from .ordered import MEDIAN_GROUP_LIMIT, group_median, materialize
+from .ordered import MEDIAN_GROUP_LIMIT, WINDOW_GROUP_LIMIT, carry_forward, group_median, groups_within, materialize
 
 SIG = {ch: f"sig_{ch}" for ch in K.CHANNELS}
 
@@ -116,31 +116,55 @@ def robust_z(masked: DataFrame, by) -> DataFrame:
     return j.select(*masked.columns, *zs)
 
 
-def nearest_reference(df: DataFrame, by, within_group: bool = False) -> DataFrame:
+REF_SCHEMA = "idx INT, g INT, s INT, code STRING, " + ", ".join(f"{ch} DOUBLE" for ch in K.CHANNELS)
+
+
+def nearest_reference(df: DataFrame, by, within_group: bool = False, limit: int | None = None) -> DataFrame:
     """JOIN3 + JOIN5: for every stimulus the nearest allowed 'C' stimulus by
     question_index (left = last with a smaller index, right = first with index
     >= q; right only when strictly nearer), its code and z values -> deltas.
 
-    Runs on one row per (test[, group], question_index): the window never
-    holds stimuli, only distinct positions.
+    Runs on the table of distinct (test[, group], question_index) positions,
+    never on stimuli: per position the last and the first comparison stimulus
+    (struct max/min, partially aggregated). The as-of search is a carry-forward
+    over query rows and reference rows of a test -- ascending with references
+    after the query of the same index (strictly smaller index), descending
+    with references first (index >= q) -- on the range-partitioned scan. Tests
+    within the size bound (one check over the position table) use two RANGE
+    windows over their positions instead.
     """
     key = _by(by) + (["group_idx"] if within_group else [])
     is_ref = F.col("allowed") & (F.col("q_type") == "C")
-    payload = F.struct(F.col("group_idx").alias("g"), F.col("stimulus_idx").alias("s"),
-                       F.col("question_code").alias("code"), *[F.col(f"z_{ch}").alias(ch) for ch in K.CHANNELS])
+    payload = F.struct(F.col("question_index").alias("idx"), F.col("group_idx").alias("g"),
+                       F.col("stimulus_idx").alias("s"), F.col("question_code").alias("code"),
+                       *[F.col(f"z_{ch}").alias(ch) for ch in K.CHANNELS])
+    # order among stimuli of one index: (group_idx, stimulus_idx)
     per_idx = df.groupBy(*key, "question_index").agg(
-        F.max(F.when(is_ref, payload)).alias("last_ref"),
-        F.min(F.when(is_ref, payload)).alias("first_ref"))
-    up = Window.partitionBy(*key).orderBy("question_index").rangeBetween(Window.unboundedPreceding, -1)
-    down = Window.partitionBy(*key).orderBy(F.col("question_index").desc()).rangeBetween(Window.unboundedPreceding, 0)
-    q = F.col("question_index")
-    left = F.max(F.when(F.col("last_ref").isNotNull(), F.struct(q.alias("idx"), F.col("last_ref").alias("r")))).over(up)
-    right = F.min(F.when(F.col("first_ref").isNotNull(), F.struct(q.alias("idx"), F.col("first_ref").alias("r")))).over(down)
-    picked = per_idx.select(*key, "question_index", left.alias("l"), right.alias("rt"))
-    use_right = F.col("l").isNull() | (F.col("rt").isNotNull()
-                                      & (F.abs(F.col("rt.idx") - q) < F.abs(F.col("l.idx") - q)))
-    picked = picked.select(*key, "question_index",
-                           F.when(use_right, F.col("rt.r")).otherwise(F.col("l.r")).alias("ref"))
+        F.max(F.when(is_ref, F.struct(F.col("group_idx"), F.col("stimulus_idx"), payload.alias("p")))).alias("last_ref"),
+        F.min(F.when(is_ref, F.struct(F.col("group_idx"), F.col("stimulus_idx"), payload.alias("p")))).alias("first_ref"))
+    qi = F.col("question_index")
+    if groups_within(per_idx, key, (WINDOW_GROUP_LIMIT if limit is None else limit) // 2):
+        # bounded tests: two RANGE windows over the positions (left: idx <= q-1, right: idx >= q)
+        up = Window.partitionBy(*key).orderBy("question_index").rangeBetween(Window.unboundedPreceding, -1)
+        down = Window.partitionBy(*key).orderBy(qi.desc()).rangeBetween(Window.unboundedPreceding, 0)
+        lj = F.max(F.col("last_ref.p")).over(up)
+        rj = F.min(F.col("first_ref.p")).over(down)
+        lr = per_idx.select(*key, "question_index", lj.alias("l"), rj.alias("r"))
+        lj, rj = F.col("l"), F.col("r")
+    else:
+        q = per_idx.select(*key, "question_index", F.lit(None).cast("string").alias("ref"))
+
+        def side(col: str, ref_kind: int, order_idx):
+            refs = per_idx.where(F.col(col).isNotNull()).select(*key, "question_index",
+                                                                F.to_json(F.col(col + ".p")).alias("ref"))
+            u = q.withColumn("_kind", F.lit(1 - ref_kind)).unionByName(refs.withColumn("_kind", F.lit(ref_kind)))
+            c = carry_forward(u, key, [order_idx, F.col("_kind")], ["ref"], limit=-1)  # range-scan path
+            return c.where(F.col("_kind") == 1 - ref_kind).select(*key, "question_index", F.col("ffill_ref").alias(col))
+
+        lr = side("last_ref", 1, qi.asc()).join(side("first_ref", 0, qi.desc()), key + ["question_index"])
+        lj, rj = F.from_json("last_ref", REF_SCHEMA), F.from_json("first_ref", REF_SCHEMA)
+    use_right = lj.isNull() | (rj.isNotNull() & (F.abs(rj["idx"] - qi) < F.abs(lj["idx"] - qi)))
+    picked = lr.select(*key, "question_index", F.when(use_right, rj).otherwise(lj).alias("ref"))
     j = df.join(picked, key + ["question_index"], "left")
     deltas = [F.coalesce(F.col(f"z_{ch}") - F.col(f"ref.{ch}"), F.lit(0.0)).alias(f"delta_{ch}_vs_c")
               for ch in K.CHANNELS]
