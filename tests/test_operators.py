@@ -237,3 +237,20 @@ def test_nearest_reference_paths_agree(spark, sf):
     assert len(a) == 1000 and a == b
     c = D.nearest_reference(z, "test_id", within_group=True).select(*cols).collect()
     assert all(r.ref_group_idx is None or r.ref_group_idx == r.group_idx for r in c)
+
+
+def test_impute_scale_paths_agree(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame({"a": rng.normal(size=200), "b": rng.integers(0, 3, 200).astype(float)})
+    pdf.loc[::7, "a"] = np.nan
+    df = spark.createDataFrame(pdf).withColumn("a", F.when(F.isnan("a"), None).otherwise(F.col("a")))
+    small = {r.feature: r for r in ML.fit_impute_scale(df, ["a", "b"]).collect()}
+    monkeypatch.setattr(O, "MEDIAN_GROUP_LIMIT", 10)
+    large = {r.feature: r for r in ML.fit_impute_scale(df, ["a", "b"]).collect()}
+    med = pdf.a.median()
+    assert abs(small["a"].median - med) < 1e-12
+    imp = pdf.a.fillna(med)
+    assert abs(small["a"].mean - imp.mean()) < 1e-12 and abs(small["a"].std - imp.std(ddof=0)) < 1e-12
+    for f in ("a", "b"):
+        for k in ("median", "mean", "std"):
+            assert abs(small[f][k] - large[f][k]) < 1e-12
