@@ -71,7 +71,7 @@ def _scale(mad, sd):
     return F.when(robust > K.SCALE_EPS, robust).when(sd > K.SCALE_EPS, sd).otherwise(F.lit(1.0))
 
 
-def robust_stats(masked: DataFrame, by, median_limit: int = MEDIAN_GROUP_LIMIT) -> DataFrame:
+def robust_stats(masked: DataFrame, by, median_limit: int = MEDIAN_GROUP_LIMIT, has_large: bool | None = None) -> DataFrame:
     """AGG6: per test and channel: centre = median, scale = 1.4826*MAD, else
     population sd, else 1 (over baseline rows). One row per test, wide.
 
@@ -79,7 +79,8 @@ def robust_stats(masked: DataFrame, by, median_limit: int = MEDIAN_GROUP_LIMIT)
     channels side by side (medians + sds, then MADs). Tests above it: long
     format through the range-partitioned exact median."""
     by = _by(by)
-    has_large = not masked.where(F.col("n_baseline") > median_limit).isEmpty()
+    if has_large is None:
+        has_large = not masked.where(F.col("n_baseline") > median_limit).isEmpty()
     base = masked.where("in_baseline").select(*by, "n_baseline", *SIG.values())
     if not has_large:
         c = base.groupBy(*by).agg(*[F.median(col).alias(f"centre_{ch}") for ch, col in SIG.items()],
@@ -105,9 +106,9 @@ def robust_stats(masked: DataFrame, by, median_limit: int = MEDIAN_GROUP_LIMIT)
     return st.groupBy(*by).agg(*aggs)
 
 
-def robust_z(masked: DataFrame, by) -> DataFrame:
+def robust_z(masked: DataFrame, by, has_large: bool | None = None) -> DataFrame:
     by = _by(by)
-    st = robust_stats(masked, by)
+    st = robust_stats(masked, by, has_large=has_large)
     j = masked.join(st, by, "left")
     zs = []
     for ch, col in SIG.items():
@@ -119,7 +120,8 @@ def robust_z(masked: DataFrame, by) -> DataFrame:
 REF_SCHEMA = "idx INT, g INT, s INT, code STRING, " + ", ".join(f"{ch} DOUBLE" for ch in K.CHANNELS)
 
 
-def nearest_reference(df: DataFrame, by, within_group: bool = False, limit: int | None = None) -> DataFrame:
+def nearest_reference(df: DataFrame, by, within_group: bool = False, limit: int | None = None,
+                      bounded: bool | None = None) -> DataFrame:
     """JOIN3 + JOIN5: for every stimulus the nearest allowed 'C' stimulus by
     question_index (left = last with a smaller index, right = first with index
     >= q; right only when strictly nearer), its code and z values -> deltas.
@@ -143,7 +145,9 @@ def nearest_reference(df: DataFrame, by, within_group: bool = False, limit: int
         F.max(F.when(is_ref, F.struct(F.col("group_idx"), F.col("stimulus_idx"), payload.alias("p")))).alias("last_ref"),
         F.min(F.when(is_ref, F.struct(F.col("group_idx"), F.col("stimulus_idx"), payload.alias("p")))).alias("first_ref"))
     qi = F.col("question_index")
-    if groups_within(per_idx, key, (WINDOW_GROUP_LIMIT if limit is None else limit) // 2):
+    if bounded is None:
+        bounded = groups_within(per_idx, key, (WINDOW_GROUP_LIMIT if limit is None else limit) // 2)
+    if bounded:
         # bounded tests: two RANGE windows over the positions (left: idx <= q-1, right: idx >= q)
         up = Window.partitionBy(*key).orderBy("question_index").rangeBetween(Window.unboundedPreceding, -1)
         down = Window.partitionBy(*key).orderBy(qi.desc()).rangeBetween(Window.unboundedPreceding, 0)
@@ -192,8 +196,11 @@ def score_direct(stim: DataFrame, by="test_id", within_group: bool = False) -> D
     """JOB4 row level: every stimulus with signals, z, deltas, probability."""
     sig = signals(stim)
     masked = materialize(with_masks(sig, test_tiers(sig, by), by))
-    z = materialize(robust_z(masked, by))
-    return evidence(nearest_reference(z, by, within_group))
+    # one size check for both bounded paths: stimuli per test bound both the baseline rows
+    # (exact medians) and the distinct question positions (as-of windows)
+    mx = masked.agg(F.max("n_items").alias("items"), F.max("n_baseline").alias("base")).first()
+    z = materialize(robust_z(masked, by, has_large=(mx["base"] or 0) > MEDIAN_GROUP_LIMIT))
+    return evidence(nearest_reference(z, by, within_group, bounded=(mx["items"] or 0) <= WINDOW_GROUP_LIMIT // 2))
 
 
 def direct_summary(scored: DataFrame, by="test_id") -> DataFrame:
