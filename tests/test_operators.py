@@ -254,3 +254,23 @@ def test_impute_scale_paths_agree(spark, monkeypatch):
     for f in ("a", "b"):
         for k in ("median", "mean", "std"):
             assert abs(small[f][k] - large[f][k]) < 1e-12
+
+
+def test_score_uploads(spark):
+    from veracity.plans import jobs as J
+    rng = np.random.default_rng(9)
+    n = 120
+    pdf = pd.DataFrame({"test_id": [f"t{i % 4}" for i in range(n)], "question_code": [f"q{i}" for i in range(n)],
+                        "i_gsr": rng.normal(size=n) * 3, "ii_gsr": rng.normal(size=n), "i_bp": rng.normal(size=n) * 0.1,
+                        "ii_bp": rng.normal(size=n) * 5})
+    pdf["_label"] = (pdf.i_gsr > 0).astype(int)
+    df = spark.createDataFrame(pdf)
+    cols = ["i_gsr", "ii_gsr", "i_bp", "ii_bp"]
+    f = ML.fit(ML.build_models()[0], df, cols)
+    summary, per_q = J.score_uploads(df.drop("_label"), [(f, 1.0)], 0.5, cols)
+    s = {r.test_id: r for r in summary.collect()}
+    assert set(s) == {"t0", "t1", "t2", "t3"}
+    for r in s.values():
+        assert 0 <= r.overall_score <= 1 and r.n_items == 30 and len(r.key_channels) == 3
+        assert r.key_channels[0] in ("ii_bp", "i_gsr") and "i_bp" not in r.key_channels
+    assert per_q.count() == n and set(per_q.columns) >= {"test_id", "question_code", "deception_probability"}
