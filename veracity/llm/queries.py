@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from veracity.llm import html_extract, langid, mixing, multi_index, packing, quality, sharding, superminhash, topk
+from veracity.llm import gru_lm, html_extract, langid, mixing, multi_index, packing, quality, sharding, superminhash, topk
 from veracity.llm.shared import table
 
 #: Path of the vocabulary that packing counts by; a parameter of the operator.
@@ -34,6 +34,10 @@ def op5_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"))
 
 
+def op6_gru_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gru_lm.score(table(spark, sf_dir, "documents"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_id(table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ def op10_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_maxscore_topk, op2_packing, op3_html_consensus, op4_ordinal_quality, op5_bounded_ring,
+                            op6_gru_scoring,
                             op7_language_id, op8_multi_index, op9_superminhash, op10_entropy_mix)}
 
 ORACLES: dict[str, str] = {
