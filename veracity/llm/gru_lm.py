@@ -98,10 +98,9 @@ def output(p: dict, hs: np.ndarray, token: np.ndarray, grads: dict | None = None
     """Natural log-probabilities of the tokens after the states; with ``grads``, also d(-sum)/d(states)."""
     cls = np.minimum(token // MEMBERS, CLASSES)
     rows = np.arange(len(token))
-    z = hs @ p["wc"] + p["bc"]
-    z -= z.max(axis=1, keepdims=True)
+    z = np.clip(hs @ p["wc"] + p["bc"], -60, 60)  # keeps exp finite without a row maximum
     e = np.exp(z)
-    total = e.sum(axis=1, keepdims=True)
+    total = e @ np.ones((e.shape[1], 1), e.dtype)
     logp = z[rows, cls] - np.log(total[:, 0])
     dh = None
     if grads is not None:
@@ -115,10 +114,9 @@ def output(p: dict, hs: np.ndarray, token: np.ndarray, grads: dict | None = None
     for c in np.flatnonzero(np.diff(ends)):
         own = order[ends[c]: ends[c + 1]]
         h, member = hs[own], token[own] % MEMBERS
-        z = h @ p["wm"][c] + p["bm"][c]
-        z -= z.max(axis=1, keepdims=True)
+        z = np.clip(h @ p["wm"][c] + p["bm"][c], -60, 60)
         e = np.exp(z)
-        total = e.sum(axis=1, keepdims=True)
+        total = e @ np.ones((MEMBERS, 1), e.dtype)
         at = np.arange(len(own))
         logp[own] += z[at, member] - np.log(total[:, 0])
         if grads is not None:
