@@ -32,6 +32,7 @@ from __future__ import annotations
 import re
 import unicodedata
 import zlib
+from bisect import bisect_left
 from collections import deque
 from collections.abc import Iterator
 from itertools import chain
@@ -126,9 +127,13 @@ def plan_cuts(points: np.ndarray, costs: np.ndarray, total: int, length: int = L
                 forced.popleft()
         while at[queue[0]] < j - length:
             queue.popleft()
-        i = queue[0]
-        value = best[i] + extra + length if j < total else best[i] + j
         m = len(at)
+        if j < total:
+            i = queue[0]
+            value = best[i] + extra + length
+        else:  # the last window pays no padding: the least f itself
+            i = min(range(bisect_left(at, j - length), m), key=lambda x: best[x] - at[x])
+            value = best[i] - at[i] + j
         best.append(value)
         at.append(j)
         back.append(i)
@@ -138,7 +143,7 @@ def plan_cuts(points: np.ndarray, costs: np.ndarray, total: int, length: int = L
         end = j + length
         while ahead < n and place[ahead] <= end:
             ahead += 1
-        if place[ahead - 1] < end - near:
+        if not ahead or place[ahead - 1] < end - near:
             forced.append(end)
     out, i = [], len(at) - 1
     while i > 0:
