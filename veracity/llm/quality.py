@@ -8,7 +8,9 @@ probability P(grade = 2) select documents (kept: tail probability >= 0.5).
 Features of a text are its distinct lower-cased words (hashed), and the shapes
 of its words (runs of letters, capitals and digits folded, other characters
 kept) with the share of words that have the shape, in steps; share of distinct
-words in steps. Features rarer than ``MIN_DOCS`` sampled documents are unused.
+words in steps. Features rarer than ``MIN_DOCS`` sampled documents are unused,
+and so are those whose documents' grades differ from the mean by less than
+``SCREEN`` standard errors: their noise would add up with the length of a text.
 
 The fit uses a sample of at most ``SAMPLE`` labelled documents, chosen by the
 hash of the id; that bound is the parameter ``sample``. Every document is
@@ -33,7 +35,7 @@ from pyspark.sql import functions as F
 
 from veracity.llm.shared import mix64
 
-SAMPLE, MIN_DOCS, BITS = 12_000, 3, 18
+SAMPLE, MIN_DOCS, SCREEN, BITS = 12_000, 3, 3.5, 18
 GRADES = 3
 _SIZE = 1 << BITS
 _STEPS = np.array([0.0, 0.02, 0.1, 0.3, 0.6])
@@ -99,14 +101,16 @@ def _sigmoid(x):
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
-def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, n_grades: int = GRADES, steps: int = 150,
+def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, n_grades: int = GRADES, steps: int = 200,
                 l2: float = 2e-4, rate: float = 0.05):
     """(weights over the buckets, ordered thresholds). Full-batch Adam on the cumulative-link likelihood."""
     used, seen = np.unique(np.concatenate(rows) if rows else np.empty(0, np.int64), return_counts=True)
-    used = used[seen >= MIN_DOCS]
     sizes = np.array([len(r) for r in rows])
     doc = np.repeat(np.arange(len(rows)), sizes)
     flat = np.concatenate(rows) if rows else np.empty(0, np.int64)
+    top = (grades == n_grades - 1).astype(float)
+    gap = np.bincount(np.searchsorted(used, flat), weights=(top - top.mean())[doc], minlength=len(used))
+    used = used[(seen >= MIN_DOCS) & (np.abs(gap) >= SCREEN * np.sqrt(seen * max(top.var(), 1e-9)))]
     keep = np.isin(flat, used)
     doc, col = doc[keep], np.searchsorted(used, flat[keep])
     share = np.cumsum(np.bincount(grades, minlength=n_grades)[:-1] + 1.0) / (len(grades) + n_grades)
