@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veracity.llm.shared import cut
+from veracity.llm.shared import cut, small
 
 HOSTS = 200_000
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|svg|iframe)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)"
@@ -167,7 +167,7 @@ class Page:
 
 
 def _voter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small(batches):
         votes: dict[tuple[str, str], float] = {}
         for host, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             page = Page(source or "")
@@ -180,7 +180,7 @@ def _voter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _extractor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small(batches):
         texts = []
         for source, path in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
             page = Page(source or "")

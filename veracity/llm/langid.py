@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veracity.llm.shared import batches_by_bytes, id_remainder
+from veracity.llm.shared import batches_by_bytes, id_remainder, small
 
 BUCKETS = 1 << 15
 GRAMS = (2, 3, 4)
@@ -61,7 +61,7 @@ def _pieces(text: str, most: int = 1_000_000) -> list[str]:
 def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     totals: dict[str, np.ndarray] = {}
     docs: dict[str, int] = {}
-    for batch in batches:
+    for batch in small(batches):
         langs, texts = np.array(batch.column(0).to_pylist(), object), batch.column(1).to_pylist()
         for lang in set(langs.tolist()):
             own = [texts[i] for i in np.flatnonzero(langs == lang)]
@@ -135,7 +135,7 @@ def predict(docs: DataFrame, model, keep: list[str]) -> DataFrame:
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             best, score = classify(batch.column(0).to_pylist(), shared.value)
             yield pa.record_batch([*batch.columns[1:], pa.array(best, pa.string()), pa.array(score)],
                                   names=[*batch.schema.names[1:], "lang_pred", "score"])

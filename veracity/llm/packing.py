@@ -43,6 +43,8 @@ import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from veracity.llm.shared import small
+
 LENGTH, END, SENTENCE, INSIDE = 2048, 1, 8.0, 48.0
 BLOCK = 400_000
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
@@ -58,7 +60,7 @@ class WordTokenizer(dict):
     """Ids of texts for a vocabulary of the kind that ends words. The dictionary itself is the cache of words; when it
     holds ``most`` of them they become the older half, and the half before them goes."""
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 120_000):
         from tokenizers import Tokenizer
         super().__init__()
         self.full = Tokenizer.from_file(path)
@@ -201,7 +203,7 @@ def _packer(path: str, length: int, end_id: int):
             columns = zip(*rows) if rows else [[] for _ in names]
             return pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=names)
 
-        for batch in batches:
+        for batch in small(batches):
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = np.append(make.encode(text or ""), np.uint32(end_id)).astype(np.uint32)
                 done = 0

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veracity.llm.shared import mix64
+from veracity.llm.shared import mix64, small
 
 SAMPLE, MIN_DOCS, SCREEN, BITS = 12_000, 3, 3.5, 18
 GRADES = 3
@@ -58,7 +58,7 @@ def _buckets(hashes: list[int]) -> np.ndarray:
 class Features:
     """Features of texts, with a bounded memory of the words met."""
 
-    def __init__(self, most: int = 200_000):
+    def __init__(self, most: int = 100_000):
         self.words: dict[str, tuple[int, int]] = {}
         self.shapes: dict[str, int] = {}
         self.most = most
@@ -102,7 +102,7 @@ def _sigmoid(x):
 
 
 def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, n_grades: int = GRADES, steps: int = 200,
-                l2: float = 2e-4, rate: float = 0.05):
+                l2: float = 2e-4, rate: float = 0.05, screen: float = 0.0):
     """(weights over the buckets, ordered thresholds). Full-batch Adam on the cumulative-link likelihood."""
     used, seen = np.unique(np.concatenate(rows) if rows else np.empty(0, np.int64), return_counts=True)
     sizes = np.array([len(r) for r in rows])
@@ -110,7 +110,7 @@ def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, n_grades: int = GRAD
     flat = np.concatenate(rows) if rows else np.empty(0, np.int64)
     top = (grades == n_grades - 1).astype(float)
     gap = np.bincount(np.searchsorted(used, flat), weights=(top - top.mean())[doc], minlength=len(used))
-    used = used[(seen >= MIN_DOCS) & (np.abs(gap) >= SCREEN * np.sqrt(seen * max(top.var(), 1e-9)))]
+    used = used[(seen >= MIN_DOCS) & (np.abs(gap) >= screen * np.sqrt(seen * max(top.var(), 1e-9)))]
     keep = np.isin(flat, used)
     doc, col = doc[keep], np.searchsorted(used, flat[keep])
     share = np.cumsum(np.bincount(grades, minlength=n_grades)[:-1] + 1.0) / (len(grades) + n_grades)
@@ -156,7 +156,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE):
 
     def featurise(batches):
         make = Features()
-        for batch in batches:
+        for batch in small(batches):
             yield pa.record_batch([batch.column(0), pa.array([make.of(t).astype(np.int32) for t in batch.column(1).to_pylist()],
                                                              pa.list_(pa.int32()))], names=["grade", "x"])
 
@@ -167,7 +167,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE):
         return None, int(grades[0]) if len(grades) else GRADES - 1
     # the sum does not depend on the order in which tasks end
     order = np.lexsort((grades, [int(r.sum()) for r in rows]))
-    return fit_ordinal([rows[i] for i in order], grades[order])
+    return fit_ordinal([rows[i] for i in order], grades[order], screen=SCREEN)
 
 
 def score(docs: DataFrame, model, keep: list[str]) -> DataFrame:
@@ -177,7 +177,7 @@ def score(docs: DataFrame, model, keep: list[str]) -> DataFrame:
     def run(batches):
         weights, cuts = shared.value
         make = Features()
-        for batch in batches:
+        for batch in small(batches):
             if weights is None:
                 n = batch.num_rows
                 expected, tail = np.full(n, float(cuts)), np.full(n, float(cuts == GRADES - 1))

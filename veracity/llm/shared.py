@@ -114,6 +114,13 @@ def shingle_sets(texts: list[str | None], k: int) -> list[np.ndarray]:
     return out
 
 
+def small(batches, rows: int = 500):
+    """Arrow batches in slices of so many rows: texts become Python strings a slice at a time."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, rows):
+            yield batch.slice(a, rows)
+
+
 def batches_by_bytes(texts: list[str | None], most: int):
     """Consecutive index ranges of texts that hold about ``most`` characters each (a longer text stands alone)."""
     first, held = 0, 0

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veracity.llm.components import components
-from veracity.llm.shared import batches_by_bytes, cut, mix64, shingle_sets
+from veracity.llm.shared import batches_by_bytes, cut, mix64, shingle_sets, small
 
 SLOTS, BANDS, ROWS = 256, 42, 6
 MARGIN, MEMBERS = 0.09, 1024
@@ -89,7 +89,7 @@ def band_keys(sig: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarr
 
 def _sketcher(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             for a, b in batches_by_bytes(texts, 1_500_000):
                 sets = shingle_sets(texts[a:b], k)
@@ -109,7 +109,7 @@ def _sketcher(k: int):
 def _verifier(k: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[int, np.ndarray] = {}
-        for batch in batches:
+        for batch in small(batches, 200):
             us, vs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             left, right = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             u_out, v_out = [], []
