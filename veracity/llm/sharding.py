@@ -24,8 +24,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from veracity.llm.shared import mix64
@@ -69,13 +69,14 @@ def capacities(n: int, shards: int) -> np.ndarray:
     return np.array([n // shards + (i < n % shards) for i in range(shards)], np.int64)
 
 
-def arc_of(position: Column, at: np.ndarray) -> Column:
-    """Index of the first virtual node at or after a position (a binary search on Arrow batches); past the last one
-    the ring begins again."""
-    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for part in parts:
-            yield pd.Series(np.searchsorted(at, part.to_numpy()) % len(at))
-    return F.pandas_udf(run, "int")(position)
+def with_arcs(df: DataFrame, at: np.ndarray) -> DataFrame:
+    """Adds ``arc``: the first virtual node at or after ``position`` (a binary search on Arrow batches); past the last
+    one the ring begins again."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            arc = np.searchsorted(at, batch.column("position").to_numpy()) % len(at)
+            yield pa.record_batch([*batch.columns, pa.array(arc, pa.int32())], names=[*batch.schema.names, "arc"])
+    return df.mapInArrow(run, ", ".join(f"`{c}` {t}" for c, t in df.dtypes) + ", arc int")
 
 
 def assign(docs: DataFrame, shards: int = SHARDS, nodes: int = NODES) -> DataFrame:
@@ -83,17 +84,16 @@ def assign(docs: DataFrame, shards: int = SHARDS, nodes: int = NODES) -> DataFra
     spark = docs.sparkSession
     at, owner = ring(shards, nodes)
     position = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    arc = arc_of(position, at)
     counts = np.zeros(len(at), np.int64)
-    for row in docs.select(arc.alias("arc")).groupBy("arc").count().collect():
+    for row in with_arcs(docs.select(position.alias("position")), at).groupBy("arc").count().collect():
         counts[row["arc"]] = row["count"]
     parts = flow(counts, owner, capacities(int(counts.sum()), shards))
     plan = spark.createDataFrame(parts, "arc int, first long, to_shard int, slot0 long")
     ends = F.lead("first").over(Window.partitionBy("arc").orderBy("first"))
     plan = plan.withColumn("end", F.coalesce(ends, F.lit(1 << 62)))
     bytes_ = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    rows = docs.select("doc_id", (F.octet_length(bytes_) + 1).cast("long").alias("size"), F.crc32(bytes_).alias("text_crc32"),
-                       position.alias("position"), arc.alias("arc"))
+    rows = with_arcs(docs.select("doc_id", (F.octet_length(bytes_) + 1).cast("long").alias("size"), F.crc32(bytes_).alias("text_crc32"),
+                                 position.alias("position")), at)
     rank = F.row_number().over(Window.partitionBy("arc").orderBy("position", "doc_id", "text_crc32", "size")) - 1
     # at most one interval for each arc and shard
     return (rows.withColumn("rank", rank).join(F.broadcast(plan.withColumnRenamed("arc", "of")),
