@@ -274,3 +274,20 @@ def test_score_uploads(spark):
         assert 0 <= r.overall_score <= 1 and r.n_items == 30 and len(r.key_channels) == 3
         assert r.key_channels[0] in ("ii_bp", "i_gsr") and "i_bp" not in r.key_channels
     assert per_q.count() == n and set(per_q.columns) >= {"test_id", "question_code", "deception_probability"}
+
+
+def test_feedback_log_read_error_propagates(spark, tmp_path):
+    """An unreadable newest version stops the upsert; earlier versions stay as they are."""
+    from veracity import schemas as S
+    from veracity.sources.tables import upsert_feedback_log
+    log = tmp_path / "log"
+    empty = spark.createDataFrame([], S.FEEDBACK)
+    upsert_feedback_log(spark, str(log), empty)
+    bad = log / "v=1"
+    bad.mkdir()
+    (bad / "part-00000.parquet").write_bytes(b"not parquet")
+    (bad / "_SUCCESS").touch()
+    before = sorted(p.name for p in (log / "v=0").iterdir())
+    with pytest.raises(Exception):
+        upsert_feedback_log(spark, str(log), empty)
+    assert sorted(p.name for p in (log / "v=0").iterdir()) == before and not (log / "v=2").exists()

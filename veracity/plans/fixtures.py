@@ -61,7 +61,7 @@ SELECT CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS y_true,
 """
 
 F_CELLS = """
-SELECT conv_id AS doc, turn AS row_no, CASE WHEN role = 'user' THEN SUBSTR(text,1,40) ELSE '' END AS cell_question,
+SELECT conv_id AS doc, turn AS row_no, CASE WHEN role = 'user' THEN text ELSE '' END AS cell_question,
  CASE WHEN role = 'system' THEN '' ELSE 'КГР' END AS cell_parameter,
  CAST(LENGTH(text) % 97 AS VARCHAR(20)) || ',5 усл.' AS cell_i,
  CASE WHEN turn % 3 = 0 THEN ' 0,' || CAST(LENGTH(text) % 10 AS VARCHAR(20)) ELSE '' END AS cell_result FROM {conversations}

@@ -85,15 +85,18 @@ def read_feedback(spark: SparkSession, path: str) -> DataFrame:
 
 def upsert_feedback_log(spark: SparkSession, log_dir: str, new: DataFrame) -> DataFrame:
     """SNK4 with safe overwrite: versions live in ``log_dir/v=<n>``; the new
-    latest-wins table is written to the next version (never over the path
-    being read), so a failed write leaves the previous version intact."""
+    latest-wins table is written to the next version (never over an existing
+    one). Versions are found by listing the folder; only the newest complete
+    one is read, and a read error propagates instead of starting anew."""
     from ..operators.feedback import upsert_feedback
-    try:
-        cur = spark.read.parquet(log_dir)
-        last = cur.agg(F.max("v")).first()[0]
-        old = cur.where(F.col("v") == last).drop("v")
-    except Exception:  # noqa: BLE001 - first version
-        last, old = -1, None
-    merged = upsert_feedback(old, new)
-    merged.write.mode("overwrite").parquet(f"{log_dir.rstrip('/')}/v={last + 1}")
-    return spark.read.parquet(f"{log_dir.rstrip('/')}/v={last + 1}")
+    log_dir = log_dir.rstrip("/")
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(log_dir)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
+    versions = sorted(int(n[2:]) for n in names if n.startswith("v=") and n[2:].isdigit())
+    complete = [v for v in versions if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{log_dir}/v={v}/_SUCCESS"))]
+    old = spark.read.parquet(f"{log_dir}/v={complete[-1]}") if complete else None
+    target = f"{log_dir}/v={(versions[-1] if versions else -1) + 1}"
+    upsert_feedback(old, new).write.mode("errorifexists").parquet(target)
+    return spark.read.parquet(target)
