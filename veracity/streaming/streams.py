@@ -22,7 +22,6 @@ from .. import schemas as S
 from ..operators import direct as D
 from ..operators import verdicts as V
 from ..functions import constants as K
-from ..session import ensure_checkpoint_dir
 from ..sources import archives as A
 from ..sources import tables as TB
 
@@ -31,8 +30,9 @@ BINARY_FILE = T.StructType([
     T.StructField("length", T.LongType()), T.StructField("content", T.BinaryType())])
 
 
-def _ckpt(spark: SparkSession, name: str, given: str | None) -> str:
-    return given or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}"
+def _ckpt(out_dir: str, given: str | None) -> str:
+    """A stream's own checkpoint: it lies with the output, so a restart into the same output goes on with its batch ids."""
+    return given or f"{out_dir.rstrip('/')}/_checkpoint"
 
 
 def score_batch(batch: DataFrame, batch_id: int, out_dir: str) -> None:
@@ -55,7 +55,7 @@ def stream_scores(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: st
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     src = r.load(in_dir)
     w = (src.writeStream.foreachBatch(lambda df, bid: score_batch(df, bid, out_dir))
-         .option("checkpointLocation", _ckpt(spark, "scores", checkpoint)))
+         .option("checkpointLocation", _ckpt(out_dir, checkpoint)))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()
 
@@ -69,7 +69,7 @@ def stream_feedback(spark: SparkSession, in_dir: str, log_dir: str, checkpoint:
         if not df.isEmpty():
             TB.upsert_feedback_log(df.sparkSession, log_dir, df)
 
-    w = src.writeStream.foreachBatch(fold).option("checkpointLocation", _ckpt(spark, "feedback", checkpoint))
+    w = src.writeStream.foreachBatch(fold).option("checkpointLocation", _ckpt(log_dir, checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()
 
