@@ -159,3 +159,12 @@ ENSEMBLE_F1_MARGIN = 0.02
 ENSEMBLE_MAX_MEMBERS = 3
 ENSEMBLE_MIN_WEIGHT = 0.001
 WEAK_LABEL_THRESHOLD = 0.55
+
+# Tags and attributes of XML archives, in order of preference.
+XML_QUESTION_TAGS = ("question", "q")
+XML_QUESTION_ATTRS = ("text", "name", "code")
+XML_CHANNEL_TAGS = ("channel", "sensor", "parameter")
+XML_CHANNEL_ATTRS = ("name", "type", "id")
+XML_FIRST_TAGS = ("metrici", "i", "value1", "first")
+XML_SECOND_TAGS = ("metricii", "ii", "value2", "second")
+XML_SCORE_TAGS = ("result", "score", "index", "probability")

@@ -51,9 +51,14 @@ def cells_to_fields(rows: DataFrame, doc: str = "doc", table: str = "tbl_no", ro
     short rows are padded with ''. Blank rows are dropped first."""
     nonblank = F.exists(F.col(cells), lambda x: F.length(x) > 0)
     r = header_rows(rows.where(nonblank), cells)
-    r = r.withColumn("_hdr", F.when(F.col("is_header"), F.col(cells)))
-    c = carry_forward(r, [doc, table], [F.col(row)], ["_hdr"])
-    hdr = F.coalesce(F.col("ffill__hdr"), F.array(*[F.lit(h) for h in K.DOCX_DEFAULT_HEADER]))
+    # only the header's row number is carried; the header itself is joined by that number
+    r = r.withColumn("_hdr_row", F.when(F.col("is_header"), F.col(row).cast("double")))
+    heads = r.where("is_header").select(F.col(doc).alias("_h_doc"), F.col(table).alias("_h_tbl"),
+                                        F.col(row).cast("double").alias("_h_row"), F.col(cells).alias("_hdr"))
+    c = carry_forward(r, [doc, table], [F.col(row)], ["_hdr_row"])
+    c = c.join(heads, (F.col(doc) == F.col("_h_doc")) & (F.col(table) == F.col("_h_tbl"))
+               & (F.col("ffill__hdr_row") == F.col("_h_row")), "left")
+    hdr = F.coalesce(F.col("_hdr"), F.array(*[F.lit(h) for h in K.DOCX_DEFAULT_HEADER]))
     up = F.transform(hdr, lambda h: F.lower(h))
     rev = F.reverse(up)
 

@@ -21,8 +21,8 @@ from ..sources import tables as TB
 # ---------------------------------------------------------------- JOB1 / JOB5
 def run_preprocess(spark: SparkSession, docx_dir: str | None, xdex_dir: str | None, out_dir: str | None = None,
                    weak_threshold: float = K.WEAK_LABEL_THRESHOLD) -> tuple[DataFrame, DataFrame]:
-    """Corpus -> long and wide tables (optionally written as parquet)."""
-    raw = A.load_raw(spark, docx_dir, xdex_dir)
+    """Corpus -> long and wide tables (optionally written as parquet, with the unreadable files in ``quarantine``)."""
+    raw = A.load_raw(spark, docx_dir, xdex_dir, quarantine=f"{out_dir}/quarantine" if out_dir else None)
     long = materialize(FE.build_long(raw))
     wide = FE.build_features(long, weak_threshold)
     if out_dir:
@@ -170,7 +170,7 @@ def ml_summary(pred: DataFrame, by: list[str] | None = None) -> DataFrame:
 # ---------------------------------------------------------------- JOB4 / JOB6 / JOB7 / JOB9
 def score_direct_corpus(spark: SparkSession, xdex_dir: str) -> tuple[DataFrame, DataFrame]:
     """JOB4 over a folder of archives: scored stimuli + per-test summary."""
-    st = A.stimuli(A.parsed_json(A.scan_xdex(spark, xdex_dir)))
+    st = A.stimuli(A.parsed_json(A.parsed_once(A.scan_xdex(spark, xdex_dir))))
     scored = D.score_direct(st)
     return scored, D.direct_summary(scored)
 
@@ -179,7 +179,7 @@ def analyze(spark: SparkSession, xdex_dir: str, bundle: tuple | None = None) ->
     """JOB7: per test, ML path when a bundle is given and the test has usable
     I/II metrics, else the direct path; question votes and blended verdict.
     Returns (question rows, one summary row per test with ``method``)."""
-    sc = A.scan_xdex(spark, xdex_dir)
+    sc = A.parsed_once(A.scan_xdex(spark, xdex_dir))
     pj = A.parsed_json(sc)
     direct_scored = D.score_direct(A.stimuli(pj))
     dq = V.collapse_questions(direct_scored, threshold=K.DIRECT_LABEL_THRESHOLD)
