@@ -146,6 +146,45 @@ def test_folds_and_holdout_invariants(spark):
     assert h[h.split == "holdout"]._label.nunique() == 2 and h[h.split == "dev"]._label.nunique() == 2
 
 
+@pytest.mark.parametrize("labels, size", [([0] * 7 + [1] * 7, 3), ([0, 1, 1, 1], 2)])
+def test_holdout_takes_exactly_its_size(spark, labels, size):
+    rows = [(f"g{i}", y, x) for i, y in enumerate(labels) for x in range(2)]
+    if len(labels) == 4:
+        rows += [(f"g{i}", 1 - y, 9) for i, y in enumerate(labels)]  # both classes on both sides
+    df = spark.createDataFrame(rows, "test_id string, _label int, a int")
+    h = ML.group_holdout(df, "test_id", "_label").toPandas()
+    assert len(h) == len(rows) and h[h.split == "holdout"].test_id.nunique() == size
+
+
+def test_row_folds_keep_every_row(spark):
+    df = spark.createDataFrame([("t", i % 2, i // 4) for i in range(40)], "test_id string, _label int, a int")
+    out, k, kind = ML.assign_folds(df, "test_id", "_label")
+    got = out.toPandas()
+    assert kind == "stratified" and k == 5 and len(got) == 40
+    assert got.groupby(["_label", "fold"]).size().eq(4).all()
+
+
+def test_feedback_ties_do_not_depend_on_order(spark):
+    from veracity.operators import feedback as FB
+    rows = [("t", "q", "2024-01-01 00:00:00", 1, "a"), ("t", "q", "2024-01-01 00:00:00", 0, "b")]
+    cols = "test_id string, question_code string, created_at string, expert_label int, note string"
+    got = [FB.latest_feedback(spark.createDataFrame(r, cols)).collect()[0].note for r in (rows, rows[::-1])]
+    assert got[0] == got[1]
+
+
+def test_headers_reach_rows_on_both_paths(spark, monkeypatch):
+    from veracity.operators import cells as CE
+    from veracity.operators import ordered as O
+    rows = [("d", 0, 0, ["Вопрос", "I", "Параметр"]), ("d", 0, 1, ["Пв1", "1,5", "КГР"]),
+            ("d", 0, 2, ["Параметр", "Вопрос", "II"]), ("d", 0, 3, ["АД", "Пв2", "7"]), ("d", 1, 0, ["Нв1", "ПГ", "3"])]
+    df = spark.createDataFrame(rows, "doc string, tbl_no int, row_no int, cells array<string>")
+    want = {(0, 1): ("Пв1", "КГР"), (0, 3): ("Пв2", "АД"), (1, 0): ("Нв1", "ПГ")}
+    for limit in (O.WINDOW_GROUP_LIMIT, 0):
+        monkeypatch.setattr(O, "WINDOW_GROUP_LIMIT", limit)
+        got = {(r.tbl_no, r.row_no): (r.cell_question, r.cell_parameter) for r in CE.cells_to_fields(df).collect()}
+        assert got == want
+
+
 def test_logreg_beats_majority(spark):
     rng = np.random.default_rng(1)
     n = 400

@@ -22,7 +22,8 @@ def with_review_labels(fb: DataFrame, review: str = "expert_review") -> DataFram
 
 def latest_feedback(fb: DataFrame, keys: list[str] | None = None, ts: str = "created_at") -> DataFrame:
     """Latest labelled row per key by ``ts`` (labels outside 0/1 clipped,
-    unlabeled rows dropped). ``ts`` must order rows uniquely per key."""
+    unlabeled rows dropped). Rows of one instant are ordered by their other
+    columns, so the choice never depends on the order of arrival."""
     keys = keys or KEYS
     raw = E.to_double("expert_label").cast("int")
     lab = F.when(raw.isNotNull(), F.least(F.lit(1), F.greatest(F.lit(0), raw)))  # bare least/greatest skip NULLs
@@ -30,7 +31,7 @@ def latest_feedback(fb: DataFrame, keys: list[str] | None = None, ts: str = "cre
          .withColumn("test_id", F.col("test_id").cast("string"))
          .withColumn("question_code", F.col("question_code").cast("string")))
     rest = [c for c in d.columns if c not in keys]
-    g = d.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(ts)).alias("_r"))
+    g = d.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(ts, *[c for c in rest if c != ts])).alias("_r"))
     return g.select(*keys, *[F.col("_r." + c).alias(c) for c in rest])
 
 

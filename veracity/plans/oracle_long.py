@@ -132,6 +132,28 @@ def ml_oracles() -> dict[str, str]:
       FROM st s JOIN meds m USING (feature) JOIN selected k USING (feature) WHERE k.ok"""}
 
 
+SPLIT_CTES = """, lab AS (SELECT * FROM wide2 WHERE label_bootstrap IS NOT NULL),
+  grp AS (SELECT test_id, CAST(avg(CAST(label_bootstrap AS DOUBLE)) >= 0.5 AS INTEGER) AS stratum FROM lab GROUP BY test_id),
+  pos AS (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY md5('42:' || CAST(test_id AS VARCHAR)), test_id) - 1 AS pos
+    FROM grp)"""
+SPLIT_KEYS = ("l.test_id, l.source_file, l.source_type, l.question_code, l.question_raw, l.question_text, l.question_type")
+
+
+def split_oracles() -> dict[str, str]:
+    """group_folds: position in the stratum modulo k; group_holdout: the first positions, shares by largest remainder."""
+    folds = LONG_CTES + SPLIT_CTES + f""", k AS (SELECT least(5, min(c)) AS k FROM (SELECT count(*) AS c FROM lab GROUP BY label_bootstrap))
+      SELECT {SPLIT_KEYS}, CAST(p.pos % k.k AS INTEGER) AS fold FROM lab l JOIN pos p USING (test_id) CROSS JOIN k"""
+    hold = LONG_CTES + SPLIT_CTES + f""", n AS (SELECT count(*) AS n, least(greatest(2, CAST(round_even(count(*) * 0.2, 0) AS BIGINT)), count(*) - 2) AS size
+        FROM grp),
+      st AS (SELECT stratum, count(*) AS c FROM grp GROUP BY stratum),
+      part AS (SELECT stratum, c * size // n AS base, c * size % n AS rest, size FROM st CROSS JOIN n),
+      sh AS (SELECT stratum, base + CASE WHEN row_number() OVER (ORDER BY rest DESC, stratum) <= size - sum(base) OVER ()
+        THEN 1 ELSE 0 END AS share FROM part)
+      SELECT {SPLIT_KEYS}, CASE WHEN p.pos < s.share THEN 'holdout' ELSE 'dev' END AS split
+      FROM lab l JOIN pos p USING (test_id) JOIN sh s USING (stratum)"""
+    return {"group_folds": folds, "group_holdout": hold}
+
+
 def review_oracles() -> dict[str, str]:
     return {"review_defaults": LONG_CTES + """SELECT test_id, question_code, question_raw, question_type, label_weak AS pred_label,
       coalesce(CASE trim(waiting_answer_label) WHEN 'Lie' THEN 'Lie' WHEN 'Truth' THEN 'Truth' END,
