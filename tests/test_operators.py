@@ -21,24 +21,55 @@ def _df(spark, n=3000, seed=7):
     return spark.createDataFrame(pdf), pdf
 
 
-def test_median_scan_equals_aggregate(spark):
+def test_group_median(spark):
     df, pdf = _df(spark)
-    a = {r.g: r.m for r in O.group_median(df, ["g"], "x", "m", limit=10).collect()}   # forced range scan
-    b = {r.g: r.m for r in O.group_median(df, ["g"], "x", "m").collect()}             # built-in median
-    exp = pdf.groupby("g").x.median().to_dict()
-    for k in exp:
-        assert abs(a[k] - exp[k]) < 1e-12 and abs(b[k] - exp[k]) < 1e-12
+    got = {r.g: r.m for r in O.group_median(df, ["g"], "x", "m").collect()}
+    for k, m in pdf.groupby("g").x.median().to_dict().items():
+        assert abs(got[k] - m) < 1e-12
 
 
-def test_running_and_rank_paths_agree(spark):
+def test_median_of_hot_tie_and_odd_values(spark):
+    rows = [("hot", 2.5)] * 500 + [("hot", float(i)) for i in range(-20, 20)] + [("nan", float("nan"))]
+    rows += [(None, 1.0), (None, 4.0), ("tiny", 1e-310), ("tiny", -1e-310), ("tiny", 0.0), ("void", None)]
+    rows += [("wide", x) for x in (float("-inf"), -1e305, 3.0, 1e305)]
+    got = {r.g: r.m for r in O.group_median(spark.createDataFrame(rows, "g string, x double"), ["g"], "x", "m").collect()}
+    assert got["hot"] == 2.5 and got[None] == 2.5 and got["tiny"] == 0.0 and "void" not in got and math.isnan(got["nan"])
+    assert got["wide"] == (-1e305 + 3.0) / 2
+
+
+def test_running_sums_and_ranks(spark, monkeypatch):
     df, pdf = _df(spark)
     d = df.withColumn("w", F.col("y").cast("double"))
-    s1 = d.transform(lambda t: O.running_sums(t, ["g"], [F.col("o")], ["w"], limit=10)).orderBy("o").toPandas()
-    s2 = d.transform(lambda t: O.running_sums(t, ["g"], [F.col("o")], ["w"])).orderBy("o").toPandas()
-    assert np.allclose(s1.cum_w, s2.cum_w) and np.allclose(s1.tot_w, s2.tot_w)
-    r1 = O.global_rank(df.select("g", "o"), [F.col("g"), F.col("o")], limit=10).orderBy("g", "o").toPandas()
-    r2 = O.global_rank(df.select("g", "o"), [F.col("g"), F.col("o")]).orderBy("g", "o").toPandas()
-    assert (r1["rank"].values == r2["rank"].values).all() and list(r1["rank"]) == list(range(len(r1)))
+    s = O.running_sums(d, ["g"], [F.col("o")], ["w"], F.floor(F.col("o") / 100)).orderBy("o").toPandas()
+    assert np.allclose(s.cum_w, pdf.groupby("g").y.cumsum()) and np.allclose(s.tot_w, pdf.groupby("g").y.transform("sum"))
+    r = O.global_rank(df.select("g", "o"), [F.col("g"), F.col("o")]).orderBy("g", "o").toPandas()
+    assert list(r["rank"]) == list(range(len(r)))
+    # a hot first order column that is tied throughout
+    t = O.group_rank(df.select("g", "o", F.lit(0.5).alias("p")), ["g"], [F.col("p").desc(), F.col("o")]).orderBy("o").toPandas()
+    assert list(t["rank"]) == list(pdf.groupby("g").cumcount())
+    assert O.global_rank(df.select("o").where("o < 0"), [F.col("o")]).count() == 0
+
+
+def test_carry_arrays_over_buckets(spark, monkeypatch):
+    monkeypatch.setattr(O, "SPAN", 3)
+    rows = [("hot" if i % 5 else "b", i // 40, i, [str(i), None] if i % 7 == 0 else None, float(i) if i % 11 == 0 else None)
+            for i in range(200)]
+    df = spark.createDataFrame(rows, "g string, t int, o int, a array<string>, v double")
+    got = {r.o: r for r in O.carry_forward(df, ["g"], ["t", "o"], ["a", "v"]).collect()}
+    last = {}
+    for g, _, o, a, v in rows:
+        old = last.get(g, (None, None))
+        last[g] = (a if a is not None else old[0], v if v is not None else old[1])
+        assert (got[o].ffill_a, got[o].ffill_v) == last[g]
+
+
+def test_neighbours_over_buckets(spark, monkeypatch):
+    monkeypatch.setattr(O, "SPAN", 4)
+    marks = {"x": [3, 17, 18, 40], "y": []}
+    df = spark.createDataFrame([(g, p, p if p in m else None) for g, m in marks.items() for p in range(50)], "g string, p int, m int")
+    for r in O.neighbours(df, ["g"], "p", "m", "m").collect():
+        m = marks[r.g]
+        assert r.left == max((x for x in m if x < r.p), default=None) and r.right == min((x for x in m if x >= r.p), default=None)
 
 
 def _ap(y, s):
@@ -172,17 +203,14 @@ def test_feedback_ties_do_not_depend_on_order(spark):
     assert got[0] == got[1]
 
 
-def test_headers_reach_rows_on_both_paths(spark, monkeypatch):
+def test_headers_reach_rows(spark):
     from veracity.operators import cells as CE
-    from veracity.operators import ordered as O
     rows = [("d", 0, 0, ["Вопрос", "I", "Параметр"]), ("d", 0, 1, ["Пв1", "1,5", "КГР"]),
             ("d", 0, 2, ["Параметр", "Вопрос", "II"]), ("d", 0, 3, ["АД", "Пв2", "7"]), ("d", 1, 0, ["Нв1", "ПГ", "3"])]
     df = spark.createDataFrame(rows, "doc string, tbl_no int, row_no int, cells array<string>")
     want = {(0, 1): ("Пв1", "КГР"), (0, 3): ("Пв2", "АД"), (1, 0): ("Нв1", "ПГ")}
-    for limit in (O.WINDOW_GROUP_LIMIT, 0):
-        monkeypatch.setattr(O, "WINDOW_GROUP_LIMIT", limit)
-        got = {(r.tbl_no, r.row_no): (r.cell_question, r.cell_parameter) for r in CE.cells_to_fields(df).collect()}
-        assert got == want
+    got = {(r.tbl_no, r.row_no): (r.cell_question, r.cell_parameter) for r in CE.cells_to_fields(df).collect()}
+    assert got == want
 
 
 def test_logreg_beats_majority(spark):
@@ -229,17 +257,19 @@ def test_calibrated_forest_probabilities(spark):
     assert ML.feature_importance(f) == [("a", 0.0), ("b", 0.0)]
 
 
-def test_robust_stats_paths_agree(spark, sf):
+def test_robust_stats(spark, sf):
     from veracity.operators import direct as D
     from veracity.plans import catalog as C
-    m = O.materialize(C._masked(spark, sf))
-    a = {r.test_id: r for r in D.robust_stats(m, "test_id").collect()}
-    b = {r.test_id: r for r in D.robust_stats(m, "test_id", median_limit=-1).collect()}  # forced range scan
-    assert set(a) == set(b) and len(a) == 15
-    for k in a:
-        for f in a[k].asDict():
-            if f != "test_id":
-                assert abs(a[k][f] - b[k][f]) < 1e-12, (k, f)
+    m = C._masked(spark, sf)
+    got = {r.test_id: r for r in D.robust_stats(m, "test_id").collect()}
+    base = m.where("in_baseline").select("test_id", *D.SIG.values()).toPandas()
+    assert len(got) == 15
+    for t, x in base.groupby("test_id"):
+        for ch, col in D.SIG.items():
+            mid = x[col].median()
+            mad, sd = (x[col] - mid).abs().median() * 1.4826, x[col].std(ddof=0)
+            assert abs(got[t][f"centre_{ch}"] - mid) < 1e-12
+            assert abs(got[t][f"scale_{ch}"] - (mad if mad > 1e-8 else sd if sd > 1e-8 else 1.0)) < 1e-9
 
 
 def test_feedback_log_versions(spark, tmp_path):
@@ -265,34 +295,31 @@ def test_attach_expected_keys_by_test(spark):
     assert got == {"A": "Lie", "B": "Truth"}
 
 
-def test_nearest_reference_paths_agree(spark, sf):
+def test_nearest_reference(spark, sf, monkeypatch):
     from veracity.operators import direct as D
     from veracity.plans import catalog as C
-    z = O.materialize(D.robust_z(O.materialize(C._masked(spark, sf)), "test_id"))
+    z = O.materialize(D.robust_z(C._masked(spark, sf), "test_id"))
     cols = ["test_id", "group_idx", "stimulus_idx", "ref_c_question_code", "ref_group_idx", "ref_stimulus_idx",
             "delta_eda_vs_c", "delta_resp_vs_c"]
     a = sorted(tuple(r) for r in D.nearest_reference(z, "test_id").select(*cols).collect())
-    b = sorted(tuple(r) for r in D.nearest_reference(z, "test_id", limit=1).select(*cols).collect())  # forced range scan
+    monkeypatch.setattr(O, "SPAN", 2)  # many buckets a test
+    b = sorted(tuple(r) for r in D.nearest_reference(z, "test_id").select(*cols).collect())
     assert len(a) == 1000 and a == b
     c = D.nearest_reference(z, "test_id", within_group=True).select(*cols).collect()
     assert all(r.ref_group_idx is None or r.ref_group_idx == r.group_idx for r in c)
 
 
-def test_impute_scale_paths_agree(spark, monkeypatch):
+def test_impute_scale(spark):
     rng = np.random.default_rng(4)
     pdf = pd.DataFrame({"a": rng.normal(size=200), "b": rng.integers(0, 3, 200).astype(float)})
     pdf.loc[::7, "a"] = np.nan
-    df = spark.createDataFrame(pdf).withColumn("a", F.when(F.isnan("a"), None).otherwise(F.col("a")))
-    small = {r.feature: r for r in ML.fit_impute_scale(df, ["a", "b"]).collect()}
-    monkeypatch.setattr(O, "MEDIAN_GROUP_LIMIT", 10)
-    large = {r.feature: r for r in ML.fit_impute_scale(df, ["a", "b"]).collect()}
-    med = pdf.a.median()
-    assert abs(small["a"].median - med) < 1e-12
-    imp = pdf.a.fillna(med)
-    assert abs(small["a"].mean - imp.mean()) < 1e-12 and abs(small["a"].std - imp.std(ddof=0)) < 1e-12
-    for f in ("a", "b"):
-        for k in ("median", "mean", "std"):
-            assert abs(small[f][k] - large[f][k]) < 1e-12
+    df = spark.createDataFrame(pdf).select(F.nanvl("a", F.lit(None)).alias("a"), "b", F.lit(None).cast("double").alias("void"))
+    got = {r.feature: r for r in ML.fit_impute_scale(df, ["a", "b", "void"]).collect()}
+    for c in ("a", "b"):
+        imp = pdf[c].fillna(pdf[c].median())
+        assert abs(got[c].median - pdf[c].median()) < 1e-12
+        assert abs(got[c].mean - imp.mean()) < 1e-12 and abs(got[c].std - imp.std(ddof=0)) < 1e-12
+    assert (got["void"].median, got["void"].mean, got["void"].std) == (None, 0.0, 1.0)
 
 
 def test_score_uploads(spark):

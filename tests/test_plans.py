@@ -15,3 +15,9 @@ def test_plan_has_no_forbidden_operators(spark, sf, name):
     plan = df._jdf.queryExecution().executedPlan().toString()
     for op in FORBIDDEN:
         assert op not in plan, f"{name}: {op}"
+
+
+@pytest.mark.parametrize("name", ["long_dedupe", "question_code_fill"])
+def test_question_numbering_spreads_over_partitions(spark, sf, name):
+    plan = entry.queries()[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan

@@ -24,7 +24,7 @@ def interpret_rows(rows: DataFrame, doc: str = "doc", order: list[str] | None =
     order = order or ["row_no"]
     q = F.nullif(E.utrim(F.coalesce(F.col(question), F.lit(""))), F.lit(""))
     d = rows.select("*", q.alias("_q"), E.to_float(result).alias("_r"))
-    c = carry_forward(d, [doc], [F.col(o) for o in order], ["_q", "_r"])
+    c = carry_forward(d, [doc], order, ["_q", "_r"])
     p = E.utrim(F.coalesce(F.col(parameter), F.lit("")))
     parts = E.question_parts(F.col("ffill__q"))
     out = c.where(p != "").select(
@@ -55,7 +55,7 @@ def cells_to_fields(rows: DataFrame, doc: str = "doc", table: str = "tbl_no", ro
     r = r.withColumn("_hdr_row", F.when(F.col("is_header"), F.col(row).cast("double")))
     heads = r.where("is_header").select(F.col(doc).alias("_h_doc"), F.col(table).alias("_h_tbl"),
                                         F.col(row).cast("double").alias("_h_row"), F.col(cells).alias("_hdr"))
-    c = carry_forward(r, [doc, table], [F.col(row)], ["_hdr_row"])
+    c = carry_forward(r, [doc, table], [row], ["_hdr_row"])
     c = c.join(heads, (F.col(doc) == F.col("_h_doc")) & (F.col(table) == F.col("_h_tbl"))
                & (F.col("ffill__hdr_row") == F.col("_h_row")), "left")
     hdr = F.coalesce(F.col("_hdr"), F.array(*[F.lit(h) for h in K.DOCX_DEFAULT_HEADER]))

@@ -5,23 +5,22 @@ questions, contrast of every stimulus against its nearest comparison ('C')
 question, a logistic squash to a probability, and a per-test verdict.
 
 Scale design: every per-test statistic is a ``groupBy`` (partial aggregation
-before the shuffle) or an exact median from :mod:`ordered` (range-partitioned,
-hot tests are split across tasks). The nearest-reference search runs on a
-table pre-aggregated to one row per (test, question_index), so its window
-holds at most one row per distinct question position of a test, never the
-test's stimuli. Per-test results are joined back on the test key; AQE turns
-those joins into broadcasts when the measured side is small and splits skewed
+before the shuffle) or a two-level exact median from :mod:`ordered` (a hot
+test is split across tasks). The nearest-reference search runs on a table
+pre-aggregated to one row per (test, question_index), never on the test's
+stimuli. Per-test results are joined back on the test key; AQE turns those
+joins into broadcasts when the measured side is small and splits skewed
 partitions otherwise.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions import exprs as E
-from .ordered import MEDIAN_GROUP_LIMIT, WINDOW_GROUP_LIMIT, carry_forward, group_median, groups_within, materialize
+from .ordered import group_median, materialize, neighbours
 
 SIG = {ch: f"sig_{ch}" for ch in K.CHANNELS}
 
@@ -71,31 +70,15 @@ def _scale(mad, sd):
     return F.when(robust > K.SCALE_EPS, robust).when(sd > K.SCALE_EPS, sd).otherwise(F.lit(1.0))
 
 
-def robust_stats(masked: DataFrame, by, median_limit: int = MEDIAN_GROUP_LIMIT, has_large: bool | None = None) -> DataFrame:
+def robust_stats(masked: DataFrame, by) -> DataFrame:
     """AGG6: per test and channel: centre = median, scale = 1.4826*MAD, else
-    population sd, else 1 (over baseline rows). One row per test, wide.
-
-    Tests within the median bound: two ``groupBy(test)`` passes with the four
-    channels side by side (medians + sds, then MADs). Tests above it: long
-    format through the range-partitioned exact median."""
+    population sd, else 1 (over baseline rows). One row per test, wide."""
     by = _by(by)
-    if has_large is None:
-        has_large = not masked.where(F.col("n_baseline") > median_limit).isEmpty()
-    base = masked.where("in_baseline").select(*by, "n_baseline", *SIG.values())
-    if not has_large:
-        c = base.groupBy(*by).agg(*[F.median(col).alias(f"centre_{ch}") for ch, col in SIG.items()],
-                                  *[F.stddev_pop(col).alias(f"sd_{ch}") for ch, col in SIG.items()])
-        dev = base.join(c, by).select(*by, *[F.abs(F.col(col) - F.col(f"centre_{ch}")).alias(f"dev_{ch}")
-                                             for ch, col in SIG.items()])
-        m = dev.groupBy(*by).agg(*[F.median(f"dev_{ch}").alias(f"mad_{ch}") for ch in SIG])
-        j = c.join(m, by)
-        return j.select(*by, *[x for ch in SIG for x in (F.col(f"centre_{ch}"),
-                                                          _scale(F.col(f"mad_{ch}"), F.col(f"sd_{ch}")).alias(f"scale_{ch}"))])
     keys = by + ["channel"]
-    long = base.unpivot(by + ["n_baseline"], list(SIG.values()), "channel", "x")
-    centre = group_median(long, keys, "x", "centre", size_col="n_baseline", has_large=True)
-    dev = long.join(centre, keys).select(*keys, "n_baseline", F.abs(F.col("x") - F.col("centre")).alias("dev"))
-    mad = group_median(dev, keys, "dev", "mad", size_col="n_baseline", has_large=True)
+    long = masked.where("in_baseline").select(*by, *SIG.values()).unpivot(by, list(SIG.values()), "channel", "x")
+    centre = group_median(long, keys, "x", "centre")
+    dev = long.join(centre, keys).select(*keys, F.abs(F.col("x") - F.col("centre")).alias("dev"))
+    mad = group_median(dev, keys, "dev", "mad")
     sd = long.groupBy(*keys).agg(F.stddev_pop("x").alias("sd"))
     st = centre.join(mad, keys, "left").join(sd, keys, "left").select(*keys, "centre", _scale(F.col("mad"), F.col("sd")).alias("scale"))
     aggs = []
@@ -106,34 +89,29 @@ def robust_stats(masked: DataFrame, by, median_limit: int = MEDIAN_GROUP_LIMIT,
     return st.groupBy(*by).agg(*aggs)
 
 
-def robust_z(masked: DataFrame, by, has_large: bool | None = None) -> DataFrame:
-    by = _by(by)
-    st = robust_stats(masked, by, has_large=has_large)
-    j = masked.join(st, by, "left")
+def _with_z(j: DataFrame, columns: list[str]) -> DataFrame:
+    """``columns`` and the clipped robust z of every channel, from rows that carry their test's centres and scales."""
     zs = []
     for ch, col in SIG.items():
         scale = F.coalesce(F.col(f"scale_{ch}"), F.lit(1.0))
         zs.append(E.clip((F.col(col) - F.col(f"centre_{ch}")) / scale, -K.Z_CLIP, K.Z_CLIP).alias(f"z_{ch}"))
-    return j.select(*masked.columns, *zs)
+    return j.select(*columns, *zs)
 
 
-REF_SCHEMA = "idx INT, g INT, s INT, code STRING, " + ", ".join(f"{ch} DOUBLE" for ch in K.CHANNELS)
+def robust_z(masked: DataFrame, by) -> DataFrame:
+    by = _by(by)
+    return _with_z(masked.join(robust_stats(masked, by), by, "left"), masked.columns)
 
 
-def nearest_reference(df: DataFrame, by, within_group: bool = False, limit: int | None = None,
-                      bounded: bool | None = None) -> DataFrame:
+def nearest_reference(df: DataFrame, by, within_group: bool = False) -> DataFrame:
     """JOIN3 + JOIN5: for every stimulus the nearest allowed 'C' stimulus by
     question_index (left = last with a smaller index, right = first with index
     >= q; right only when strictly nearer), its code and z values -> deltas.
 
     Runs on the table of distinct (test[, group], question_index) positions,
     never on stimuli: per position the last and the first comparison stimulus
-    (struct max/min, partially aggregated). The as-of search is a carry-forward
-    over query rows and reference rows of a test -- ascending with references
-    after the query of the same index (strictly smaller index), descending
-    with references first (index >= q) -- on the range-partitioned scan. Tests
-    within the size bound (one check over the position table) use two RANGE
-    windows over their positions instead.
+    (struct max/min, partially aggregated), then the two-level search of
+    :func:`ordered.neighbours`. Stimuli without an index have no reference.
     """
     key = _by(by) + (["group_idx"] if within_group else [])
     is_ref = F.col("allowed") & (F.col("q_type") == "C")
@@ -141,34 +119,14 @@ def nearest_reference(df: DataFrame, by, within_group: bool = False, limit: int
                        F.col("stimulus_idx").alias("s"), F.col("question_code").alias("code"),
                        *[F.col(f"z_{ch}").alias(ch) for ch in K.CHANNELS])
     # order among stimuli of one index: (group_idx, stimulus_idx)
-    per_idx = df.groupBy(*key, "question_index").agg(
-        F.max(F.when(is_ref, F.struct(F.col("group_idx"), F.col("stimulus_idx"), payload.alias("p")))).alias("last_ref"),
-        F.min(F.when(is_ref, F.struct(F.col("group_idx"), F.col("stimulus_idx"), payload.alias("p")))).alias("first_ref"))
-    qi = F.col("question_index")
-    if bounded is None:
-        bounded = groups_within(per_idx, key, (WINDOW_GROUP_LIMIT if limit is None else limit) // 2)
-    if bounded:
-        # bounded tests: two RANGE windows over the positions (left: idx <= q-1, right: idx >= q)
-        up = Window.partitionBy(*key).orderBy("question_index").rangeBetween(Window.unboundedPreceding, -1)
-        down = Window.partitionBy(*key).orderBy(qi.desc()).rangeBetween(Window.unboundedPreceding, 0)
-        lj = F.max(F.col("last_ref.p")).over(up)
-        rj = F.min(F.col("first_ref.p")).over(down)
-        lr = per_idx.select(*key, "question_index", lj.alias("l"), rj.alias("r"))
-        lj, rj = F.col("l"), F.col("r")
-    else:
-        q = per_idx.select(*key, "question_index", F.lit(None).cast("string").alias("ref"))
-
-        def side(col: str, ref_kind: int, order_idx):
-            refs = per_idx.where(F.col(col).isNotNull()).select(*key, "question_index",
-                                                                F.to_json(F.col(col + ".p")).alias("ref"))
-            u = q.withColumn("_kind", F.lit(1 - ref_kind)).unionByName(refs.withColumn("_kind", F.lit(ref_kind)))
-            c = carry_forward(u, key, [order_idx, F.col("_kind")], ["ref"], limit=-1)  # range-scan path
-            return c.where(F.col("_kind") == 1 - ref_kind).select(*key, "question_index", F.col("ffill_ref").alias(col))
-
-        lr = side("last_ref", 1, qi.asc()).join(side("first_ref", 0, qi.desc()), key + ["question_index"])
-        lj, rj = F.from_json("last_ref", REF_SCHEMA), F.from_json("first_ref", REF_SCHEMA)
+    ref = F.when(is_ref, F.struct(F.col("group_idx"), F.col("stimulus_idx"), payload.alias("p")))
+    per_idx = (df.where(F.col("question_index").isNotNull()).groupBy(*key, "question_index")
+               .agg(F.max(ref).alias("_last"), F.min(ref).alias("_first"))
+               .select(*key, "question_index", F.col("_last.p").alias("_last"), F.col("_first.p").alias("_first")))
+    qi, lj, rj = F.col("question_index"), F.col("left"), F.col("right")
     use_right = lj.isNull() | (rj.isNotNull() & (F.abs(rj["idx"] - qi) < F.abs(lj["idx"] - qi)))
-    picked = lr.select(*key, "question_index", F.when(use_right, rj).otherwise(lj).alias("ref"))
+    picked = (neighbours(per_idx, key, "question_index", "_last", "_first")
+              .select(*key, "question_index", F.when(use_right, rj).otherwise(lj).alias("ref")))
     j = df.join(picked, key + ["question_index"], "left")
     deltas = [F.coalesce(F.col(f"z_{ch}") - F.col(f"ref.{ch}"), F.lit(0.0)).alias(f"delta_{ch}_vs_c")
               for ch in K.CHANNELS]
@@ -194,13 +152,14 @@ def evidence(df: DataFrame) -> DataFrame:
 
 def score_direct(stim: DataFrame, by="test_id", within_group: bool = False) -> DataFrame:
     """JOB4 row level: every stimulus with signals, z, deltas, probability."""
+    by = _by(by)
     sig = signals(stim)
-    masked = materialize(with_masks(sig, test_tiers(sig, by), by))
-    # one size check for both bounded paths: stimuli per test bound both the baseline rows
-    # (exact medians) and the distinct question positions (as-of windows)
-    mx = masked.agg(F.max("n_items").alias("items"), F.max("n_baseline").alias("base")).first()
-    z = materialize(robust_z(masked, by, has_large=(mx["base"] or 0) > MEDIAN_GROUP_LIMIT))
-    return evidence(nearest_reference(z, by, within_group, bounded=(mx["items"] or 0) <= WINDOW_GROUP_LIMIT // 2))
+    tiers = test_tiers(sig, by)
+    # one row per test is all that is written; the stimuli are read again, with the columns that the step needs
+    per_test = materialize(tiers.join(robust_stats(with_masks(sig, tiers, by), by), by, "left"))
+    masked = with_masks(sig, per_test, by)
+    z = _with_z(masked, [c for c in masked.columns if not c.startswith(("centre_", "scale_"))])
+    return evidence(nearest_reference(z, by, within_group))
 
 
 def direct_summary(scored: DataFrame, by="test_id") -> DataFrame:

@@ -3,19 +3,18 @@
 Every metric is a ``groupBy`` over the evaluation rows (partial aggregation,
 so a hot model/fold key is combined map-side). Rank-based metrics (average
 precision, ROC-AUC) first collapse rows to one per distinct score and then
-take running sums via :func:`ordered.running_sums` (window when every group's
-distinct-score count is within the bound, range-partitioned scan otherwise).
+take the two-level running sums of :func:`ordered.running_sums`.
 The best-threshold search is a histogram over the 161 fixed thresholds, never
 a rows x thresholds cross join.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
-from .ordered import materialize, running_sums
+from .ordered import running_sums, value_bucket
 
 
 def _f1(tp, fp, fn):
@@ -88,50 +87,44 @@ def roc_auc(df: DataFrame, y: str = "y_true", prob: str = "y_prob", by: list[str
     form of the trapezoid rule); NULL when only one class is present."""
     by = by or []
     g = _score_table(df, y, prob, by)
-    r = running_sums(g, by, [F.col("_s").desc()], ["pos", "neg"])
+    r = running_sums(g, by, [F.col("_s").desc()], ["pos", "neg"], _descending("_s"))
     contrib = F.col("neg") * (F.col("cum_pos") - F.col("pos") / 2.0)
     a = r.groupBy(*by).agg(F.sum(contrib).alias("_u"), F.max("tot_pos").alias("_p"), F.max("tot_neg").alias("_q"))
     ok = (F.col("_p") > 0) & (F.col("_q") > 0)
     return a.select(*by, F.when(ok, F.col("_u") / (F.col("_p") * F.col("_q"))).alias("roc_auc"))
 
 
-def score_histogram(df: DataFrame, y: str, pred: str, prob: str, by: list[str]) -> DataFrame:
-    """One pass over the rows: (group, score, prediction) -> positives, count.
-    Every evaluation metric below is derived from this pre-aggregated table,
-    so the input is scanned and shuffled once."""
-    return df.groupBy(*by, F.col(prob).cast("double").alias("_s"), F.col(pred).cast("int").alias("_pd")).agg(
-        F.sum(F.col(y).cast("double")).alias("pos"), F.count(F.lit(1)).cast("double").alias("cnt"))
-
-
 def eval_metrics(df: DataFrame, y: str = "y_true", pred: str = "y_pred", prob: str = "y_prob",
                  by: list[str] | None = None, n_bins: int = 10) -> DataFrame:
-    """Classification metrics + Brier + ECE + PR-AUC (+ n, positive rate)
-    from one score histogram (labels are 0/1)."""
+    """Classification metrics + Brier + ECE + PR-AUC (+ n, positive rate);
+    labels are 0/1. One aggregate by (group, calibration bin) gives all but
+    PR-AUC, which alone needs the table of distinct scores."""
     if not by:  # global metrics: a constant key keeps every step an equi-join of one-row tables
         return eval_metrics(df.withColumn("_all", F.lit(0)), y, pred, prob, ["_all"], n_bins).drop("_all")
-    # three consumers with differently inferred filters would each rescan the input: write the histogram once
-    h = materialize(score_histogram(df, y, pred, prob, by))
-    s, pos, cnt, pd1 = F.col("_s"), F.col("pos"), F.col("cnt"), F.col("_pd") == 1
-    neg = cnt - pos
-    c = h.groupBy(*by).agg(
-        F.sum(F.when(pd1, pos).otherwise(0.0)).alias("tp"), F.sum(F.when(pd1, neg).otherwise(0.0)).alias("fp"),
-        F.sum(F.when(~pd1, pos).otherwise(0.0)).alias("fn"), F.sum(F.when(~pd1, neg).otherwise(0.0)).alias("tn"),
-        F.sum(cnt).alias("_n"), F.sum(pos).alias("_p"),
-        F.sum(cnt * s * s - 2.0 * s * pos + pos).alias("_se"))
-    m = c.select(*by, F.col("_n").cast("long").alias("n_samples"), (F.col("_p") / F.col("_n")).alias("positive_rate"),
-                 *classification_cols(), (F.col("_se") / F.col("_n")).alias("brier"))
-    b = h.withColumn("_bin", _bin_index(s, n_bins)).groupBy(*by, "_bin").agg(
-        F.sum(cnt).alias("_nb"), F.sum(cnt * s).alias("_sp"), F.sum(pos).alias("_sy"))
-    e = b.groupBy(*by).agg(
-        (F.sum(F.when(F.col("_bin").isNotNull(), F.abs(F.col("_sp") / F.col("_nb") - F.col("_sy") / F.col("_nb"))
-                      * F.col("_nb"))) / F.sum("_nb")).alias("_ece"))
-    e = e.select(*by, F.coalesce(F.col("_ece"), F.lit(0.0)).alias("ece"))
-    ap = _ap_from_scores(h.groupBy(*by, "_s").agg(F.sum("pos").alias("pos"), F.sum("cnt").alias("cnt")), by)
-    return m.join(e, by, "left").join(ap, by, "left")
+    yy, s, hit = F.col(y).cast("double"), F.col(prob).cast("double"), F.col(pred).cast("int") == 1
+    parts = {"tp": F.when(hit, yy).otherwise(0.0), "fp": F.when(hit, 1.0 - yy).otherwise(0.0),
+             "fn": F.when(~hit, yy).otherwise(0.0), "tn": F.when(~hit, 1.0 - yy).otherwise(0.0)}
+    b = df.groupBy(*by, _bin_index(s, n_bins).alias("_bin")).agg(
+        *[F.sum(e).alias(c) for c, e in parts.items()], F.count(F.lit(1)).cast("double").alias("_n"),
+        F.sum(yy).alias("_p"), F.sum(s).alias("_s"), F.sum((s - yy) ** 2).alias("_se"))
+    gap = F.when(F.col("_bin").isNotNull(), F.abs(F.col("_s") / F.col("_n") - F.col("_p") / F.col("_n")) * F.col("_n"))
+    c = b.groupBy(*by).agg(*[F.sum(x).alias(x) for x in (*parts, "_n", "_p", "_se")], F.sum(gap).alias("_gap"))
+    m = c.select(*[F.col(x).alias("_m_" + x) for x in by], F.col("_n").cast("long").alias("n_samples"),
+                 (F.col("_p") / F.col("_n")).alias("positive_rate"), *classification_cols(),
+                 (F.col("_se") / F.col("_n")).alias("brier"), F.coalesce(F.col("_gap") / F.col("_n"), F.lit(0.0)).alias("ece"))
+    ap = _ap_from_scores(_score_table(df, y, prob, by), by)
+    on = [F.col("_m_" + x).eqNullSafe(F.col(x)) for x in by]
+    return m.join(ap, on, "left").select(*[F.col("_m_" + x).alias(x) for x in by],
+                                         *[x for x in m.columns if x not in {"_m_" + k for k in by}], "pr_auc")
+
+
+def _descending(score: str) -> Column:
+    """Buckets of scores in descending order, null scores last."""
+    return F.coalesce(-value_bucket(F.col(score)), F.lit(1 << 62))
 
 
 def _ap_from_scores(g: DataFrame, by: list[str]) -> DataFrame:
-    r = running_sums(g, by, [F.col("_s").desc()], ["pos", "cnt"])
+    r = running_sums(g, by, [F.col("_s").desc()], ["pos", "cnt"], _descending("_s"))
     contrib = F.when(F.col("tot_pos") > 0, (F.col("pos") / F.col("tot_pos")) * (F.col("cum_pos") / F.col("cum_cnt")))
     a = r.groupBy(*by).agg(F.sum(contrib).alias("_ap"), F.max("tot_pos").alias("_p"), F.max("tot_cnt").alias("_n"))
     one_class = (F.col("_p") == 0) | (F.col("_p") == F.col("_n"))

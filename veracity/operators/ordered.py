@@ -1,171 +1,127 @@
-"""Skew-safe ordered scans: positions, running sums and exact medians per group.
+"""Skew-safe ordered operations: medians, running sums, carried values, ranks.
 
 A window ``OVER (PARTITION BY g ORDER BY x)`` sends a whole group to one task;
-with a hot group (a third of all rows) that task is the job. Here the data is
-instead range-partitioned on ``(g, x)`` -- a hot group is cut into many
-partitions by the sampled range bounds -- and every partition computes local
-positions/sums in one streaming pass. A tiny table with one row per
-(partition, group) then yields the offset each partition adds. Nothing holds
-more than one partition, and the offset window is bounded by the number of
-partitions a group spans.
-
-The sorted data is read by two branches (local scan, per-partition totals),
-so it is checkpointed once to the shared ``spark.checkpoint.dir``: both branches
-then see the same partitions even when the input comes from a shuffle whose
-order (and hence the sampled range bounds) could differ on recomputation, and
-the lineage is cut (lost executors re-read files instead of re-sorting).
-Ties in the sort order only permute rows with equal sort keys, so positions of
-distinct keys and the values found at a position are deterministic.
+with a hot group (a third of all rows) that task is the job. Every function
+here works in two levels instead, by one plan at every size:
+
+* the order is cut into buckets by a monotone function of the order column, so
+  that a hot group becomes many (group, bucket) windows;
+* one row per (group, bucket) gives what the earlier buckets add: a count, a
+  sum, the last value. Only that small table is ordered per group.
+
+Buckets depend on nothing but the row itself, so both levels agree whatever is
+recomputed after a lost executor, and nothing has to be written in between.
+Callers aggregate equal values to one row first, so a tied value is one row.
+
+Ranks over text keys have no such function. They are range-partitioned, numbered
+where they lie and written once (key columns only) to the checkpoint folder, so
+that the row numbers and the counts per partition come from the same placement.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
 
-def _same(a, b) -> bool:
-    if b is None:
-        return False
-    for x, y in zip(a, b):
-        if pd.isna(x) and pd.isna(y):
-            continue
-        if pd.isna(x) or pd.isna(y) or x != y:
-            return False
-    return True
-
-
-def _local_scan(group_cols: list[str], weight_cols: list[str], carry_cols: list[str] | None = None):
-    carry_cols = carry_cols or []
-
-    def fn(batches):
-        carry_key, carry_pos, carry_sums = None, -1, [0.0] * len(weight_cols)
-        carry_last = [None] * len(carry_cols)
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            change = np.zeros(n, dtype=bool)
-            for c in group_cols:
-                s = pdf[c]
-                prev = s.shift()
-                same = (s == prev) | (s.isna() & prev.isna())
-                change |= ~same.to_numpy(dtype=bool)
-            first = tuple(pdf[c].iloc[0] for c in group_cols)
-            change[0] = not _same(first, carry_key) if group_cols else carry_key is None
-            seg = np.cumsum(change)
-            cont = seg == 0
-            pos = pd.Series(np.ones(n)).groupby(seg).cumsum().to_numpy() - 1
-            pos[cont] += carry_pos + 1
-            out = pdf
-            out["_lpos"] = pos.astype("int64")
-            for i, w in enumerate(weight_cols):
-                cs = pd.Series(pdf[w].fillna(0.0).to_numpy(dtype="float64")).groupby(seg).cumsum().to_numpy()
-                cs[cont] += carry_sums[i]
-                out["_lcum_" + w] = cs
-                carry_sums[i] = float(cs[-1])
-            for i, c in enumerate(carry_cols):
-                v = pdf[c].astype(object).where(pdf[c].notna(), None)
-                filled = v.groupby(seg).ffill()
-                if carry_last[i] is not None:
-                    filled = filled.where(~(pd.Series(cont) & filled.isna()), carry_last[i])
-                out["_ff_" + c] = filled
-                last = filled.iloc[-1]
-                carry_last[i] = None if pd.isna(last) else last
-            carry_key = tuple(pdf[c].iloc[-1] for c in group_cols)
-            carry_pos = int(pos[-1])
-            yield out
-    return fn
-
-
-def ordered_scan(df: DataFrame, group_cols: list[str], order: list[Column],
-                 weights: list[str] | None = None, carry: list[str] | None = None,
-                 num_partitions: int | None = None) -> DataFrame:
-    """Add ``_pos`` (0-based position inside the group in ``order``), ``_gn``
-    (group size); for each weight column ``w``: ``cum_w`` (inclusive running
-    sum in order) and ``tot_w`` (group total); for each carry column ``c``:
-    ``ffill_c`` (last non-null value of ``c`` up to and including the row).
-
-    ``order`` are sort expressions (``F.col(x).desc()`` ...). Positions among
-    equal sort keys are arbitrary but consistent.
-    """
-    weights, carry = list(weights or []), list(carry or [])
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [F.col(c).asc_nulls_first() for c in group_cols] + list(order)
-    ensure_checkpoint_dir(spark)
-    sorted_df = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-                 .withColumn("_pid", F.spark_partition_id())).checkpoint(eager=True)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    out_schema = T.StructType(
-        sorted_df.schema.fields + [T.StructField("_lpos", T.LongType())]
-        + [T.StructField("_lcum_" + w, T.DoubleType()) for w in weights]
-        + [T.StructField("_ff_" + c, types[c]) for c in carry])
-    scanned = sorted_df.mapInPandas(_local_scan(group_cols, weights, carry), out_schema)
-
-    part_aggs = [F.count(F.lit(1)).alias("_pn")]
-    part_aggs += [F.sum(F.coalesce(F.col(w).cast("double"), F.lit(0.0))).alias("_ps_" + w) for w in weights]
-    part_aggs += [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("_lpos"))).alias("_pl_" + c) for c in carry]
-    tot = (scanned if carry else sorted_df.withColumn("_lpos", F.lit(0))).groupBy("_pid", *group_cols).agg(*part_aggs)
-    before = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*group_cols)
-    offs = tot.select(
-        "_pid", *[F.col(c).alias("_g_" + c) for c in group_cols],
-        F.coalesce(F.sum("_pn").over(before), F.lit(0)).alias("_off"),
-        F.sum("_pn").over(whole).alias("_gn"),
-        *[F.coalesce(F.sum("_ps_" + w).over(before), F.lit(0.0)).alias("_offs_" + w) for w in weights],
-        *[F.sum("_ps_" + w).over(whole).alias("tot_" + w) for w in weights],
-        *[F.last("_pl_" + c, ignorenulls=True).over(before).alias("_prev_" + c) for c in carry])
-    cond = [scanned["_pid"] == offs["_pid"]] + [scanned[c].eqNullSafe(offs["_g_" + c]) for c in group_cols]
-    j = scanned.join(offs, cond, "inner")
-    cols = [scanned[c] for c in df.columns]
-    return j.select(*cols, (scanned["_lpos"] + offs["_off"]).alias("_pos"), offs["_gn"],
-                    *[(scanned["_lcum_" + w] + offs["_offs_" + w]).alias("cum_" + w) for w in weights],
-                    *[offs["tot_" + w] for w in weights],
-                    *[F.coalesce(scanned["_ff_" + c], offs["_prev_" + c]).alias("ffill_" + c) for c in carry])
-
-
-def groups_within(df: DataFrame, group_cols: list[str], limit: int) -> bool:
-    """True when no group has more than ``limit`` rows (one aggregate job,
-    partially aggregated, so a hot key costs nothing special)."""
-    if not group_cols:
-        return df.limit(limit + 1).count() <= limit
-    return df.groupBy(*group_cols).count().where(F.col("count") > limit).isEmpty()
+#: Buckets per power of two of a double.
+STEPS = 1 << 14
+#: Integer positions per bucket.
+SPAN = 4096
+_TINY, _HUGE = 1e-300, 1e300
 
 
-# Largest group a single task may hold for an ordered window (rows).
-WINDOW_GROUP_LIMIT = 1_000_000
+def value_bucket(v: Column) -> Column:
+    """Monotone whole number of a double: equal buckets of the logarithm, mirrored below zero; null stays null."""
+    size = F.least(F.greatest(F.abs(v), F.lit(_TINY)), F.lit(_HUGE))
+    step = F.floor(F.log2(size) * STEPS) + 1000 * STEPS
+    return F.when(v.isNull(), F.lit(None).cast("long")).when(v > 0, step).when(v < 0, -step).otherwise(F.lit(0).cast("long"))
 
 
-def carry_forward(df: DataFrame, group_cols: list[str], order: list[Column], cols: list[str],
-                  limit: int | None = None) -> DataFrame:
-    """Last non-null value of each of ``cols`` up to the row, per group in
-    ``order`` (``ffill_<c>`` columns). Groups within the bound use a plain
-    window; otherwise the range-partitioned scan."""
-    limit = WINDOW_GROUP_LIMIT if limit is None else limit
-    if groups_within(df, group_cols, limit):
-        w = Window.partitionBy(*group_cols).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.select("*", *[F.last(c, ignorenulls=True).over(w).alias("ffill_" + c) for c in cols])
-    s = ordered_scan(df, group_cols, order, carry=cols)
-    return s.drop("_pos", "_gn")
+def position_bucket(order: list[str]) -> Column:
+    """Bucket of rows ordered by whole numbers: all but the last column, and spans of the last."""
+    return F.struct(*[F.col(c) for c in order[:-1]], F.floor(F.col(order[-1]) / SPAN).alias("_span"))
 
 
-def running_sums(df: DataFrame, group_cols: list[str], order: list[Column], weights: list[str],
-                 limit: int | None = None) -> DataFrame:
-    """Inclusive running sums ``cum_w`` and totals ``tot_w`` per group in
-    ``order`` (sort keys should be unique within a group)."""
-    limit = WINDOW_GROUP_LIMIT if limit is None else limit
-    if groups_within(df, group_cols, limit):
-        run = Window.partitionBy(*group_cols).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        whole = Window.partitionBy(*group_cols)
-        return df.select("*", *[F.sum(w).over(run).alias("cum_" + w) for w in weights],
-                         *[F.sum(w).over(whole).alias("tot_" + w) for w in weights])
-    s = ordered_scan(df, group_cols, order, weights=weights)
-    return s.drop("_pos", "_gn")
+def _earlier(group_cols: list[str], order: Column | str) -> "Window":
+    return Window.partitionBy(*group_cols).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _keyed(offsets: DataFrame, group_cols: list[str]) -> tuple[DataFrame, Column]:
+    """Offsets with renamed keys, and the null-safe condition that joins them to rows with a bucket ``_b``."""
+    named = offsets.withColumnsRenamed({c: "_k_" + c for c in [*group_cols, "_b"]})
+    on = F.col("_b").eqNullSafe(F.col("_k__b"))
+    for c in group_cols:
+        on &= F.col(c).eqNullSafe(F.col("_k_" + c))
+    return named, on
+
+
+def running_sums(df: DataFrame, group_cols: list[str], order: list[Column], weights: list[str], bucket: Column) -> DataFrame:
+    """Inclusive running sums ``cum_w`` and totals ``tot_w`` per group in ``order``; ``bucket`` ascends with the order.
+
+    Sort keys should be unique within a group. Without group columns all rows are one group."""
+    if not group_cols:
+        return running_sums(df.withColumn("_all", F.lit(0)), ["_all"], order, weights, bucket).drop("_all")
+    d = df.withColumn("_b", bucket)
+    totals = d.groupBy(*group_cols, "_b").agg(*[F.sum(w).alias("_t_" + w) for w in weights])
+    before, whole = _earlier(group_cols, "_b"), Window.partitionBy(*group_cols)
+    offsets, on = _keyed(totals.select(
+        *group_cols, "_b", *[F.coalesce(F.sum("_t_" + w).over(before), F.lit(0)).alias("_o_" + w) for w in weights],
+        *[F.sum("_t_" + w).over(whole).alias("tot_" + w) for w in weights]), group_cols)
+    inside = Window.partitionBy(*group_cols, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = d.select("*", *[F.sum(w).over(inside).alias("_l_" + w) for w in weights])
+    return local.join(offsets, on).select(*df.columns, *[(F.col("_l_" + w) + F.col("_o_" + w)).alias("cum_" + w) for w in weights],
+                                          *["tot_" + w for w in weights])
+
+
+def carry_forward(df: DataFrame, group_cols: list[str], order: list[str], cols: list[str]) -> DataFrame:
+    """Last non-null value of each of ``cols`` up to and including the row, per group in ascending ``order`` (columns
+    ``ffill_<c>``, any type). The last order column holds whole numbers; rows of equal order are not ordered further."""
+    d = df.withColumn("_b", position_bucket(order))
+    at = F.struct(*order)
+    ends = d.groupBy(*group_cols, "_b").agg(*[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), at)).alias("_e_" + c) for c in cols])
+    before = _earlier(group_cols, "_b")
+    offsets, on = _keyed(ends.select(*group_cols, "_b", *[F.last("_e_" + c, ignorenulls=True).over(before).alias("_p_" + c)
+                                                          for c in cols]), group_cols)
+    inside = Window.partitionBy(*group_cols, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = d.select("*", *[F.last(c, ignorenulls=True).over(inside).alias("_f_" + c) for c in cols])
+    return local.join(offsets, on).select(*df.columns, *[F.coalesce("_f_" + c, "_p_" + c).alias("ffill_" + c) for c in cols])
+
+
+def neighbours(df: DataFrame, group_cols: list[str], position: str, before_col: str, after_col: str) -> DataFrame:
+    """One row per (group, whole-number position): adds ``left``, the last non-null ``before_col`` at a smaller position,
+    and ``right``, the first non-null ``after_col`` at the same or a larger one."""
+    d = df.withColumn("_b", F.floor(F.col(position) / SPAN))
+    b, a, p = F.col(before_col), F.col(after_col), F.col(position)
+    ends = d.groupBy(*group_cols, "_b").agg(F.max_by(b, F.when(b.isNotNull(), p)).alias("_e"),
+                                            F.min_by(a, F.when(a.isNotNull(), p)).alias("_s"))
+    offsets, on = _keyed(ends.select(
+        *group_cols, "_b", F.last("_e", ignorenulls=True).over(_earlier(group_cols, "_b")).alias("_pe"),
+        F.last("_s", ignorenulls=True).over(_earlier(group_cols, F.col("_b").desc())).alias("_ns")), group_cols)
+    inside = Window.partitionBy(*group_cols, "_b")
+    local = d.select("*", F.last(b, ignorenulls=True).over(inside.orderBy(p).rowsBetween(Window.unboundedPreceding, -1)).alias("_le"),
+                     F.last(a, ignorenulls=True).over(inside.orderBy(p.desc()).rowsBetween(Window.unboundedPreceding, 0)).alias("_ls"))
+    return local.join(offsets, on).select(*df.columns, F.coalesce("_le", "_pe").alias("left"), F.coalesce("_ls", "_ns").alias("right"))
+
+
+def group_median(df: DataFrame, group_cols: list[str], value: str, out: str = "median") -> DataFrame:
+    """Exact median (midpoint for even counts) of the non-null ``value`` per group; one row per group that has a value.
+
+    Counts per (group, bucket) find the buckets that hold the middle rows; only their values are ordered."""
+    v = (df.select(*group_cols, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+         .groupBy(*group_cols, "_v").agg(F.count(F.lit(1)).alias("_c")).withColumn("_b", value_bucket(F.col("_v"))))
+    sizes = v.groupBy(*group_cols, "_b").agg(F.sum("_c").alias("_n"))
+    placed = sizes.select(*group_cols, "_b", "_n", F.coalesce(F.sum("_n").over(_earlier(group_cols, "_b")), F.lit(0)).alias("_off"),
+                          F.sum("_n").over(Window.partitionBy(*group_cols)).alias("_tot"))
+    lo, hi = F.floor((F.col("_tot") - 1) / 2), F.floor(F.col("_tot") / 2)
+    middle, on = _keyed(placed.where((F.col("_off") <= hi) & (F.col("_off") + F.col("_n") > lo)).drop("_n"), group_cols)
+    inside = Window.partitionBy(*group_cols, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    c = v.join(middle, on).select(*group_cols, "_v", "_c", "_tot", (F.col("_off") + F.sum("_c").over(inside)).alias("_end"))
+
+    def at(pos: Column) -> Column:
+        return F.max(F.when((F.col("_end") - F.col("_c") <= pos) & (pos < F.col("_end")), F.col("_v")))
+    return c.groupBy(*group_cols).agg(((at(lo) + at(hi)) / 2).alias(out))
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -176,51 +132,31 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-# Largest group whose exact median is computed by Spark's own aggregate in one
-# task (its buffer holds the group's distinct values). Bigger groups are
-# split across tasks by the range-partitioned scan.
-MEDIAN_GROUP_LIMIT = 1_000_000
-
-
-def _median_scan(d: DataFrame, group_cols: list[str], out: str) -> DataFrame:
-    s = ordered_scan(d, group_cols, [F.col("_v").asc()])
-    mid = s.where((F.col("_pos") == F.floor((F.col("_gn") - 1) / 2)) | (F.col("_pos") == F.floor(F.col("_gn") / 2)))
-    return mid.groupBy(*group_cols).agg(F.avg("_v").alias(out))
-
-
-def group_median(df: DataFrame, group_cols: list[str], value: str, out: str = "median",
-                 size_col: str | None = None, limit: int | None = None, has_large: bool | None = None) -> DataFrame:
-    """Exact median (interpolated midpoint for even counts) of the non-null
-    ``value`` per group; one row per group that has a value.
-
-    ``size_col`` (optional) is an upper bound of the group's row count carried
-    on every row (e.g. a per-test count joined earlier). Groups within
-    ``limit`` use the built-in ``median`` aggregate; larger ones go through the
-    skew-safe ordered scan. Without ``size_col`` the sizes are counted first.
-    ``has_large`` lets a caller that already checked the sizes skip the check.
-    """
-    limit = MEDIAN_GROUP_LIMIT if limit is None else limit
-    d = df.select(*group_cols, F.col(value).cast("double").alias("_v"),
-                  *([F.col(size_col).alias("_sz")] if size_col else [])).where(F.col("_v").isNotNull())
-    if size_col is None:
-        sizes = d.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_sz")).select(
-            *[F.col(c).alias("_k_" + c) for c in group_cols], "_sz")
-        d = d.join(sizes, [d[c].eqNullSafe(sizes["_k_" + c]) for c in group_cols]).select(
-            *[d[c] for c in group_cols], d["_v"], sizes["_sz"])
-    small = d.where(F.col("_sz") <= limit).groupBy(*group_cols).agg(F.median("_v").alias(out))
-    if has_large is None:
-        has_large = not d.where(F.col("_sz") > limit).isEmpty()
-    if not has_large:
-        return small
-    return small.unionByName(_median_scan(d.where(F.col("_sz") > limit).drop("_sz"), group_cols, out))
-
-
-def global_rank(df: DataFrame, order: list[Column], out: str = "rank", limit: int | None = None) -> DataFrame:
-    """0-based position of every row in a global order (use on distinct keys
-    to get a dense rank). Up to ``limit`` rows a single ordered window is
-    used (size checked first); beyond it the range-partitioned scan."""
-    limit = WINDOW_GROUP_LIMIT if limit is None else limit
-    if groups_within(df, [], limit):
-        return df.withColumn(out, F.row_number().over(Window.orderBy(*order)) - 1)
-    s = ordered_scan(df, [], order)
-    return s.withColumnRenamed("_pos", out).drop("_gn")
+def _placed(df: DataFrame, order: list[Column]) -> DataFrame:
+    """Rows in global order: ``_pid``, the range partition, and ``_at``, the row's place there."""
+    s = materialize(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id()))
+    # the generated id holds the partition above 33 bits of row number
+    return s.select("*", F.shiftright("_id", 33).alias("_pid"), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)).alias("_at")).drop("_id")
+
+
+def global_rank(df: DataFrame, order: list[Column], out: str = "rank") -> DataFrame:
+    """0-based position of every row in a global order (use on distinct keys to get a dense rank).
+
+    The driver reads one count per range partition, nothing that grows with the rows."""
+    s = _placed(df, order)
+    sizes, offset, rows = s.groupBy("_pid").count().collect(), 0, []
+    for r in sorted(sizes, key=lambda r: r["_pid"]):
+        rows.append((r["_pid"], offset))
+        offset += r["count"]
+    offsets = df.sparkSession.createDataFrame(rows, "_pid long, _off long")
+    return s.join(offsets, "_pid").select(*df.columns, (F.col("_at") + F.col("_off")).alias(out))
+
+
+def group_rank(df: DataFrame, group_cols: list[str], order: list[Column], out: str = "rank") -> DataFrame:
+    """0-based position of every row in its group; a hot group spans many range partitions, also where its first order
+    column is tied."""
+    s = _placed(df, [*[F.col(c) for c in group_cols], *order]).withColumnRenamed("_pid", "_b")
+    runs = s.groupBy(*group_cols, "_b").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    offsets, on = _keyed(runs.select(*group_cols, "_b", "_first",
+                                     F.coalesce(F.sum("_n").over(_earlier(group_cols, "_b")), F.lit(0)).alias("_off")), group_cols)
+    return s.join(offsets, on).select(*df.columns, (F.col("_at") - F.col("_first") + F.col("_off")).alias(out))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions import exprs as E
-from .ordered import running_sums
+from .ordered import group_rank
 
 FIRST_COLS = ["source_file", "source_type", "question_raw", "question_text", "question_type", "question_type_code",
               "question_type_ru", "is_allowed", "ref_c_question_code", "waiting_answer_raw", "waiting_answer_label",
@@ -164,9 +164,8 @@ def chart_points(q: DataFrame, by: list[str] | None = None) -> DataFrame:
     probability descending within the test (bounded by its questions)."""
     by = ["test_id"] if by is None else by
     d = q.select(*by, "question_code", "deception_probability").dropna(subset=["question_code", "deception_probability"])
-    r = running_sums(d.withColumn("_one", F.lit(1.0)), by,
-                     [F.col("deception_probability").desc(), F.col("question_code")], ["_one"])
-    return r.select(*by, "question_code", "deception_probability", F.col("cum__one").cast("int").alias("rank"))
+    r = group_rank(d, by, [F.col("deception_probability").desc(), F.col("question_code")])
+    return r.withColumn("rank", (F.col("rank") + 1).cast("int"))
 
 
 def attach_expected(pred: DataFrame, questions: DataFrame, keys: list[str] | None = None) -> DataFrame:
