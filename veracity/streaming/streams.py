@@ -36,14 +36,15 @@ def _ckpt(out_dir: str, given: str | None) -> str:
 
 
 def score_batch(batch: DataFrame, batch_id: int, out_dir: str) -> None:
-    """Score one micro-batch of archive files and write its results."""
-    scan = batch.select("path", "content").mapInPandas(A._xdex_open, A.XDEX_SCHEMA)
+    """Score one micro-batch of archive files and write its results, with the unreadable files in ``quarantine``."""
+    scan = A.parsed_once(A.read_xdex(batch))
     pj = A.parsed_json(scan)
     scored = D.score_direct(A.stimuli(pj))
     q = V.collapse_questions(scored, threshold=K.DIRECT_LABEL_THRESHOLD)
     summary = V.blend_verdicts(D.direct_summary(scored), V.question_votes(q, K.DIRECT_LABEL_THRESHOLD))
     base = out_dir.rstrip("/")
     summary.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{base}/summary/batch_id={batch_id}")
+    A.unreadable(scan).withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{base}/quarantine/batch_id={batch_id}")
     q.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{base}/questions/batch_id={batch_id}")
 
 
