@@ -75,12 +75,18 @@ def robust_stats(masked: DataFrame, by) -> DataFrame:
     population sd, else 1 (over baseline rows). One row per test, wide."""
     by = _by(by)
     keys = by + ["channel"]
-    long = masked.where("in_baseline").select(*by, *SIG.values()).unpivot(by, list(SIG.values()), "channel", "x")
-    centre = group_median(long, keys, "x", "centre")
-    dev = long.join(centre, keys).select(*keys, F.abs(F.col("x") - F.col("centre")).alias("dev"))
-    mad = group_median(dev, keys, "dev", "mad")
-    sd = long.groupBy(*keys).agg(F.stddev_pop("x").alias("sd"))
-    st = centre.join(mad, keys, "left").join(sd, keys, "left").select(*keys, "centre", _scale(F.col("mad"), F.col("sd")).alias("scale"))
+    # written once, as one row per distinct value of a test and channel: serves the centre, the deviations and the sd
+    v = materialize(masked.where("in_baseline").select(*by, *SIG.values()).unpivot(by, list(SIG.values()), "channel", "x")
+                    .where(F.col("x").isNotNull()).groupBy(*keys, "x").agg(F.count(F.lit(1)).alias("c")))
+    centre = materialize(group_median(v, keys, "x", "centre", times="c")).withColumnsRenamed({k: "_c_" + k for k in keys})
+    same = [F.col(k).eqNullSafe(F.col("_c_" + k)) for k in keys]
+    dev = v.join(centre, same).select(*keys, "c", "centre", (F.col("x") - F.col("centre")).alias("d"), F.abs(F.col("x") - F.col("centre")).alias("dev"))
+    mad = group_median(dev, keys, "dev", "mad", times="c")
+    n = F.sum("c")
+    # the variance about the median, less the square of the mean's distance from it
+    var = F.sum(F.col("c") * F.col("d") * F.col("d")) / n - F.pow(F.sum(F.col("c") * F.col("d")) / n, F.lit(2.0))
+    sd = dev.groupBy(*keys).agg(F.first("centre").alias("centre"), F.sqrt(F.greatest(var, F.lit(0.0))).alias("sd"))
+    st = sd.join(mad, keys, "left").select(*keys, "centre", _scale(F.col("mad"), F.col("sd")).alias("scale"))
     aggs = []
     for ch, col in SIG.items():
         sel = F.col("channel") == col

@@ -105,12 +105,14 @@ def neighbours(df: DataFrame, group_cols: list[str], position: str, before_col:
     return local.join(offsets, on).select(*df.columns, F.coalesce("_le", "_pe").alias("left"), F.coalesce("_ls", "_ns").alias("right"))
 
 
-def group_median(df: DataFrame, group_cols: list[str], value: str, out: str = "median") -> DataFrame:
+def group_median(df: DataFrame, group_cols: list[str], value: str, out: str = "median", times: str | None = None) -> DataFrame:
     """Exact median (midpoint for even counts) of the non-null ``value`` per group; one row per group that has a value.
+    ``times`` names a column that says how often the row's value counts.
 
     Counts per (group, bucket) find the buckets that hold the middle rows; only their values are ordered."""
-    v = (df.select(*group_cols, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-         .groupBy(*group_cols, "_v").agg(F.count(F.lit(1)).alias("_c")).withColumn("_b", value_bucket(F.col("_v"))))
+    often = F.sum(times) if times else F.count(F.lit(1))
+    v = (df.withColumn("_v", F.col(value).cast("double")).where(F.col("_v").isNotNull())
+         .groupBy(*group_cols, "_v").agg(often.alias("_c")).withColumn("_b", value_bucket(F.col("_v"))))
     sizes = v.groupBy(*group_cols, "_b").agg(F.sum("_c").alias("_n"))
     placed = sizes.select(*group_cols, "_b", "_n", F.coalesce(F.sum("_n").over(_earlier(group_cols, "_b")), F.lit(0)).alias("_off"),
                           F.sum("_n").over(Window.partitionBy(*group_cols)).alias("_tot"))
