@@ -194,6 +194,24 @@ def test_extraction_of_the_pages(spark, sf):
         assert r["text"] == "\n\n".join(x for x in parts if x)
 
 
+def texts_of(spark, *pages):
+    """Extracted texts of (url, html) pairs."""
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    return [r["text"] for r in sorted(rows(html_extract.extract(df)), key=lambda r: r["page_id"])]
+
+
+def test_class_words_drop_only_parts_beside_the_article(spark):
+    layouts = ["content no-sidebar", "post has-sidebar", "page-content right-sidebar", "long-form", "entry-header", "discussion"]
+    pages = [(f"http://a{i}.x/", f"<body><div class='{c}'><p>the text of {i}</p></div><div class='site-footer'><p>contact and imprint</p></div></body>")
+             for i, c in enumerate(layouts)]
+    pages += [("http://b.x/", "<body><article><header class='entry-header'><h1 class='widget'>Title</h1></header><p>first and second</p>"
+                              "<div class='post-comments'><p>I disagree with it</p></div></article></body>"),
+              ("http://c.x/", "<body><div class='sidebar'><p>all there is</p><nav>menu</nav></div></body>")]
+    assert texts_of(spark, *pages) == [f"the text of {i}" for i in range(len(layouts))] + ["Title\n\nfirst and second", "all there is"]
+    for word in ("ad", "ad1", "ad-300x250", "site-header", "cookie-bar", "main-nav", "sidebar_2", "comment-list", "related-posts"):
+        assert html_extract._beside(word)
+
+
 # ---------------------------------------------------------------- 4 quality
 def test_quality_held_out(spark, odd, empty):
     sf = "/root/testdata/sf0.1"

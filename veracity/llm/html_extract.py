@@ -11,7 +11,10 @@ Only block structure counts: inline tags are passed over, an unclosed block
 ends where the next begins, comments, scripts and styles are dropped, and
 subtrees that are menus, headers outside an article, footers, sidebars,
 notices, adverts, forms or reader comments (by tag, role, class or id) hold no
-text. Character references are decoded, white space in a block (line breaks
+text. A class or id counts when one of its whole tokens names such a part
+(``post-comments``, not ``no-sidebar`` or ``long-form``), and never on headings
+and on headers inside an article; a page whose whole text lies in subtrees
+dropped by class or id is read without regard to these. Character references are decoded, white space in a block (line breaks
 too) becomes one space, blocks are joined by a blank line.
 
 Scale: pages are read twice and never shuffled when the winners (one row a
@@ -50,34 +53,59 @@ CONTAINERS = frozenset("html body main article section div td th table tbody tr
 BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre figcaption caption address summary hr".split())
 DROPPED = frozenset("head nav footer aside form menu dialog button select option fieldset script style noscript "
                     "template textarea svg iframe object canvas audio video title".split())
+#: Elements whose class or id never drops them.
+NAMELESS = frozenset("html body article main h1 h2 h3 h4 h5 h6".split())
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
-#: Words of a class or id that name a part that is not the article.
-_NOT_MAIN = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|adsense|sponsor(?:ed|s)?|promo(?:tion|s)?|banners?|nav|navbar|navigation|menus?|"
-    r"breadcrumbs?|sidebars?|side|aside|footer|foot|masthead|header|topbar|cookies?|consent|gdpr|notices?|alerts?|popups?|modal|overlay|"
-    r"newsletter|subscribe|subscription|signup|login|share|sharing|social|related|recommended|recommendations|widgets?|pagination|pager|"
-    r"comments?|commentlist|replies|reply|disqus|discussion|respond|tags|toolbar|skip|copyright|legal|disclaimer|form|search)(?=$|[\s_-]|\d)", re.I)
-
-
-def _name(tag: str, attributes: str) -> tuple[str, bool]:
-    """Generalised step of a path (tag with its sorted classes, digits folded), and whether the subtree is dropped."""
+#: Words that name a part that is not the article, and words that only place or shape such a part.
+_PARTS = frozenset(
+    "ad ads advert adverts advertisement advertising adsense sponsor sponsors sponsored promo promos promotion promotions banner banners nav navbar "
+    "navigation menu menus breadcrumb breadcrumbs sidebar sidebars side aside footer foot masthead header topbar cookie cookies consent gdpr notice "
+    "notices alert alerts popup popups modal overlay newsletter subscribe subscription signup login share sharing social related recommended "
+    "recommendation recommendations widget widgets pagination pager comment comments commentlist replies reply disqus respond tags toolbar skip "
+    "copyright legal disclaimer form search".split())
+_FILL = frozenset("site global primary secondary main top bottom box block list area wrap wrapper container section bar inner outer link links "
+                  "button buttons icon icons item items unit slot media group thread posts articles".split())
+#: A part of the article when they stand before a header or banner (entry-header), a part beside it before other words (post-comments).
+_OWNERS = frozenset("post article entry page".split())
+_TITLES = frozenset("header banner banners masthead".split())
+_WORDS = re.compile(r"[-_]+")
+_COUNT = re.compile(r"\d+(?:x\d+)?")
+
+
+def _beside(token: str) -> bool:
+    """Whether a whole class token or id names a part that is not the article; every word of it has to fit (no-sidebar does not)."""
+    words = [w.rstrip("0123456789") for w in _WORDS.split(token) if w and not _COUNT.fullmatch(w)]
+    if len(words) > 1 and words[0] in _OWNERS and not _TITLES & set(words):
+        words = words[1:]
+    return any(w in _PARTS for w in words) and all(w in _PARTS or w in _FILL for w in words)
+
+
+def _name(tag: str, attributes: str) -> tuple[str, bool, bool]:
+    """Generalised step of a path (tag with its sorted classes, digits folded), whether the subtree is dropped, and whether a class or id says so."""
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)} if "=" in attributes else {}
     classes = found.get("class", "").lower().split()
-    dropped = (tag in DROPPED or found.get("role", "").lower() in DROPPED_ROLES
-               or tag not in ("html", "body", "article", "main") and bool(_NOT_MAIN.search(found.get("class", "") + " " + found.get("id", ""))))
-    return ".".join([tag, *sorted({re.sub(r"\d+", "#", c) for c in classes})]), dropped
+    dropped = tag in DROPPED or found.get("role", "").lower() in DROPPED_ROLES
+    beside = tag not in NAMELESS and any(_beside(t) for t in [*classes, *found.get("id", "").lower().split()])
+    return ".".join([tag, *sorted({re.sub(r"\d+", "#", c) for c in classes})]), dropped, beside
 
 
 class Page:
     """Blocks of text with the containers they lie in."""
 
     def __init__(self, source: str):
+        self._clear()
+        if self._read(source, True) and not self.blocks:
+            self._clear()
+            self._read(source, False)  # all text lies in subtrees dropped by class or id: the last choice
+
+    def _clear(self) -> None:
         self.paths: list[str] = ["", ]  # of each container; 0 is the page itself
         self.parents: list[int] = [-1]
         self.blocks: list[tuple[int, str, int]] = []  # container, text, characters of it inside links
-        self._read(source)
 
-    def _read(self, source: str) -> None:
+    def _read(self, source: str, named: bool) -> bool:
+        """Reads the page; ``named``: classes and ids drop subtrees. Returns whether any did."""
+        beside_any = False
         stack: list[list] = []  # open elements that are not inline: [tag, container or the one around, dropped]
         inside, dropped, links = 0, 0, 0
         parts: list[str] = []
@@ -134,9 +162,12 @@ class Page:
                 close(len(stack) - 1)  # an open paragraph or heading ends here
             if tag in VOID or m[4].endswith("/"):
                 continue
-            step, gone = _name(tag, m[4])
+            step, gone, beside = _name(tag, m[4])
             if tag == "header":
+                beside = False
                 gone = gone or not any(s[0] in ("article", "main") for s in stack)
+            if beside and named and not gone:
+                gone = beside_any = True
             stack.append([tag, inside, int(gone)])
             dropped += gone
             if container and not dropped:
@@ -146,6 +177,7 @@ class Page:
         if end < len(source) and not dropped:
             parts.append(html.unescape(source[end:]))
         flush()
+        return beside_any
 
     def best(self) -> tuple[int, float]:
         """The container with the highest score, and the text it holds."""
