@@ -212,6 +212,23 @@ def test_class_words_drop_only_parts_beside_the_article(spark):
         assert html_extract._beside(word)
 
 
+def test_the_winning_path_needs_a_fair_share_of_the_page(spark):
+    usual = "<body><div><p>" + "the usual text of this host " * 20 + "</p></div></body>"
+    other = "<body><div><p>3 May, a teaser</p></div><section><p>" + "another template " * 20 + "</p></section></body>"
+    for url in ("http://mixed.x/", None):
+        got = texts_of(spark, *[(url, usual)] * 4, (url, other))
+        assert got[:4] == [("the usual text of this host " * 20).strip()] * 4 and got[4] == ("another template " * 20).strip()
+
+
+def test_lists_and_quotes_never_win(spark):
+    long = "an item of the list " * 30
+    for inner in (f"<ul><li>{long}</li></ul>", f"<blockquote><p>{long}</p></blockquote>", f"<table><tr><td>{long}</td></tr></table>"):
+        page = f"<body><div><h1>Title</h1><p>intro</p>{inner}<p>outro</p></div></body>"
+        assert texts_of(spark, *[("http://list.x/", page)] * 2) == [f"Title\n\nintro\n\n{long.strip()}\n\noutro"] * 2
+    body = f"<body><article><header class='entry-header'><h1>Title</h1></header><div class='entry-content'><p>{long}</p></div></article></body>"
+    assert texts_of(spark, ("http://body.x/", body)) == [f"Title\n\n{long.strip()}"]
+
+
 # ---------------------------------------------------------------- 4 quality
 def test_quality_held_out(spark, odd, empty):
     sf = "/root/testdata/sf0.1"

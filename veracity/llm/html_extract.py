@@ -1,11 +1,12 @@
 """Main-text extraction with host-consensus paths.
 
-Pass 1 scores the containers of each page (text of the blocks below, without
-link text, halved for every level in between) and gives one vote, weighted by
-the text held, to the generalised tag-class path of the best one; votes are
-summed by host in Spark. Pass 2 re-extracts every page from the containers that
-match the host's winning path; a page without such a container uses its own
-best one.
+Pass 1 scores the section-level containers of each page (text of the blocks
+below, without link text, halved for every level in between; lists, quotes and
+tables are no level of their own) and gives one vote, weighted by the text held,
+to the generalised tag-class path of the best one, or of the article or else
+main element around it; votes are summed by host in Spark. Pass 2 re-extracts
+every page from the containers that match the host's winning path; a page where
+these hold less than ``SHARE`` of the text of its own best one uses that.
 
 Only block structure counts: inline tags are passed over, an unclosed block
 ends where the next begins, comments, scripts and styles are dropped, and
@@ -41,7 +42,7 @@ from pyspark.sql import functions as F
 
 from veracity.llm.shared import cut, small
 
-HOSTS = 200_000
+HOSTS, SHARE = 200_000, 1 / 3
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|svg|iframe)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)"
                     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?][^>]*>|</?[a-zA-Z][^<>]*(?:>|\Z)", re.S | re.I)
 _ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -50,6 +51,7 @@ _SPACE = re.compile(r"\s+")
 # Fixed values of the HTML standard: elements by their part in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CONTAINERS = frozenset("html body main article section div td th table tbody tr blockquote ul ol dl figure details center".split())
+SECTIONS = frozenset("html body main article section div center".split())
 BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre figcaption caption address summary hr".split())
 DROPPED = frozenset("head nav footer aside form menu dialog button select option fieldset script style noscript "
                     "template textarea svg iframe object canvas audio video title".split())
@@ -101,6 +103,7 @@ class Page:
     def _clear(self) -> None:
         self.paths: list[str] = ["", ]  # of each container; 0 is the page itself
         self.parents: list[int] = [-1]
+        self.tags: list[str] = [""]
         self.blocks: list[tuple[int, str, int]] = []  # container, text, characters of it inside links
 
     def _read(self, source: str, named: bool) -> bool:
@@ -170,7 +173,8 @@ class Page:
                 gone = beside_any = True
             stack.append([tag, inside, int(gone)])
             dropped += gone
-            if container and not dropped:
+            if tag in SECTIONS and not dropped:
+                self.tags.append(tag)
                 self.paths.append(f"{self.paths[inside]}>{step}" if self.paths[inside] else step)
                 self.parents.append(inside)
                 inside = len(self.paths) - 1
@@ -179,8 +183,8 @@ class Page:
         flush()
         return beside_any
 
-    def best(self) -> tuple[int, float]:
-        """The container with the highest score, and the text it holds."""
+    def best(self) -> int:
+        """The container with the highest score, or the article (else main) around it, as these hold nothing but the main text."""
         score = [0.0] * len(self.paths)
         for inside, text, linked in self.blocks:
             worth, at = float(len(text) - linked), inside
@@ -188,13 +192,29 @@ class Page:
                 score[at] += worth
                 at, worth = self.parents[at], worth / 2
         top = max(range(len(score)), key=lambda i: (score[i], -i))
-        return top, score[top]
-
-    def text(self, chosen: set[int]) -> str:
-        """Blocks inside any of the chosen containers, in page order."""
+        around = [top]
+        while self.parents[around[-1]] >= 0:
+            around.append(self.parents[around[-1]])
+        for tag in ("article", "main"):
+            for at in around:
+                if self.tags[at] == tag:
+                    return at
+        return top
+
+    def _held(self, chosen: set[int]) -> list[bool]:
         held = [i in chosen for i in range(len(self.paths))]
         for i in range(1, len(held)):
             held[i] = held[i] or held[self.parents[i]]
+        return held
+
+    def worth(self, chosen: set[int]) -> int:
+        """Characters outside links inside any of the chosen containers."""
+        held = self._held(chosen)
+        return sum(len(t) - linked for inside, t, linked in self.blocks if held[inside])
+
+    def text(self, chosen: set[int]) -> str:
+        """Blocks inside any of the chosen containers, in page order."""
+        held = self._held(chosen)
         return "\n\n".join(t for inside, t, _ in self.blocks if held[inside])
 
 
@@ -203,7 +223,8 @@ def _voter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         votes: dict[tuple[str, str], float] = {}
         for host, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             page = Page(source or "")
-            top, worth = page.best()
+            top = page.best()
+            worth = float(page.worth({top}))
             if worth > 0:
                 key = (host, page.paths[top])
                 votes[key] = votes.get(key, 0.0) + worth
@@ -216,9 +237,9 @@ def _extractor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = []
         for source, path in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
             page = Page(source or "")
-            chosen = {i for i, p in enumerate(page.paths) if p == path} if path is not None else set()
-            found = page.text(chosen) if chosen else ""
-            texts.append(found or page.text({page.best()[0]}))
+            chosen, own = {i for i, p in enumerate(page.paths) if p == path} if path is not None else set(), {page.best()}
+            fair = chosen and (chosen == own or page.worth(chosen) >= SHARE * page.worth(own))
+            texts.append(fair and page.text(chosen) or page.text(own))
         yield pa.record_batch([batch.column(0), batch.column(1), pa.array(texts, pa.string()),
                                pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
