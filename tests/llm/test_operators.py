@@ -229,6 +229,11 @@ def test_lists_and_quotes_never_win(spark):
     assert texts_of(spark, ("http://body.x/", body)) == [f"Title\n\n{long.strip()}"]
 
 
+def test_a_self_closed_svg_ends_at_once(spark):
+    page = "<body><div><p>a</p><svg class='i' d=\"1>2\"/><p>body text</p><svg><path d='m'/>drawn</svg><p>end</p></div></body>"
+    assert texts_of(spark, ("http://svg.x/", page)) == ["a\n\nbody text\n\nend"]
+
+
 # ---------------------------------------------------------------- 4 quality
 def test_quality_held_out(spark, odd, empty):
     sf = "/root/testdata/sf0.1"

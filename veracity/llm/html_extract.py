@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from veracity.llm.shared import cut, small
 
 HOSTS, SHARE = 200_000, 1 / 3
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|svg|iframe)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)"
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<svg\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?<=/)>|<(script|style|noscript|template|textarea|svg|iframe)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)"
                     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?][^>]*>|</?[a-zA-Z][^<>]*(?:>|\Z)", re.S | re.I)
 _ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _SPACE = re.compile(r"\s+")
