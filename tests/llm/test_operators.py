@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -351,6 +352,30 @@ def test_traversal_order():
     assert cells == sorted(cells, key=lambda c: low1[c // 2] + low2[c % 2]) and set(cells) == {0, 1, 4, 5}
 
 
+@pytest.mark.parametrize("dim", [64, 256, 768])
+@pytest.mark.parametrize("spread", ["rank 8", "power law"])
+def test_no_link_is_missed_on_concentrated_vectors(dim, spread):
+    rng = np.random.default_rng(dim)
+    n, codes = 2600, 9  # 9 codes a half: the number for 5,200 vectors of a label
+    scale = np.where(np.arange(dim) < 8, 1.0, 0.02) if spread == "rank 8" else 1.0 / np.sqrt(1.0 + np.arange(dim))
+    turn = np.linalg.qr(rng.normal(size=(dim, dim)))[0]
+    x = (rng.normal(size=(n, dim)) * scale)
+    y = x + rng.normal(size=(n, dim)) * scale * rng.uniform(0.2, 0.4, (n, 1))
+    u = np.concatenate([x, y]) @ turn
+    u /= np.linalg.norm(u, axis=1)[:, None]
+    half = dim // 2
+    books = {dim: (multi_index.kmeans(u[:, :half], codes), multi_index.kmeans(u[:, half:], codes, seed=8))}
+    batch = pa.record_batch([pa.array([dim] * len(u), pa.int32()), pa.array([v.tobytes() for v in u], pa.binary())], names=["dim", "v"])
+    out = next(multi_index._assign(books, multi_index.COSINE)([batch]))
+    cell = out.column("cell").to_numpy()
+    visited = np.zeros((len(u), codes * codes), bool)
+    for i, cells in enumerate(out.column("visits").to_pylist()):
+        visited[i, cells] = True
+    a, b = np.nonzero(np.triu(u @ u.T >= multi_index.COSINE, 1))
+    assert len(a) > 1000
+    assert visited[a, cell[b]].all() and visited[b, cell[a]].all()
+
+
 # ---------------------------------------------------------------- 9 SuperMinHash
 def test_signature_estimates():
     rng = np.random.default_rng(4)

@@ -6,12 +6,9 @@ A vector visits cells in the multi-sequence order, by ascending sum of the
 halves' squared distances to the cells: what lies in centroid c's part is
 beyond the plane between c and the query's own centroid a, so it is at least
 (|x-c|^2 - |x-a|^2) / (2 |c-a|) away. Two vectors at the threshold differ by a
-vector of length d = sqrt(2 (1 - cosine)). Its part along the normal of a plane
-is d / sqrt(dim) in the mean square, so traversal stops at ``DEVIATIONS`` of
-these: the chance to cross a plane farther off is under 3e-4 at the threshold
-and far smaller for closer pairs (target recall 0.99; tests measure it). In few
-dimensions the stop is d itself, which misses nothing. Visited residents are
-verified in double precision.
+vector of length sqrt(2 (1 - cosine)); traversal stops at that length, so no
+link is missed however the vectors are spread (recall 1; tests measure it on
+vectors of low rank). Visited residents are verified in double precision.
 
 Scale: equal vectors of a label are collapsed first (partial aggregation), so a
 huge group of copies is one resident with a multiplicity. Codebooks are fitted
@@ -41,7 +38,7 @@ from pyspark.sql import functions as F
 from veracity.llm.components import components
 from veracity.llm.shared import cut
 
-COSINE, SAMPLE, CELL, MOST_CODES, DEVIATIONS = 0.93, 8192, 1024, 256, 3.5
+COSINE, SAMPLE, CELL, MOST_CODES = 0.93, 8192, 1024, 256
 RESIDENTS, VISITORS = 2048, 4096
 
 
@@ -99,9 +96,9 @@ def traverse(low1: np.ndarray, low2: np.ndarray, radius2: float) -> np.ndarray:
     return (o1[a] * len(o2) + o2[b])[order]
 
 
-def reach2(dim: int, cosine: float) -> float:
-    """Squared distance at which the traversal stops."""
-    return 2 * (1 - cosine) * min(1.0, DEVIATIONS ** 2 / dim) + 1e-6
+def reach2(cosine: float) -> float:
+    """Squared distance at which the traversal stops: that of two unit vectors at the threshold."""
+    return 2 * (1 - cosine) + 1e-6
 
 
 def _assign(books: dict, cosine: float):
@@ -115,7 +112,7 @@ def _assign(books: dict, cosine: float):
                 (own1, low1), (own2, low2) = _bounds(x[:, :half], books[dim][0]), _bounds(x[:, half:], books[dim][1])
                 cells[rows] = own1 * len(books[dim][1]) + own2
                 for r, i in enumerate(rows):
-                    visits[i] = traverse(low1[r], low2[r], reach2(dim, cosine)).astype(np.int32)
+                    visits[i] = traverse(low1[r], low2[r], reach2(cosine)).astype(np.int32)
             yield pa.record_batch([*batch.columns, pa.array(cells, pa.int32()), pa.array(visits, pa.list_(pa.int32()))],
                                   names=[*batch.schema.names, "cell", "visits"])
     return run
