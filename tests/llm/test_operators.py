@@ -248,6 +248,16 @@ def test_quality_held_out(spark, odd, empty):
     assert len(rows(quality.quality(odd, labels.union(labels)))) == odd.count() and rows(quality.quality(empty, labels)) == []
 
 
+def test_a_repeated_document_enters_the_fit_once(spark, monkeypatch):
+    docs = spark.createDataFrame([(i % 8 if i < 40 else 1, f"text {i} of {i % 3}") for i in range(100)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(8)], "doc_id long, quality int, toxic int")
+    met = []
+    monkeypatch.setattr(quality, "fit_ordinal", lambda x, grades, **more: met.append((len(x), grades.tolist())))
+    quality.fit(docs, labels)
+    quality.fit(docs, labels, sample=5)
+    assert [n for n, _ in met] == [8, 5] and sorted(met[0][1]) == [1] * 4 + [2] * 4
+
+
 def test_ordinal_thresholds_are_ordered():
     rng = np.random.default_rng(1)
     x = [np.unique(rng.integers(0, 30, 6)) for _ in range(400)]

@@ -13,7 +13,8 @@ and so are those whose documents' grades differ from the mean by less than
 ``SCREEN`` standard errors: their noise would add up with the length of a text.
 
 The fit uses a sample of at most ``SAMPLE`` labelled documents, chosen by the
-hash of the id; that bound is the parameter ``sample``. Every document is
+hash of the id; that bound is the parameter ``sample``. Of rows that repeat an
+id the one with the smallest text crc enters the fit. Every document is
 scored over its whole text.
 
 Defined cases: null or empty text has no feature and scores as a text that
@@ -152,7 +153,10 @@ def grades_of(labels: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE):
     """A model fitted on at most ``sample`` labelled documents (a narrow table of ids, so it may be broadcast)."""
     chosen = grades_of(labels).orderBy(F.xxhash64("label_id"), "label_id").limit(sample)
-    own = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")).select("grade", "text")
+    own = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))
+    # one row a label, partially aggregated: a document that repeats its id enters the fit once
+    own = (own.groupBy("label_id", "grade").agg(F.min(F.struct(F.crc32(F.coalesce("text", F.lit(""))), "text"))["text"].alias("text"))
+           .select("grade", "text"))
 
     def featurise(batches):
         make = Features()
