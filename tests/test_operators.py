@@ -257,6 +257,13 @@ def test_calibrated_forest_probabilities(spark):
     assert ML.feature_importance(f) == [("a", 0.0), ("b", 0.0)]
 
 
+def test_forest_splits_follow_many_distinct_values(spark):
+    df = spark.createDataFrame(pd.DataFrame({"a": np.arange(200.0), "_label": ((np.arange(200) >= 53) & (np.arange(200) < 118)).astype(int)}))
+    params = {"numTrees": 1, "minInstancesPerNode": 1, "featureSubsetStrategy": "all", "bootstrap": False}
+    got = ML.predict_proba(ML.fit(ML.Spec("one_tree", "rf", params=params), df, ["a"]), df, "p").toPandas()
+    assert ((got.p > 0.5) == (got._label == 1)).all()
+
+
 def test_robust_stats(spark, sf):
     from veracity.operators import direct as D
     from veracity.plans import catalog as C
