@@ -17,8 +17,8 @@ Scale: no shuffle. Each task packs its split in blocks; a block commits all
 windows but the last, whose ids open the next block, so memory stays bounded
 for any split and any document. Only the last windows of a task see its end.
 
-Tokenising: ids of the words met are kept in a bounded cache, as most words
-repeat; new words go through the tokenizer's own model, and texts with
+Tokenising: the distinct words of a slice of texts are looked up in a bounded
+cache that a task keeps; new words go through the tokenizer's own model, and texts with
 characters outside the range where words are independent (or with the
 vocabulary's special strings) go through the tokenizer whole.
 
@@ -30,42 +30,44 @@ empty result; further columns are ignored.
 from __future__ import annotations
 
 import re
-import unicodedata
 import zlib
+from array import array
 from bisect import bisect_left
 from collections import deque
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from veracity.llm.shared import small
+from veracity.llm.shared import batches_by_bytes, small
 
 LENGTH, END, SENTENCE, INSIDE = 2048, 1, 8.0, 48.0
 BLOCK = 400_000
+#: Characters that are tokenised at a time.
+SLICE = 1_000_000
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
           "offset long, sequence_length long")
 
 # Fixed: how the vocabulary file splits text (after NFC, lower case and white space).
 _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 #: Characters for which words between white space are independent and lower case is one by one.
-_PLAIN = re.compile(r"[\x09-\x0D\x20-\x7E\xA0-ɏ]*\Z")
+_PLAIN = re.compile(r"[\x09-\x0D\x20-\x7E\xA0-įı-ɏ]*\Z")
 
 
 class WordTokenizer(dict):
-    """Ids of texts for a vocabulary of the kind that ends words. The dictionary itself is the cache of words; when it
-    holds ``most`` of them they become the older half, and the half before them goes."""
+    """Ids of texts for a vocabulary of the kind that ends words. The dictionary itself is the cache of words, each with
+    its ids as unsigned 32-bit bytes; when it holds ``most`` words they become the older half, and the half before them goes."""
 
-    def __init__(self, path: str, most: int = 120_000):
+    def __init__(self, path: str, most: int = 200_000):
         from tokenizers import Tokenizer
         super().__init__()
         self.full = Tokenizer.from_file(path)
         self.model = self.full.model
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, bytes] = {}
         self.most = most
         keep = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in set(keep)]
@@ -73,26 +75,62 @@ class WordTokenizer(dict):
         self.bytes = {b: chr(b) for b in keep} | {b: chr(256 + i) for i, b in enumerate(rest)}
         self.sentence_ids = np.array([i for i in (self.full.token_to_id(c + "</w>") for c in ".!?…。") if i is not None] or [-1])
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
+    def forget(self) -> None:
+        self.clear()
+        self.older = {}
+
+    def __missing__(self, word: str) -> bytes:
         got = self.older.get(word)
         if got is None:
-            pieces = _PIECE.findall(word)
+            pieces = (word,) if word.isalpha() else (word[:-1], word[-1]) if word[:-1].isalpha() else _PIECE.findall(word)
             if len(pieces) == 1 and pieces[0] == word:
                 mapped = word if word.isascii() else word.encode().decode("latin-1").translate(self.bytes)
-                got = tuple([t.id for t in self.model.tokenize(mapped)])
+                got = array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
             else:
-                got = tuple(chain.from_iterable([self[p] for p in pieces]))
+                got = b"".join([self[p] for p in pieces])
         if len(self) >= self.most:
             self.older = dict(self)
             self.clear()
         self[word] = got
         return got
 
+    def _plain(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of texts of independent words: every distinct word is looked up once."""
+        words = pc.utf8_split_whitespace(pc.utf8_lower(pa.array(texts, pa.large_string())))
+        coded = words.flatten().dictionary_encode()
+        known = list(map(self.__getitem__, coded.dictionary.to_numpy(zero_copy_only=False).tolist()))
+        size = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        flat = np.frombuffer(b"".join(known), np.uint32)
+        at = coded.indices.to_numpy()
+        count, ends = size[at], np.cumsum(size)
+        stop = np.append(0, np.cumsum(count))
+        ids = flat[np.arange(stop[-1]) + np.repeat((ends - size)[at] - stop[:-1], count)]
+        return np.split(ids, stop[words.offsets.to_numpy()[1:-1]])
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        plain = [i for i, t in enumerate(texts) if "<|" not in t and _PLAIN.match(t)]
+        out: list = [None] * len(texts)
+        for a, b in batches_by_bytes([texts[i] for i in plain], SLICE):
+            own = [texts[i] for i in plain[a:b]]
+            if b == a + 1:
+                out[plain[a]] = np.concatenate([self._plain([p])[0] for p in _parts(own[0])])
+            else:
+                for i, ids in zip(plain[a:b], self._plain(own)):
+                    out[i] = ids
+        return [np.array(self.full.encode(t, add_special_tokens=False).ids, np.uint32) if o is None else o
+                for t, o in zip(texts, out)]
+
     def encode(self, text: str) -> np.ndarray:
-        if "<|" in text or not _PLAIN.match(text):
-            return np.array(self.full.encode(text, add_special_tokens=False).ids, np.uint32)
-        words = unicodedata.normalize("NFC", text).lower().split()
-        return np.fromiter(chain.from_iterable(map(self.__getitem__, words)), np.uint32)
+        return self.encode_all([text])[0]
+
+
+def _parts(text: str) -> list[str]:
+    """A long text in parts of about ``SLICE`` characters that end before a space."""
+    out, at = [], 0
+    while len(text) - at > SLICE and (stop := text.find(" ", at + SLICE)) >= 0:
+        out.append(text[at:stop])
+        at = stop
+    return [*out, text[at:]]
 
 
 _held: dict[str, WordTokenizer] = {}
@@ -204,8 +242,9 @@ def _packer(path: str, length: int, end_id: int):
             return pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=names)
 
         for batch in small(batches):
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = np.append(make.encode(text or ""), np.uint32(end_id)).astype(np.uint32)
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            for doc_id, ids in zip(batch.column(0).to_pylist(), make.encode_all(texts)):
+                ids = np.append(ids, np.uint32(end_id)).astype(np.uint32)
                 done = 0
                 while len(ids) - done > 2 * BLOCK:  # a very long document enters in parts
                     docs.append([doc_id, ids[done: done + BLOCK], done, len(ids)])
@@ -218,6 +257,7 @@ def _packer(path: str, length: int, end_id: int):
                     yield commit(False)
         if held:
             yield commit(True)
+        make.forget()  # workers live on: the words go when the task ends
     return run
 
 
