@@ -38,12 +38,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from veracity.llm.shared import batches_by_bytes, small
+from veracity.llm.shared import batches_by_bytes, released, small, split_words, text_parts
 
 LENGTH, END, SENTENCE, INSIDE = 2048, 1, 8.0, 48.0
 BLOCK = 400_000
@@ -96,16 +95,14 @@ class WordTokenizer(dict):
 
     def _plain(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of texts of independent words: every distinct word is looked up once."""
-        words = pc.utf8_split_whitespace(pc.utf8_lower(pa.array(texts, pa.large_string())))
-        coded = words.flatten().dictionary_encode()
-        known = list(map(self.__getitem__, coded.dictionary.to_numpy(zero_copy_only=False).tolist()))
+        words, at, ends_of = split_words([t.lower() for t in texts])
+        known = list(map(self.__getitem__, words.to_numpy(zero_copy_only=False).tolist()))
         size = np.fromiter(map(len, known), np.int64, len(known)) // 4
         flat = np.frombuffer(b"".join(known), np.uint32)
-        at = coded.indices.to_numpy()
         count, ends = size[at], np.cumsum(size)
         stop = np.append(0, np.cumsum(count))
         ids = flat[np.arange(stop[-1]) + np.repeat((ends - size)[at] - stop[:-1], count)]
-        return np.split(ids, stop[words.offsets.to_numpy()[1:-1]])
+        return np.split(ids, stop[ends_of[1:-1]])
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         plain = [i for i, t in enumerate(texts) if "<|" not in t and _PLAIN.match(t)]
@@ -113,7 +110,7 @@ class WordTokenizer(dict):
         for a, b in batches_by_bytes([texts[i] for i in plain], SLICE):
             own = [texts[i] for i in plain[a:b]]
             if b == a + 1:
-                out[plain[a]] = np.concatenate([self._plain([p])[0] for p in _parts(own[0])])
+                out[plain[a]] = np.concatenate([self._plain([p])[0] for p in text_parts(own[0], SLICE)])
             else:
                 for i, ids in zip(plain[a:b], self._plain(own)):
                     out[i] = ids
@@ -124,15 +121,6 @@ class WordTokenizer(dict):
         return self.encode_all([text])[0]
 
 
-def _parts(text: str) -> list[str]:
-    """A long text in parts of about ``SLICE`` characters that end before a space."""
-    out, at = [], 0
-    while len(text) - at > SLICE and (stop := text.find(" ", at + SLICE)) >= 0:
-        out.append(text[at:stop])
-        at = stop
-    return [*out, text[at:]]
-
-
 _held: dict[str, WordTokenizer] = {}
 
 
@@ -267,4 +255,4 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int = EN
     ``tokenizer`` is the path of a vocabulary file that every executor can open. Cuts are chosen by dynamic
     programming at document and sentence boundaries; every id of every document lies in exactly one piece.
     """
-    return docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "text").mapInArrow(_packer(tokenizer, length, end_id), SCHEMA)
+    return docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "text").mapInArrow(released(_packer(tokenizer, length, end_id)), SCHEMA)

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,6 +97,52 @@ def word_hashes(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(starts_all), np.concatenate(hashes_all)
 
 
+def string_hashes(strings: pa.Array) -> np.ndarray:
+    """A 64-bit hash of each string of an array without nulls, with A-Z folded."""
+    strings = strings.cast(pa.large_string())
+    at = np.frombuffer(strings.buffers()[1], np.int64)[strings.offset: strings.offset + len(strings) + 1]
+    data = np.frombuffer(strings.buffers()[2] or b"", np.uint8)[at[0]: at[-1]] if len(strings) else np.empty(0, np.uint8)
+    at = at - at[:1]
+    up, down = _power_table(len(data) + 1)
+    sums = np.zeros(len(data) + 1, _U)
+    np.cumsum(_ALPHA[data] * up[: len(data)], out=sums[1:])
+    h = (sums[at[1:]] - sums[at[:-1]]) * down[at[:-1]]
+    return mix64(h + np.diff(at).astype(_U) * _U(0xD6E8FEB86659FD93), 1)
+
+
+def split_words(texts: list[str]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(distinct words at white space, code of each word in turn, the words' ends by text: text i has words ends[i] to ends[i + 1])."""
+    words = pc.utf8_split_whitespace(pa.array(texts, pa.large_string()))
+    coded = words.flatten().dictionary_encode()
+    codes, ends = coded.indices.to_numpy(), words.offsets.to_numpy()
+    blank = pc.index(coded.dictionary, "").as_py()  # white space at an edge of a text leaves an empty word
+    if blank >= 0:
+        real = codes != blank
+        codes, ends = codes[real], np.append(0, np.cumsum(real))[ends]
+    return coded.dictionary, codes, ends
+
+
+def text_parts(text: str, most: int) -> list[str]:
+    """A long text in parts of about ``most`` characters that end before a space."""
+    out, at = [], 0
+    while len(text) - at > most and (stop := text.find(" ", at + most)) >= 0:
+        out.append(text[at:stop])
+        at = stop
+    return [*out, text[at:]]
+
+
+def released(run):
+    """A task's function over Arrow batches that hands its freed memory back to the system at the end: workers serve
+    later stages too."""
+    def task(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+    return task
+
+
 def shingle_sets(texts: list[str | None], k: int) -> list[np.ndarray]:
     """Sorted distinct hashes of the k-word shingles of each text; fewer words: the whole sequence as one; none: empty."""
     parts = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
