@@ -14,24 +14,23 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veracity.llm import langid, mixing, packing, quality, superminhash
 from veracity.llm.queries import TOKENIZER
-from veracity.llm.shared import table
+from veracity.llm.shared import WORD, table
 from veracity.session import ensure_checkpoint_dir
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: A document stays when one language holds at least this share of the posterior.
-SURE = 0.5
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a recognised language (not ``und``, posterior of 0.5 or more)."""
+    """Documents in a language that was learned: those whose mean log-probability an n-gram lies within the spread of the
+    training documents of the language predicted."""
     own = docs.select(*COLUMNS)
-    scored = langid.predict(own, langid.fit(own), COLUMNS)
-    return scored.filter((F.col("lang_pred") != "und") & (F.col("score") >= SURE)).select(*COLUMNS)
+    model = langid.fit(own)
+    return langid.predict(own, model, COLUMNS, langid.spread(own, model)).filter("known").select(*COLUMNS)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,19 +41,23 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five-word shingles, similarity 0.8 or more): the smallest id.
+    """One document of each group of near-duplicates (five-word shingles, similarity 0.8 or more).
 
-    Rows that repeat an id are one document, of which the row with the smallest text crc stays; rows without id stay.
+    A document is a pair of id and text, known by their hash; the smallest hash of a group stays. Different texts under
+    one id are judged one by one; of rows that repeat both id and text one stays. Texts without a word stay, but for
+    rows that repeat such a text under one id.
     """
-    own = docs.select(*COLUMNS)
-    groups = superminhash.near_duplicates(own, k=5, percent=80)
-    left = own.join(groups.filter("NOT kept").select("doc_id").distinct(), "doc_id", "left_anti")
-    twice = own.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").select("doc_id")
+    own = docs.select(*COLUMNS, F.xxhash64("doc_id", "text").alias("_key"))
+    groups = superminhash.near_duplicates(own.select(F.col("_key").alias("doc_id"), "text"), k=5, percent=80)
+    left = own.join(groups.filter("NOT kept").select(F.col("doc_id").alias("_key")).distinct(), "_key", "left_anti")
+    twice = (left.filter(F.col("doc_id").isNotNull() | F.coalesce("text", F.lit("")).rlike(WORD))
+             .groupBy("_key", "doc_id", F.crc32("text")).count().filter("count > 1").select("_key"))
     if twice.isEmpty():
-        return left
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.crc32(F.coalesce("text", F.lit(""))), "source", "lang"))
-    again = left.join(twice, "doc_id", "left_semi").withColumn("_row", first).filter("_row = 1").select(*COLUMNS)
-    return left.join(twice, "doc_id", "left_anti").select(*COLUMNS).union(again)
+        return left.drop("_key")
+    # equal rows meet in a partial aggregate, however many there are
+    row = F.struct(F.col("doc_id"), "text", "lang", "source", "n_chars")
+    again = left.join(twice, "_key", "left_semi").groupBy("_key").agg(F.min(row).alias("row")).select("row.*").select(*COLUMNS)
+    return left.join(twice, "_key", "left_anti").select(*COLUMNS).union(again)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

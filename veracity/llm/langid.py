@@ -25,10 +25,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veracity.llm.shared import batches_by_bytes, id_remainder, small
+from veracity.llm.shared import batches_by_bytes, id_remainder, released, small
 
 BUCKETS = 1 << 15
 GRAMS = (2, 3, 4)
+# spread of a language's own documents: classes of bytes, histogram step, quantile, distances, documents a class needs
+LENGTHS = np.array([32, 128, 512, 2048, 8192])
+BIN, LOW, FAR, ENOUGH = 0.02, 0.1, 4.0, 200
+#: Natural units an n-gram that a text may always lie below its language's median; letters among its visible bytes.
+SLACK, LETTERS = 2.0, 0.25
 _LETTER = re.compile(r"[^\W\d_]")
 _FOLD = np.full(256, 32, np.uint8)
 _FOLD[97:123] = np.arange(97, 123)
@@ -84,7 +89,7 @@ def fit(train: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
     (2^15 + 1) rows a language whatever the corpus size.
     """
     sums = (train.select("lang", "text").filter("lang IS NOT NULL AND text IS NOT NULL")
-            .mapInArrow(_counter, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+            .mapInArrow(released(_counter), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
             .toArrow())
     lang, bucket, n = (sums.column(c).to_numpy() for c in ("lang", "bucket", "n"))
     names = sorted(set(lang.tolist()))
@@ -110,39 +115,105 @@ def _sums(texts: list[str], logp: np.ndarray) -> np.ndarray:
 
 def classify(texts: list[str | None], model) -> tuple[list[str], np.ndarray]:
     """(language or ``und``, posterior of that language) of each text."""
+    return rate(texts, model)[:2]
+
+
+def letter_share(text: str | None) -> float:
+    """Share of letters (bytes from 0x80 on count as such) among the bytes that are no white space."""
+    codes = np.frombuffer((text or "").lower().encode("utf-8", "surrogatepass"), np.uint8)
+    return float((_FOLD[codes] != 32).sum() / max(1, (codes > 32).sum()))
+
+
+def rate(texts: list[str | None], model) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """(language or ``und``, posterior, mean log-probability an n-gram under that language, bytes) of each text."""
     names, logp, priors = model
     known = [i for i, t in enumerate(texts) if t and names and _LETTER.search(t)]
-    best, score = ["und"] * len(texts), np.zeros(len(texts))
+    best, score, mean, size = ["und"] * len(texts), np.zeros(len(texts)), np.full(len(texts), -np.inf), np.zeros(len(texts))
     own = [texts[i] for i in known]
     for a, b in batches_by_bytes(own, 300_000):
         if b == a + 1:
             total = sum(_sums([p], logp) for p in _pieces(own[a]))
         else:
             total = _sums(own[a:b], logp)
-        total = total + priors
-        total -= total.max(axis=1, keepdims=True)
-        chance = np.exp(total)
+        length = np.array([len(t.encode("utf-8", "surrogatepass")) for t in own[a:b]])
+        chance = total + priors
+        chance -= chance.max(axis=1, keepdims=True)
+        chance = np.exp(chance)
         chance /= chance.sum(axis=1, keepdims=True)
         for row, i in enumerate(known[a:b]):
             j = int(chance[row].argmax())
-            best[i], score[i] = names[j], chance[row, j]
-    return best, score
+            best[i], score[i], size[i] = names[j], chance[row, j], length[row]
+            mean[i] = total[row, j] / (len(GRAMS) * length[row])
+    return best, score, mean, size
+
+
+def _length_class(size: np.ndarray) -> np.ndarray:
+    return np.searchsorted(LENGTHS, size, side="right")
+
+
+def spread(train: DataFrame, model) -> dict[tuple[str, int], float]:
+    """The least mean log-probability of each (language, class of length) that still counts as that language.
+
+    Over the training documents of the language: the median less ``FAR`` times its distance to the ``LOW`` quantile, or less
+    ``SLACK`` where that is more, from a histogram in steps of ``BIN`` (its size does not depend on the corpus). Classes with fewer than ``ENOUGH``
+    documents take the language's own histogram over all lengths.
+    """
+    shared = train.sparkSession.sparkContext.broadcast(model)
+    n_bins = int(20 / BIN)
+
+    def run(batches):
+        held: dict[str, np.ndarray] = {}
+        for batch in small(batches):
+            langs = batch.column(0).to_pylist()
+            best, _, mean, size = rate(batch.column(1).to_pylist(), shared.value)
+            own = np.array([a == b for a, b in zip(langs, best)], bool)
+            bins = np.clip(-np.where(own, mean, 0) / BIN, 0, n_bins - 1).astype(np.int64)
+            cell = _length_class(size) * n_bins + bins
+            for lang in {x for x, o in zip(langs, own) if o}:
+                mine = own & np.array([x == lang for x in langs])
+                held[lang] = held.get(lang, 0) + np.bincount(cell[mine], minlength=(len(LENGTHS) + 1) * n_bins)
+        for lang, n in held.items():
+            at = np.flatnonzero(n)
+            yield pa.record_batch([pa.array([lang] * len(at)), pa.array(at, pa.int32()), pa.array(n[at], pa.int64())],
+                                  names=["lang", "cell", "n"])
+
+    sums = (train.select("lang", "text").filter("lang IS NOT NULL AND text IS NOT NULL")
+            .mapInArrow(released(run), "lang string, cell int, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n")).toArrow())
+    lang, cell, n = (sums.column(c).to_numpy() for c in ("lang", "cell", "n"))
+    out = {}
+    for name in model[0]:
+        counts = np.zeros((len(LENGTHS) + 1) * n_bins)
+        counts[cell[lang == name]] = n[lang == name]
+        counts = counts.reshape(-1, n_bins)
+        for k, own in enumerate(counts):
+            own = own if own.sum() >= ENOUGH else counts.sum(axis=0)
+            upto = np.cumsum(own)
+            if not upto[-1]:
+                continue
+            middle, low = (np.searchsorted(upto, q * upto[-1]) for q in (0.5, 1 - LOW))
+            out[name, k] = -BIN * (middle + 1) - max(SLACK, FAR * BIN * (low - middle))
+    return out
 
 
-def predict(docs: DataFrame, model, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` of docs plus lang_pred and score; text is read, lang, source and doc_id are not."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
+def predict(docs: DataFrame, model, keep: list[str], least: dict[tuple[str, int], float] | None = None) -> DataFrame:
+    """Columns ``keep`` of docs plus lang_pred and score; text is read, lang, source and doc_id are not. With ``least``
+    (of ``spread``) also known: whether the text lies within the spread of the language predicted."""
+    shared = docs.sparkSession.sparkContext.broadcast((model, least))
 
     def run(batches):
+        model, least = shared.value
         for batch in small(batches):
-            best, score = classify(batch.column(0).to_pylist(), shared.value)
-            yield pa.record_batch([*batch.columns[1:], pa.array(best, pa.string()), pa.array(score)],
-                                  names=[*batch.schema.names[1:], "lang_pred", "score"])
+            texts = batch.column(0).to_pylist()
+            best, score, mean, size = rate(texts, model)
+            more = [] if least is None else [pa.array(
+                [bool(m >= least.get((b, int(k)), np.inf)) and letter_share(t) >= LETTERS
+                 for t, b, m, k in zip(texts, best, mean, _length_class(size))], pa.bool_())]
+            yield pa.record_batch([*batch.columns[1:], pa.array(best, pa.string()), pa.array(score), *more],
+                                  names=[*batch.schema.names[1:], "lang_pred", "score", *["known"] * len(more)])
 
     own = docs.select(F.col("text").alias("_text"), *keep)
     schema = ", ".join(f"`{c}` {t}" for c, t in own.drop("_text").dtypes) + ", lang_pred string, score double"
-    return own.mapInArrow(run, schema)
+    return own.mapInArrow(released(run), schema + (", known boolean" if least is not None else ""))
 
 
 def held_out(doc_id):

@@ -24,8 +24,9 @@ deviation of at most 0.025 there, so the margin is 3.6 of them.
 
 Defined cases: null or blank text has an empty set, links with nothing and is
 kept; a null doc_id takes no part (component null, kept); rows with one doc_id
-are one document; an empty table gives an empty result; columns other than
-doc_id and text are ignored.
+are one document, whose sets all lead to its links; texts of any length are read
+whole; an empty table gives an empty result; columns other than doc_id and text
+are ignored.
 """
 
 from __future__ import annotations
@@ -39,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veracity.llm.components import components
-from veracity.llm.shared import batches_by_bytes, cut, mix64, shingle_sets, small
+from veracity.llm.shared import batches_by_bytes, cut, mix64, released, shingle_sets, small
 
 SLOTS, BANDS, ROWS = 256, 42, 6
 MARGIN, MEMBERS = 0.09, 1024
@@ -131,7 +132,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFr
     texts = docs.select(F.col("doc_id").alias("id"), "text").filter("id IS NOT NULL AND text IS NOT NULL")
     right = pairs.join(texts.alias("t"), F.col("v") == F.col("t.id")).select("u", "v", F.col("t.text").alias("right"))
     both = right.join(texts.alias("s"), F.col("u") == F.col("s.id")).select("u", "v", F.col("s.text").alias("left"), "right")
-    return both.mapInArrow(_verifier(k, percent), "u long, v long")
+    return both.mapInArrow(released(_verifier(k, percent)), "u long, v long")
 
 
 def _near_in_block(percent: int):
@@ -170,7 +171,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     Two documents are linked when 100 * |intersection| >= percent * |union| of their distinct k-word shingles.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sketch = cut(docs.mapInArrow(_sketcher(k), _SKETCH))
+    sketch = cut(docs.mapInArrow(released(_sketcher(k)), _SKETCH))
     sets = cut(sketch.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("f1", "f2", "n_shingles").agg(
         F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("slots").alias("slots")))
     rows = sets.select("rep", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
@@ -197,7 +198,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     rest = more.groupBy("key", "lo", "hi").applyInPandas(_near_in_block(percent), "u long, v long")
     rest = cut(rest.join(pairs, ["u", "v"], "left_anti"))
     late = _verified(rest, docs, k, percent)
-    grouped = components(links.union(late).union(found.select("node", "component")))
+    # rows of one id are one document: an id with several sets ties them together
+    several = (sketch.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("doc_id")
+               .agg(F.min(F.struct("f1", "f2", "n_shingles")).alias("lo"), F.max(F.struct("f1", "f2", "n_shingles")).alias("hi"))
+               .filter("lo <> hi").select("doc_id"))
+    ties = (sketch.select("doc_id", "f1", "f2", "n_shingles").join(several, "doc_id").distinct()
+            .join(sets.select("f1", "f2", "n_shingles", "rep"), ["f1", "f2", "n_shingles"]).select("doc_id", "rep"))
+    grouped = components(links.union(late).union(found.select("node", "component")).union(ties))
     of_set = sets.select("f1", "f2", "n_shingles", "rep").join(grouped, F.col("rep") == F.col("node"), "left").select(
         "f1", "f2", "n_shingles", F.coalesce("component", "rep").alias("found"))
     return (sketch.drop("bands", "slots").join(of_set, ["f1", "f2", "n_shingles"], "left")
