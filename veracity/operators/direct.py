@@ -74,25 +74,27 @@ def robust_stats(masked: DataFrame, by) -> DataFrame:
     """AGG6: per test and channel: centre = median, scale = 1.4826*MAD, else
     population sd, else 1 (over baseline rows). One row per test, wide."""
     by = _by(by)
-    keys = by + ["channel"]
-    # written once, as one row per distinct value of a test and channel: serves the centre, the deviations and the sd
-    v = materialize(masked.where("in_baseline").select(*by, *SIG.values()).unpivot(by, list(SIG.values()), "channel", "x")
-                    .where(F.col("x").isNotNull()).groupBy(*keys, "x").agg(F.count(F.lit(1)).alias("c")))
-    centre = materialize(group_median(v, keys, "x", "centre", times="c")).withColumnsRenamed({k: "_c_" + k for k in keys})
-    same = [F.col(k).eqNullSafe(F.col("_c_" + k)) for k in keys]
-    dev = v.join(centre, same).select(*keys, "c", "centre", (F.col("x") - F.col("centre")).alias("d"), F.abs(F.col("x") - F.col("centre")).alias("dev"))
-    mad = group_median(dev, keys, "dev", "mad", times="c")
+    # test and channel are one struct key, which compares null-safe: every step shares its placement.
+    # Written once, as one row per distinct value of a key: serves the centre, the deviations and the sd
+    v = materialize(masked.where("in_baseline").select(F.struct(*by).alias("_t"), *SIG.values())
+                    .unpivot("_t", list(SIG.values()), "channel", "x").where(F.col("x").isNotNull())
+                    .groupBy(F.struct("_t", "channel").alias("_g"), "x").agg(F.count(F.lit(1)).alias("c")))
+    centre = materialize(group_median(v, ["_g"], "x", "centre", times="c"))
+    dev = v.join(centre, "_g").select("_g", "c", "centre", (F.col("x") - F.col("centre")).alias("d"),
+                                      F.abs(F.col("x") - F.col("centre")).alias("dev"))
+    mad = group_median(dev, ["_g"], "dev", "mad", times="c")
     n = F.sum("c")
     # the variance about the median, less the square of the mean's distance from it
     var = F.sum(F.col("c") * F.col("d") * F.col("d")) / n - F.pow(F.sum(F.col("c") * F.col("d")) / n, F.lit(2.0))
-    sd = dev.groupBy(*keys).agg(F.first("centre").alias("centre"), F.sqrt(F.greatest(var, F.lit(0.0))).alias("sd"))
-    st = sd.join(mad, keys, "left").select(*keys, "centre", _scale(F.col("mad"), F.col("sd")).alias("scale"))
+    sd = dev.groupBy("_g").agg(F.first("centre").alias("centre"), F.sqrt(F.greatest(var, F.lit(0.0))).alias("sd"))
+    st = sd.join(mad, "_g", "left").select(F.col("_g._t").alias("_t"), F.col("_g.channel").alias("channel"), "centre",
+                                           _scale(F.col("mad"), F.col("sd")).alias("scale"))
     aggs = []
     for ch, col in SIG.items():
         sel = F.col("channel") == col
         aggs += [F.max(F.when(sel, F.col("centre"))).alias(f"centre_{ch}"),
                  F.max(F.when(sel, F.col("scale"))).alias(f"scale_{ch}")]
-    return st.groupBy(*by).agg(*aggs)
+    return st.groupBy("_t").agg(*aggs).select("_t.*", *[f"{x}_{ch}" for ch in SIG for x in ("centre", "scale")])
 
 
 def _with_z(j: DataFrame, columns: list[str]) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
-from .ordered import running_sums, value_bucket
+from .ordered import fine_bucket, running_sums, value_bucket
 
 
 def _f1(tp, fp, fn):
@@ -87,7 +87,7 @@ def roc_auc(df: DataFrame, y: str = "y_true", prob: str = "y_prob", by: list[str
     form of the trapezoid rule); NULL when only one class is present."""
     by = by or []
     g = _score_table(df, y, prob, by)
-    r = running_sums(g, by, [F.col("_s").desc()], ["pos", "neg"], _descending("_s"))
+    r = running_sums(g, by, [F.col("_s").desc()], ["pos", "neg"], _descending("_s"), _descending("_s", fine_bucket))
     contrib = F.col("neg") * (F.col("cum_pos") - F.col("pos") / 2.0)
     a = r.groupBy(*by).agg(F.sum(contrib).alias("_u"), F.max("tot_pos").alias("_p"), F.max("tot_neg").alias("_q"))
     ok = (F.col("_p") > 0) & (F.col("_q") > 0)
@@ -118,13 +118,13 @@ def eval_metrics(df: DataFrame, y: str = "y_true", pred: str = "y_pred", prob: s
                                          *[x for x in m.columns if x not in {"_m_" + k for k in by}], "pr_auc")
 
 
-def _descending(score: str) -> Column:
+def _descending(score: str, bucket=value_bucket) -> Column:
     """Buckets of scores in descending order, null scores last."""
-    return F.coalesce(-value_bucket(F.col(score)), F.lit(1 << 62))
+    return F.coalesce(-bucket(F.col(score)), F.lit(1 << 62))
 
 
 def _ap_from_scores(g: DataFrame, by: list[str]) -> DataFrame:
-    r = running_sums(g, by, [F.col("_s").desc()], ["pos", "cnt"], _descending("_s"))
+    r = running_sums(g, by, [F.col("_s").desc()], ["pos", "cnt"], _descending("_s"), _descending("_s", fine_bucket))
     contrib = F.when(F.col("tot_pos") > 0, (F.col("pos") / F.col("tot_pos")) * (F.col("cum_pos") / F.col("cum_cnt")))
     a = r.groupBy(*by).agg(F.sum(contrib).alias("_ap"), F.max("tot_pos").alias("_p"), F.max("tot_cnt").alias("_n"))
     one_class = (F.col("_p") == 0) | (F.col("_p") == F.col("_n"))

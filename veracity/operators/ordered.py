@@ -7,7 +7,9 @@ here works in two levels instead, by one plan at every size:
 * the order is cut into buckets by a monotone function of the order column, so
   that a hot group becomes many (group, bucket) windows;
 * one row per (group, bucket) gives what the earlier buckets add: a count, a
-  sum, the last value. Only that small table is ordered per group.
+  sum, the last value. Only that small table is ordered per group;
+* where values may crowd into one bucket, fine buckets inside it do the same
+  once more.
 
 Buckets depend on nothing but the row itself, so both levels agree whatever is
 recomputed after a lost executor, and nothing has to be written in between.
@@ -25,105 +27,133 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
-#: Buckets per power of two of a double.
-STEPS = 1 << 14
+#: Buckets per power of two of a double, and fine buckets, of which a bucket holds 65,536. A fine one holds at most four
+#: million different doubles, however close together the values of a hot group lie.
+STEPS, FINE = 1 << 14, 1 << 30
 #: Integer positions per bucket.
 SPAN = 4096
 _TINY, _HUGE = 1e-300, 1e300
 
 
-def value_bucket(v: Column) -> Column:
+def value_bucket(v: Column, steps: int | None = None) -> Column:
     """Monotone whole number of a double: equal buckets of the logarithm, mirrored below zero; null stays null."""
+    steps = steps or STEPS
     size = F.least(F.greatest(F.abs(v), F.lit(_TINY)), F.lit(_HUGE))
-    step = F.floor(F.log2(size) * STEPS) + 1000 * STEPS
+    step = F.floor(F.log2(size) * steps) + 1000 * steps
     return F.when(v.isNull(), F.lit(None).cast("long")).when(v > 0, step).when(v < 0, -step).otherwise(F.lit(0).cast("long"))
 
 
+def fine_bucket(v: Column) -> Column:
+    """The same in steps so small that close values part."""
+    return value_bucket(v, FINE)
+
+
 def position_bucket(order: list[str]) -> Column:
     """Bucket of rows ordered by whole numbers: all but the last column, and spans of the last."""
     return F.struct(*[F.col(c) for c in order[:-1]], F.floor(F.col(order[-1]) / SPAN).alias("_span"))
 
 
-def _earlier(group_cols: list[str], order: Column | str) -> "Window":
-    return Window.partitionBy(*group_cols).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+def _cells(df: DataFrame, group_cols: list[str], bucket: Column) -> DataFrame:
+    """Adds ``_k``, group and bucket in one struct. Structs compare null fields as equal, so a plain equi-join on ``_k`` is
+    null-safe, and windows, aggregates and joins over ``_k`` share one placement."""
+    return df.withColumn("_k", F.struct(*[F.col(c).alias(f"g{i}") for i, c in enumerate(group_cols)], bucket.alias("b")))
+
 
+def _group(group_cols: list[str]) -> list[Column]:
+    return [F.col(f"_k.g{i}") for i in range(len(group_cols))]
 
-def _keyed(offsets: DataFrame, group_cols: list[str]) -> tuple[DataFrame, Column]:
-    """Offsets with renamed keys, and the null-safe condition that joins them to rows with a bucket ``_b``."""
-    named = offsets.withColumnsRenamed({c: "_k_" + c for c in [*group_cols, "_b"]})
-    on = F.col("_b").eqNullSafe(F.col("_k__b"))
-    for c in group_cols:
-        on &= F.col(c).eqNullSafe(F.col("_k_" + c))
-    return named, on
 
+def _earlier(group_cols: list[str], descending: bool = False) -> "Window":
+    b = F.col("_k.b")
+    return Window.partitionBy(*_group(group_cols)).orderBy(b.desc() if descending else b).rowsBetween(Window.unboundedPreceding, -1)
 
-def running_sums(df: DataFrame, group_cols: list[str], order: list[Column], weights: list[str], bucket: Column) -> DataFrame:
-    """Inclusive running sums ``cum_w`` and totals ``tot_w`` per group in ``order``; ``bucket`` ascends with the order.
+
+def running_sums(df: DataFrame, group_cols: list[str], order: list[Column], weights: list[str], bucket: Column,
+                 fine: Column | None = None) -> DataFrame:
+    """Inclusive running sums ``cum_w`` and totals ``tot_w`` per group in ``order``; ``bucket`` ascends with the order, and
+    so does ``fine`` inside a bucket, for orders that may lie close together.
 
     Sort keys should be unique within a group. Without group columns all rows are one group."""
     if not group_cols:
-        return running_sums(df.withColumn("_all", F.lit(0)), ["_all"], order, weights, bucket).drop("_all")
-    d = df.withColumn("_b", bucket)
-    totals = d.groupBy(*group_cols, "_b").agg(*[F.sum(w).alias("_t_" + w) for w in weights])
-    before, whole = _earlier(group_cols, "_b"), Window.partitionBy(*group_cols)
-    offsets, on = _keyed(totals.select(
-        *group_cols, "_b", *[F.coalesce(F.sum("_t_" + w).over(before), F.lit(0)).alias("_o_" + w) for w in weights],
-        *[F.sum("_t_" + w).over(whole).alias("tot_" + w) for w in weights]), group_cols)
-    inside = Window.partitionBy(*group_cols, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return running_sums(df.withColumn("_all", F.lit(0)), ["_all"], order, weights, bucket, fine).drop("_all")
+    d = _cells(df, group_cols, bucket)
+    d = d.withColumn("_f", F.struct("_k", (F.lit(0) if fine is None else fine).alias("b")))
+    small = d.groupBy("_f").agg(*[F.sum(w).alias("_t_" + w) for w in weights])
+    large = small.groupBy(F.col("_f._k").alias("_k")).agg(*[F.sum("_t_" + w).alias("_t_" + w) for w in weights])
+    before, whole = _earlier(group_cols), Window.partitionBy(*_group(group_cols))
+    large = large.select(
+        "_k", *[F.coalesce(F.sum("_t_" + w).over(before), F.lit(0)).alias("_o_" + w) for w in weights],
+        *[F.sum("_t_" + w).over(whole).alias("tot_" + w) for w in weights])
+    if fine is None:
+        offsets = large.withColumn("_f", F.struct("_k", F.lit(0).alias("b"))).drop("_k")
+    else:
+        near = Window.partitionBy("_k").orderBy("_f.b").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = (small.withColumn("_k", F.col("_f._k")).select(
+            "_k", "_f", *[F.coalesce(F.sum("_t_" + w).over(near), F.lit(0)).alias("_i_" + w) for w in weights])
+            .join(large, "_k").select("_f", *["tot_" + w for w in weights], *[(F.col("_i_" + w) + F.col("_o_" + w)).alias("_o_" + w)
+                                                                             for w in weights]))
+    inside = Window.partitionBy("_f").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = d.select("*", *[F.sum(w).over(inside).alias("_l_" + w) for w in weights])
-    return local.join(offsets, on).select(*df.columns, *[(F.col("_l_" + w) + F.col("_o_" + w)).alias("cum_" + w) for w in weights],
-                                          *["tot_" + w for w in weights])
+    return local.join(offsets, "_f").select(*df.columns, *[(F.col("_l_" + w) + F.col("_o_" + w)).alias("cum_" + w) for w in weights],
+                                            *["tot_" + w for w in weights])
 
 
 def carry_forward(df: DataFrame, group_cols: list[str], order: list[str], cols: list[str]) -> DataFrame:
     """Last non-null value of each of ``cols`` up to and including the row, per group in ascending ``order`` (columns
     ``ffill_<c>``, any type). The last order column holds whole numbers; rows of equal order are not ordered further."""
-    d = df.withColumn("_b", position_bucket(order))
+    d = _cells(df, group_cols, position_bucket(order))
     at = F.struct(*order)
-    ends = d.groupBy(*group_cols, "_b").agg(*[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), at)).alias("_e_" + c) for c in cols])
-    before = _earlier(group_cols, "_b")
-    offsets, on = _keyed(ends.select(*group_cols, "_b", *[F.last("_e_" + c, ignorenulls=True).over(before).alias("_p_" + c)
-                                                          for c in cols]), group_cols)
-    inside = Window.partitionBy(*group_cols, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    ends = d.groupBy("_k").agg(*[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), at)).alias("_e_" + c) for c in cols])
+    before = _earlier(group_cols)
+    offsets = ends.select("_k", *[F.last("_e_" + c, ignorenulls=True).over(before).alias("_p_" + c) for c in cols])
+    inside = Window.partitionBy("_k").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = d.select("*", *[F.last(c, ignorenulls=True).over(inside).alias("_f_" + c) for c in cols])
-    return local.join(offsets, on).select(*df.columns, *[F.coalesce("_f_" + c, "_p_" + c).alias("ffill_" + c) for c in cols])
+    return local.join(offsets, "_k").select(*df.columns, *[F.coalesce("_f_" + c, "_p_" + c).alias("ffill_" + c) for c in cols])
 
 
 def neighbours(df: DataFrame, group_cols: list[str], position: str, before_col: str, after_col: str) -> DataFrame:
     """One row per (group, whole-number position): adds ``left``, the last non-null ``before_col`` at a smaller position,
     and ``right``, the first non-null ``after_col`` at the same or a larger one."""
-    d = df.withColumn("_b", F.floor(F.col(position) / SPAN))
+    d = _cells(df, group_cols, F.floor(F.col(position) / SPAN))
     b, a, p = F.col(before_col), F.col(after_col), F.col(position)
-    ends = d.groupBy(*group_cols, "_b").agg(F.max_by(b, F.when(b.isNotNull(), p)).alias("_e"),
-                                            F.min_by(a, F.when(a.isNotNull(), p)).alias("_s"))
-    offsets, on = _keyed(ends.select(
-        *group_cols, "_b", F.last("_e", ignorenulls=True).over(_earlier(group_cols, "_b")).alias("_pe"),
-        F.last("_s", ignorenulls=True).over(_earlier(group_cols, F.col("_b").desc())).alias("_ns")), group_cols)
-    inside = Window.partitionBy(*group_cols, "_b")
+    ends = d.groupBy("_k").agg(F.max_by(b, F.when(b.isNotNull(), p)).alias("_e"), F.min_by(a, F.when(a.isNotNull(), p)).alias("_s"))
+    offsets = ends.select("_k", F.last("_e", ignorenulls=True).over(_earlier(group_cols)).alias("_pe"),
+                          F.last("_s", ignorenulls=True).over(_earlier(group_cols, descending=True)).alias("_ns"))
+    inside = Window.partitionBy("_k")
     local = d.select("*", F.last(b, ignorenulls=True).over(inside.orderBy(p).rowsBetween(Window.unboundedPreceding, -1)).alias("_le"),
                      F.last(a, ignorenulls=True).over(inside.orderBy(p.desc()).rowsBetween(Window.unboundedPreceding, 0)).alias("_ls"))
-    return local.join(offsets, on).select(*df.columns, F.coalesce("_le", "_pe").alias("left"), F.coalesce("_ls", "_ns").alias("right"))
+    return local.join(offsets, "_k").select(*df.columns, F.coalesce("_le", "_pe").alias("left"), F.coalesce("_ls", "_ns").alias("right"))
 
 
 def group_median(df: DataFrame, group_cols: list[str], value: str, out: str = "median", times: str | None = None) -> DataFrame:
     """Exact median (midpoint for even counts) of the non-null ``value`` per group; one row per group that has a value.
     ``times`` names a column that says how often the row's value counts.
 
-    Counts per (group, bucket) find the buckets that hold the middle rows; only their values are ordered."""
+    Counts per (group, cell) find the cells that hold the middle rows, then finer cells inside these; only the values of
+    the finest are ordered."""
     often = F.sum(times) if times else F.count(F.lit(1))
-    v = (df.withColumn("_v", F.col(value).cast("double")).where(F.col("_v").isNotNull())
-         .groupBy(*group_cols, "_v").agg(often.alias("_c")).withColumn("_b", value_bucket(F.col("_v"))))
-    sizes = v.groupBy(*group_cols, "_b").agg(F.sum("_c").alias("_n"))
-    placed = sizes.select(*group_cols, "_b", "_n", F.coalesce(F.sum("_n").over(_earlier(group_cols, "_b")), F.lit(0)).alias("_off"),
-                          F.sum("_n").over(Window.partitionBy(*group_cols)).alias("_tot"))
+    v = (_cells(df.withColumn("_v", F.col(value).cast("double")).where(F.col("_v").isNotNull()), group_cols, value_bucket(F.col("_v")))
+         .groupBy("_k", "_v").agg(often.alias("_c")))
+    placed = v.groupBy("_k").agg(F.sum("_c").alias("_n")).select(
+        "_k", "_n", F.coalesce(F.sum("_n").over(_earlier(group_cols)), F.lit(0)).alias("_off"),
+        F.sum("_n").over(Window.partitionBy(*_group(group_cols))).alias("_tot"))
     lo, hi = F.floor((F.col("_tot") - 1) / 2), F.floor(F.col("_tot") / 2)
-    middle, on = _keyed(placed.where((F.col("_off") <= hi) & (F.col("_off") + F.col("_n") > lo)).drop("_n"), group_cols)
-    inside = Window.partitionBy(*group_cols, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    c = v.join(middle, on).select(*group_cols, "_v", "_c", "_tot", (F.col("_off") + F.sum("_c").over(inside)).alias("_end"))
+
+    def middle(cells: DataFrame) -> DataFrame:
+        return cells.where((F.col("_off") <= hi) & (F.col("_off") + F.col("_n") > lo))
+
+    # inside the middle cells the same once more: fine cells are counted, and only values of the middle ones are ordered
+    near = v.join(middle(placed).drop("_n"), "_k").withColumn("_b", fine_bucket(F.col("_v")))
+    sizes = near.groupBy("_k", "_b", "_off", "_tot").agg(F.sum("_c").alias("_n"))
+    before = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    fine = middle(sizes.withColumn("_off", F.col("_off") + F.coalesce(F.sum("_n").over(before), F.lit(0)))).drop("_n")
+    inside = Window.partitionBy("_k", "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    c = near.drop("_off", "_tot").join(fine, ["_k", "_b"]).withColumn("_end", F.col("_off") + F.sum("_c").over(inside))
 
     def at(pos: Column) -> Column:
         return F.max(F.when((F.col("_end") - F.col("_c") <= pos) & (pos < F.col("_end")), F.col("_v")))
-    return c.groupBy(*group_cols).agg(((at(lo) + at(hi)) / 2).alias(out))
+    return (c.groupBy(*[g.alias(n) for g, n in zip(_group(group_cols), group_cols)])
+            .agg(((at(lo) + at(hi)) / 2).alias(out)))
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -157,8 +187,7 @@ def global_rank(df: DataFrame, order: list[Column], out: str = "rank") -> DataFr
 def group_rank(df: DataFrame, group_cols: list[str], order: list[Column], out: str = "rank") -> DataFrame:
     """0-based position of every row in its group; a hot group spans many range partitions, also where its first order
     column is tied."""
-    s = _placed(df, [*[F.col(c) for c in group_cols], *order]).withColumnRenamed("_pid", "_b")
-    runs = s.groupBy(*group_cols, "_b").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    offsets, on = _keyed(runs.select(*group_cols, "_b", "_first",
-                                     F.coalesce(F.sum("_n").over(_earlier(group_cols, "_b")), F.lit(0)).alias("_off")), group_cols)
-    return s.join(offsets, on).select(*df.columns, (F.col("_at") - F.col("_first") + F.col("_off")).alias(out))
+    s = _cells(_placed(df, [*[F.col(c) for c in group_cols], *order]), group_cols, F.col("_pid"))
+    runs = s.groupBy("_k").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    offsets = runs.select("_k", "_first", F.coalesce(F.sum("_n").over(_earlier(group_cols)), F.lit(0)).alias("_off"))
+    return s.join(offsets, "_k").select(*df.columns, (F.col("_at") - F.col("_first") + F.col("_off")).alias(out))
