@@ -87,8 +87,9 @@ def oracles() -> dict[str, str]:
     from .oracle_long import long_oracles, ml_oracles, review_oracles, split_oracles
     from .oracle_verdicts import verdict_oracles
     from .oracle_metrics import metric_oracles
+    from .oracle_exam import exam_oracles
     from .oracle_misc import misc_oracles
-    out = {}
+    out = exam_oracles()
     out.update(misc_oracles())
     out.update(ml_oracles())
     out.update(split_oracles())
@@ -469,3 +470,47 @@ def q_review_defaults(spark, sf):
     w = wide_table(spark, sf).withColumn("pred_label", F.col("label_weak"))
     return V.review_sheet(w).select("test_id", "question_code", "question_raw", "question_type", "pred_label",
                                     "expert_review")
+
+
+# ---------------------------------------------------------------- archives (F_EXAM as nested JSON)
+from ..sources import archives as A  # noqa: E402
+from .fixtures import exam_scan  # noqa: E402
+
+
+def exams(spark, sf):
+    return A.parsed_json(exam_scan(spark, sf))
+
+
+@register("question_codes")
+def q_question_codes(spark, sf):
+    return A.question_map(exams(spark, sf))
+
+
+@register("exam_manifest")
+def q_exam_manifest(spark, sf):
+    return A.question_map(exams(spark, sf), manifest=True)
+
+
+@register("stimuli")
+def q_stimuli(spark, sf):
+    return rnd(A.stimuli(exams(spark, sf)))
+
+
+@register("structure_stats")
+def q_structure_stats(spark, sf):
+    return A.structure_stats(exams(spark, sf))
+
+
+@register("exam_overview")
+def q_exam_overview(spark, sf):
+    _, s = A.exam_overview(exams(spark, sf))
+    pairs = F.array_sort(F.transform(F.map_entries("question_types"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))))
+    return s.withColumns({"question_types": F.array_join(pairs, ";"), "channels_raw": F.array_join("channels_raw", ";"),
+                          "channels_pretty": F.array_join("channels_pretty", ";")})
+
+
+@register("attach_expected")
+def q_attach_expected(spark, sf):
+    pred = fixture(spark, sf, "f_exam").select(
+        "test_id", F.concat(F.lit("Пв"), (F.col("rn") % 6).cast("string")).alias("question_code"), "rn")
+    return V.attach_expected(pred, A.question_map(exams(spark, sf), manifest=True))

@@ -9,6 +9,7 @@ still reach the parquet reader.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 EV_SPARK = "SELECT *, CAST(get_json_object(props,'$.k') AS INT) AS k FROM {events}"
 EV_DUCK = "SELECT *, CAST(json_extract_string(props,'$.k') AS INT) AS k FROM events"
@@ -72,8 +73,26 @@ SELECT 'T' || CAST(user_id AS VARCHAR(20)) AS test_id, 'c' || CAST(k % 7 AS VARC
  CASE event_type WHEN 'click' THEN 'Ложь' WHEN 'error' THEN 'truth' WHEN 'purchase' THEN ' YES ' WHEN 'signup' THEN 'нет' ELSE 'unsure' END AS expert_review FROM ev
 """
 
-BODIES = {"f_long": F_LONG, "f_stim": F_STIM, "f_pred": F_PRED, "f_cells": F_CELLS, "f_fb": F_FB}
-USES_EV = {"f_long", "f_stim", "f_fb"}
+# rows of examination archives: a user's first 15 events are the questions, all events are stimuli in groups of ten
+F_EXAM = """
+SELECT 'T' || CAST(user_id AS VARCHAR(20)) AS test_id, user_id, rn, k, CAST(FLOOR(rn / 10) AS INT) AS group_idx,
+ CAST(rn % 10 AS INT) AS stimulus_idx, rn < 15 AS is_question,
+ CASE k % 9 WHEN 0 THEN 'I' WHEN 1 THEN 'r' WHEN 2 THEN 'C' WHEN 3 THEN 'SR' WHEN 4 THEN 'S' WHEN 5 THEN 'B' WHEN 6 THEN 'DL'
+   WHEN 7 THEN 'zz' END AS q_type,
+ CASE k % 5 WHEN 0 THEN FALSE WHEN 1 THEN CAST(NULL AS BOOLEAN) ELSE TRUE END AS q_allowed,
+ CASE WHEN k % 11 <> 0 THEN ' text ' || CAST(k AS VARCHAR(20)) || ' ' END AS q_text,
+ CASE k % 4 WHEN 0 THEN ' YES ' WHEN 1 THEN 'no' WHEN 2 THEN 'maybe' END AS q_waiting,
+ k % 17 = 0 AS s_null, CASE WHEN k % 13 <> 0 THEN CAST((rn * 3) % 18 - 1 AS BIGINT) END AS s_question,
+ k % 6 <> 0 AS s_interval, CASE k % 7 WHEN 0 THEN TRUE WHEN 1 THEN CAST(NULL AS BOOLEAN) ELSE FALSE END AS s_empty,
+ CAST(k AS DOUBLE) / 8 AS s_min, CAST(k AS DOUBLE) / 8 + 1 AS s_max,
+ CASE WHEN k % 4 <> 0 THEN CAST(k AS VARCHAR(20)) END AS s_eda_auto, k % 8 = 0 AS s_eda_changed,
+ CASE WHEN k % 3 = 0 THEN CAST(k AS VARCHAR(20)) || '.5' WHEN k % 3 = 1 THEN 'n/a' END AS s_ple,
+ CASE WHEN user_id % 3 <> 0 THEN 'ZONE' END AS test_type
+FROM (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS INT) AS rn FROM ev) a
+"""
+
+BODIES = {"f_exam": F_EXAM, "f_long": F_LONG, "f_stim": F_STIM, "f_pred": F_PRED, "f_cells": F_CELLS, "f_fb": F_FB}
+USES_EV = {"f_exam", "f_long", "f_stim", "f_fb"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -91,6 +110,35 @@ def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(body, conversations=table(spark, sf_dir, "conversations"))
 
 
+def exam_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of ``f_exam`` as scanned archives: path, has_xml, test_json, document_json; one row per test."""
+    e = fixture(spark, sf_dir, "f_exam")
+    question = F.struct(F.col("q_type").alias("type"), F.col("q_allowed").alias("isAllowed"), F.array(F.struct(
+        F.col("q_text").alias("text"), F.col("q_waiting").alias("waitingAnswer"))).alias("contents"))
+    eda = F.struct(F.col("s_eda_changed").alias("isManuallyChanged"), F.lit("7.25").alias("manualValue"), F.col("s_eda_auto").alias("autoValue"))
+    ple = F.when(F.col("s_ple").isNotNull(), F.struct(F.col("s_ple").alias("value")))
+    stimulus = F.when(~F.col("s_null"), F.struct(
+        F.col("s_question").alias("questionIndex"),
+        F.when(F.col("s_interval"), F.struct(F.col("s_empty").alias("isEmpty"), F.col("s_min").alias("min"), F.col("s_max").alias("max")))
+        .alias("analysisInterval"), F.struct(eda.alias("A_EDA"), ple.alias("A_PLE")).alias("scores")))
+
+    def listed(order, value, only=None):
+        pair = F.struct(F.col(order).alias("at"), value.alias("it"))
+        return F.transform(F.sort_array(F.collect_list(pair if only is None else F.when(only, pair))), lambda x: x["it"])
+
+    groups = e.groupBy("test_id", "group_idx").agg(listed("stimulus_idx", stimulus).alias("stimuli"))
+    groups = groups.groupBy("test_id").agg(listed("group_idx", F.struct("stimuli")).alias("stimulusGroups"))
+    tests = e.groupBy("test_id", "user_id", F.col("test_type").alias("testType")).agg(
+        listed("rn", question, F.col("is_question")).alias("questions"))
+    channels = (F.when(F.col("user_id") % 4 == 0, F.lit("{}"))
+                .when(F.col("user_id") % 4 == 1, F.lit('{"channelInfos": {"eda": {}, "ar": {}}}'))
+                .otherwise(F.lit('{"channelInfos": {"zz": {}, "tremor": 1, "bv": null}}')))
+    doc = F.struct("testType", F.struct("questions").alias("questionList"), "stimulusGroups")
+    return tests.join(groups, "test_id").select(
+        F.concat(F.lit("/exams/"), F.col("test_id"), F.lit(".xdex")).alias("path"), F.lit(False).alias("has_xml"),
+        F.to_json(doc).alias("test_json"), channels.alias("document_json"))
+
+
 def duck_ctes(*names: str) -> str:
     """DuckDB ``WITH`` prefix defining the given fixtures over the registered views."""
     parts = []
