@@ -364,3 +364,83 @@ def test_feedback_log_read_error_propagates(spark, tmp_path):
     with pytest.raises(Exception):
         upsert_feedback_log(spark, str(log), empty)
     assert sorted(p.name for p in (log / "v=0").iterdir()) == before and not (log / "v=2").exists()
+
+
+# ---------------------------------------------------------------- crowded values, row ids, log replays
+def test_median_and_running_sums_of_values_packed_just_below_one(spark):
+    import numpy as np
+    rng = np.random.default_rng(3)
+    x = 1 - rng.integers(1, 1 << 20, 60_000) * 2.0 ** -40  # one coarse cell, many fine ones
+    y = rng.integers(0, 2, 60_000)
+    df = spark.createDataFrame([(int(i % 3 == 0), float(v), int(t)) for i, (v, t) in enumerate(zip(x, y))], "g int, v double, y int")
+    from veracity.operators import metrics, ordered
+    cells = df.select(ordered.value_bucket(F.col("v")).alias("b"), ordered.fine_bucket(F.col("v")).alias("f"))
+    coarse, fine = cells.agg(F.count_distinct("b"), F.count_distinct("f")).first()
+    assert coarse <= 2 and fine > 500
+    got = {r["g"]: r["median"] for r in ordered.group_median(df, ["g"], "v").collect()}
+    for g in (0, 1):
+        assert got[g] == np.median(x[np.arange(len(x)) % 3 == 0] if g else x[np.arange(len(x)) % 3 != 0])
+    order = np.argsort(x, kind="stable")
+    values, first = np.unique(x[order], return_index=True)
+    pos = np.add.reduceat(y[order], first)
+    neg = np.diff(np.append(first, len(x))) - pos
+    auc = (pos * (np.cumsum(neg) - neg / 2)).sum() / (pos.sum() * neg.sum())
+    assert metrics.roc_auc(df, "y", "v").first()["roc_auc"] == pytest.approx(auc, abs=1e-9)
+
+
+def test_row_ids_and_splits_do_not_depend_on_partitions(spark):
+    from veracity.operators import ml
+    rows = [(i % 7, float(i % 5), i % 2) for i in range(200)]
+    made = []
+    for n in (1, 7):
+        df = spark.createDataFrame(rows, f"a int, b double, {ml.LABEL} int").repartition(n)
+        ids = ml.row_ids(df)
+        folds, k, kind = ml.assign_folds(df.withColumn("test_id", F.lit("one")), "test_id", ml.LABEL)
+        made.append((sorted(map(tuple, ids.collect())), sorted(map(tuple, folds.collect()))))
+        assert len({r["_rid"] for r in ids.collect()}) == 200 and kind == "stratified"
+        sizes = folds.groupBy(ml.LABEL, "fold").count().collect()
+        assert max(r["count"] for r in sizes) - min(r["count"] for r in sizes) <= 1 and len(sizes) == 2 * k
+    assert made[0] == made[1]
+
+
+def test_blend_of_members(spark):
+    from veracity.operators import ml
+    p = spark.createDataFrame([("x", "a", 0.2), ("x", "b", 0.8), ("y", "a", 0.4), ("y", "c", 0.9), ("z", "b", None)], "k string, model string, y_prob double")
+    w = spark.createDataFrame([("a", 1.0), ("b", 3.0)], "model string, weight double")
+    got = {r["k"]: round(r["deception_probability"], 9) for r in ml.blend(p, w, ["k"]).collect()}
+    assert got == {"x": 0.65, "y": 0.4}
+    none = w.withColumn("weight", F.lit(0.0))
+    assert round({r["k"]: r["deception_probability"] for r in ml.blend(p, none, ["k"]).collect()}["x"], 9) == 0.5
+
+
+def test_replayed_batches_write_nothing_and_old_versions_go(spark, tmp_path):
+    import os
+    from veracity.sources import tables as TB
+    log = str(tmp_path / "log")
+    one = spark.createDataFrame([("2026-01-01 00:00:00", "t", "q", "lie")], "created_at string, test_id string, question_code string, expert_review string")
+    two = one.withColumn("created_at", F.lit("2026-01-02 00:00:00")).withColumn("expert_review", F.lit("truth"))
+    TB.upsert_feedback_log(spark, log, one, batch_id=0)
+    TB.upsert_feedback_log(spark, log, two, batch_id=1)
+    assert TB.upsert_feedback_log(spark, log, one, batch_id=0).first()["expert_label"] == 0
+    assert TB.upsert_feedback_log(spark, log, two, batch_id=1).count() == 1 and sorted(os.listdir(log)) == ["v=0", "v=1"]
+    for i in range(2, 5):
+        TB.upsert_feedback_log(spark, log, two, batch_id=i)
+    TB.upsert_feedback_log(spark, log, one)  # by hand: the stream's last id is kept
+    assert sorted(os.listdir(log)) == ["v=3", "v=4", "v=5"]
+    assert TB.upsert_feedback_log(spark, log, two, batch_id=4).first()["expert_label"] == 0 and len(os.listdir(log)) == 3
+
+
+def test_questions_are_numbered_in_linear_work(spark):
+    import json
+    from veracity import schemas as S
+    from veracity.sources import archives as A
+    types = ["I", "R", "r", "zz", None]
+    doc = json.dumps({"questionList": {"questions": [{"type": types[i % 5]} for i in range(10_000)]}})
+    t = spark.createDataFrame([("a", doc)], "test_id string, j string").select("test_id", F.from_json("j", S.TEST_JSON).alias("t"))
+    rows = A.question_map(t).orderBy("question_index").collect()
+    seen, want = {}, []
+    for i in range(10_000):
+        k = (types[i % 5] or "UNK").upper()
+        seen[k] = seen.get(k, 0) + 1
+        want.append({"I": "Нв", "R": "Пв"}.get(k, k) + str(seen[k]))
+    assert [r["question_code"] for r in rows] == want

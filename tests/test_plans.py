@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as entry
 
-SKIP = {"ensemble_predict", "train_logreg", "train_forests", "group_folds", "group_holdout"}  # model fits: covered elsewhere
+SKIP = {"train_logreg", "train_forests", "group_folds", "group_holdout"}  # model fits: covered elsewhere
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"]
 
 

@@ -192,3 +192,14 @@ def review_sheet(df: DataFrame) -> DataFrame:
     keep = [c for c in ("test_id", "question_code", "question_raw", "question_type", "deception_probability", "pred_label")
             if c in df.columns]
     return df.select(*keep, E.default_review(lab, raw, pred).alias("expert_review"))
+
+
+#: Columns of the explanation, in the order shown.
+EXPLAIN = ["question_code", "question_type_ru", "ref_c_question_code", "sig_resp", "sig_eda", "sig_cardio", "sig_ppg",
+           "z_resp", "z_eda", "z_cardio", "z_ppg", "delta_resp_vs_c", "delta_eda_vs_c", "delta_cardio_vs_c", "delta_ppg_vs_c",
+           "pair_evidence", "baseline_evidence", "empirical_scaled", "evidence_score", "raw_score", "deception_probability"]
+
+
+def explain_table(scored: DataFrame, ids: list[str]) -> DataFrame:
+    """PRJ8: how each probability came about: signals, z values, contrasts and evidence, as far as the table has them."""
+    return scored.select(*ids, *[c for c in EXPLAIN if c in scored.columns and c not in ids])

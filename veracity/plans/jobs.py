@@ -62,7 +62,7 @@ def train(features: DataFrame, label: str | None = None, feedback: DataFrame | N
     work = materialize(ML.group_holdout(ML.feature_matrix(work, cols), "test_id", ML.LABEL, seed=seed))
     dev, hold = work.where("split = 'dev'"), work.where("split = 'holdout'")
     dev, k, kind = ML.assign_folds(dev, "test_id", ML.LABEL, seed=seed)
-    dev = materialize(dev.withColumn("_rid", F.monotonically_increasing_id()))
+    dev = materialize(ML.row_ids(dev))
     n_dev, n_hold = dev.count(), hold.count()
     specs = [s for s in ML.build_models(trees_scale, seed) if model_names is None or s.name in model_names]
     rows, folds_all, breakdown, fitted, oofs = [], [], [], {}, {}
@@ -176,31 +176,45 @@ def score_direct_corpus(spark: SparkSession, xdex_dir: str) -> tuple[DataFrame,
 
 
 def analyze(spark: SparkSession, xdex_dir: str, bundle: tuple | None = None) -> tuple[DataFrame, DataFrame]:
-    """JOB7: per test, ML path when a bundle is given and the test has usable
-    I/II metrics, else the direct path; question votes and blended verdict.
-    Returns (question rows, one summary row per test with ``method``)."""
+    """JOB7: a route is decided for every test before anything is scored: the model path when a bundle is given and the
+    test has usable I/II metrics, else the direct path. Each test is computed on its one path; question votes and blended
+    verdict follow. Returns (question rows, one summary row per test with ``method`` and the AGG22 flag ``degenerate``:
+    probabilities weakly separated)."""
     sc = A.parsed_once(A.scan_xdex(spark, xdex_dir))
     pj = A.parsed_json(sc)
-    direct_scored = D.score_direct(A.stimuli(pj))
-    dq = V.collapse_questions(direct_scored, threshold=K.DIRECT_LABEL_THRESHOLD)
-    dsum = V.blend_verdicts(D.direct_summary(direct_scored), V.question_votes(dq, K.DIRECT_LABEL_THRESHOLD))
-    dsum = dsum.withColumn("method", F.lit(K.DIRECT_METHOD))
     if bundle is None:
-        return dq.withColumn("method", F.lit(K.DIRECT_METHOD)), dsum
+        return _routed([_direct_path(A.stimuli(pj))])
     manifest, members = bundle
     raw = FE.source_union(A.xml_raw(sc), A.json_raw(pj))
-    usable = raw.where(F.col("metric_i").isNotNull() | F.col("metric_ii").isNotNull()).select("test_id").distinct()
-    wide = FE.build_features(FE.build_long(raw.join(usable, "test_id", "left_semi")))
-    pred = predict(wide, members, float(manifest["threshold"]), manifest["feature_cols"])
-    mq = V.collapse_questions(pred, threshold=float(manifest["threshold"]))
-    msum = V.blend_verdicts(ml_summary(mq).withColumn("recommendation", E.recommend("overall_score", *K.ML_BANDS)),
-                            V.question_votes(mq, float(manifest["threshold"])))
-    msum = msum.withColumn("method", F.lit("model_metrics"))
-    ml_tests = msum.select("test_id")
-    rest = dsum.join(ml_tests, "test_id", "left_anti")
-    return (mq.withColumn("method", F.lit("model_metrics")).unionByName(
-        dq.join(ml_tests, "test_id", "left_anti").withColumn("method", F.lit(K.DIRECT_METHOD)), allowMissingColumns=True),
-        msum.unionByName(rest, allowMissingColumns=True))
+    by_model = materialize(model_route(raw))
+    direct = _direct_path(A.stimuli(pj).join(by_model, "test_id", "left_anti"))
+    wide = FE.build_features(FE.build_long(raw.join(by_model, "test_id", "left_semi")))
+    threshold = float(manifest["threshold"])
+    mq = V.collapse_questions(predict(wide, members, threshold, manifest["feature_cols"]), threshold=threshold)
+    model = (mq, V.blend_verdicts(ml_summary(mq), V.question_votes(mq, threshold)), "model_metrics")
+    return _routed([model, direct])
+
+
+def model_route(raw: DataFrame) -> DataFrame:
+    """Tests that the model path takes: those with any I/II metric."""
+    return raw.where(F.col("metric_i").isNotNull() | F.col("metric_ii").isNotNull()).select("test_id").distinct()
+
+
+def _direct_path(stimuli: DataFrame) -> tuple[DataFrame, DataFrame, str]:
+    scored = D.score_direct(stimuli)
+    q = V.collapse_questions(scored, threshold=K.DIRECT_LABEL_THRESHOLD)
+    return q, V.blend_verdicts(D.direct_summary(scored), V.question_votes(q, K.DIRECT_LABEL_THRESHOLD)), K.DIRECT_METHOD
+
+
+def _routed(paths: list[tuple[DataFrame, DataFrame, str]]) -> tuple[DataFrame, DataFrame]:
+    """Question rows and summaries of all paths, each with its method; summaries with the degeneracy flag."""
+    rows, sums = None, None
+    for q, s, method in paths:
+        q = q.withColumn("method", F.lit(method))
+        s = s.withColumn("method", F.lit(method)).join(V.degenerate_flag(q).select("test_id", "degenerate"), "test_id", "left")
+        rows = q if rows is None else rows.unionByName(q, allowMissingColumns=True)
+        sums = s if sums is None else sums.unionByName(s, allowMissingColumns=True)
+    return rows, sums
 
 
 def score_uploads(features: DataFrame, members: list, threshold: float, cols: list[str]) -> tuple[DataFrame, DataFrame]:

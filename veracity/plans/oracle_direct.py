@@ -131,4 +131,8 @@ def direct_oracles() -> dict[str, str]:
            ELSE 'Требует внимания эксперта' END AS recommendation,
       'xdex_direct_scoring_v2_pairwise' AS method
       FROM scored2 GROUP BY test_id"""
+    names = ["pair_evidence", "baseline_evidence", "empirical_scaled", "evidence_score", "deception_probability"]
+    names += [f"{k}_{c}{e}" for k, e in (("sig", ""), ("z", ""), ("delta", "_vs_c")) for c in ("resp", "eda", "cardio", "ppg")]
+    q["explain_table"] = DIRECT_CTES + f"SELECT {ROW_KEYS}, question_code, ref_c_question_code, " + ", ".join(
+        f"{rd(c)} AS {c}" for c in names) + f", {rd('evidence_score')} AS raw_score FROM scored2"
     return q

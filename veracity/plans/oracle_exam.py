@@ -58,4 +58,7 @@ def exam_oracles() -> dict[str, str]:
     q["attach_expected"] = base + f""", m AS ({manifest}), l AS (SELECT test_id, question_code, {lookup} FROM m GROUP BY ALL),
       p AS (SELECT test_id, 'Пв' || (rn % 6) AS question_code, rn FROM f_exam)
       SELECT p.*, waiting_answer_label, waiting_answer_ru, waiting_answer_raw FROM p LEFT JOIN l USING (test_id, question_code)"""
+    q["analyze_route"] = duck_ctes("f_long") + """SELECT test_id, CAST(count(*) AS BIGINT) AS n_records,
+        CASE WHEN bool_or(coalesce(metric_ii > 60, FALSE)) THEN 'model_metrics' ELSE 'xdex_direct_scoring_v2_pairwise' END AS method
+      FROM f_long GROUP BY test_id"""
     return q

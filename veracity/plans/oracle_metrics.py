@@ -111,6 +111,13 @@ def metric_oracles() -> dict[str, str]:
       mw AS (SELECT *, greatest(0.001, coalesce(cv_f1_opt, 0.0)) AS weight FROM mem)
       SELECT model, rank, {rd('weight')} AS weight, {rd('threshold')} AS threshold,
         {rd('sum(weight * threshold) OVER () / sum(weight) OVER ()')} AS ensemble_threshold FROM mw"""
+    q["ensemble_blend"] = q["ensemble_members"].split("SELECT model, rank,")[0].rstrip() + f""",
+      one AS (SELECT test_id, fold, model, avg(y_prob) AS y_prob FROM p GROUP BY ALL)
+      SELECT test_id, fold, {rd('sum(weight * y_prob) / sum(weight)')} AS deception_probability, CAST(count(*) AS BIGINT) AS n_members
+      FROM one JOIN mw ON one.model = mw.model GROUP BY test_id, fold"""
+    q["ml_summary"] = P + f""", s AS (SELECT test_id, avg(y_prob) AS v, count(*) AS n FROM p GROUP BY test_id)
+      SELECT test_id, {rd('v')} AS overall_score, CAST(n AS BIGINT) AS n_items, CASE WHEN v >= 0.60 THEN 'Вероятно ложь'
+        WHEN v <= 0.40 THEN 'Вероятно правда' ELSE 'Требует внимания эксперта' END AS recommendation FROM s"""
     q["class_counts"] = P + """, cc AS (SELECT model, count(*) FILTER (WHERE y_true = 1) AS n_pos, count(*) FILTER (WHERE y_true = 0) AS n_neg,
           count(DISTINCT test_id) AS n_groups FROM p GROUP BY model)
       SELECT model, CAST(n_pos AS BIGINT) AS n_pos, CAST(n_neg AS BIGINT) AS n_neg, CAST(least(n_pos, n_neg) AS BIGINT) AS min_class,

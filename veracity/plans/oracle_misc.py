@@ -43,6 +43,7 @@ def misc_oracles() -> dict[str, str]:
                row_number() OVER (PARTITION BY test_id, question_code ORDER BY created_at DESC) AS rn
              FROM lb WHERE expert_label IS NOT NULL)"""
     q["feedback_latest"] = latest + " SELECT test_id, question_code, expert_review, expert_label FROM lt WHERE rn = 1"
+    q["feedback_upsert"] = q["feedback_latest"]
     fbl = f"""fbl AS (SELECT test_id AS t, question_code AS qc, expert_label FROM (
         SELECT *, row_number() OVER (PARTITION BY test_id, question_code ORDER BY created_at DESC) AS rn
         FROM (SELECT *, {lab} AS expert_label FROM f_fb) z WHERE expert_label IS NOT NULL) y WHERE rn = 1)"""

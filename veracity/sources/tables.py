@@ -83,20 +83,33 @@ def read_feedback(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, S.FEEDBACK)
 
 
-def upsert_feedback_log(spark: SparkSession, log_dir: str, new: DataFrame) -> DataFrame:
-    """SNK4 with safe overwrite: versions live in ``log_dir/v=<n>``; the new
-    latest-wins table is written to the next version (never over an existing
-    one). Versions are found by listing the folder; only the newest complete
-    one is read, and a read error propagates instead of starting anew."""
+def upsert_feedback_log(spark: SparkSession, log_dir: str, new: DataFrame, batch_id: int | None = None, keep: int = 3) -> DataFrame:
+    """SNK4 with safe overwrite: versions live in ``log_dir/v=<n>``; the new latest-wins table is written to the next
+    version (never over an existing one). Versions are found by listing the folder; only the newest complete one is read,
+    and a read error propagates instead of starting anew.
+
+    ``batch_id``: id of a stream's micro-batch. A version holds an empty file ``_batch-<id>`` for the last one folded in,
+    so a batch that is played again writes nothing. Complete versions older than the newest ``keep`` are removed."""
     from ..operators.feedback import upsert_feedback
     log_dir = log_dir.rstrip("/")
     jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(log_dir)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
-    versions = sorted(int(n[2:]) for n in names if n.startswith("v=") and n[2:].isdigit())
-    complete = [v for v in versions if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{log_dir}/v={v}/_SUCCESS"))]
-    old = spark.read.parquet(f"{log_dir}/v={complete[-1]}") if complete else None
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(log_dir).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def listed(folder: str) -> list[str]:
+        return [s.getPath().getName() for s in fs.listStatus(path(folder))] if fs.exists(path(folder)) else []
+
+    versions = sorted(int(n[2:]) for n in listed(log_dir) if n.startswith("v=") and n[2:].isdigit())
+    complete = [v for v in versions if fs.exists(path(f"{log_dir}/v={v}/_SUCCESS"))]
+    newest = f"{log_dir}/v={complete[-1]}" if complete else None
+    folded = max([int(n[7:]) for n in listed(newest) if n.startswith("_batch-")], default=None) if newest else None
+    if batch_id is not None and folded is not None and batch_id <= folded:
+        return spark.read.parquet(newest)
     target = f"{log_dir}/v={(versions[-1] if versions else -1) + 1}"
-    upsert_feedback(old, new).write.mode("errorifexists").parquet(target)
+    upsert_feedback(spark.read.parquet(newest) if newest else None, new).write.mode("errorifexists").parquet(target)
+    mark = folded if batch_id is None else batch_id
+    if mark is not None:
+        fs.create(path(f"{target}/_batch-{mark}")).close()
+    for v in complete[:max(0, len(complete) + 1 - keep)]:
+        fs.delete(path(f"{log_dir}/v={v}"), True)
     return spark.read.parquet(target)

@@ -68,7 +68,7 @@ def stream_feedback(spark: SparkSession, in_dir: str, log_dir: str, checkpoint:
 
     def fold(df: DataFrame, batch_id: int) -> None:
         if not df.isEmpty():
-            TB.upsert_feedback_log(df.sparkSession, log_dir, df)
+            TB.upsert_feedback_log(df.sparkSession, log_dir, df, batch_id)
 
     w = src.writeStream.foreachBatch(fold).option("checkpointLocation", _ckpt(log_dir, checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
