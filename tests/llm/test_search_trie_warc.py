@@ -252,3 +252,43 @@ def test_empty_and_damaged_archives(spark, tmp_path):
     assert got["cut.gz"] == {"response": 1, "damaged": 1}
     assert got["torn.gz"]["damaged"] == 1
     assert got["plain.gz"] == {"response": 1, "damaged": 1}
+
+
+# ---------------------------------------------------------------- 6 gradients of the language model
+def test_gradients_equal_finite_differences(monkeypatch):
+    from veracity.llm import gru_lm as G
+    monkeypatch.setattr(G, "_F", np.float64)
+    rng = np.random.default_rng(2)
+    n = G.CLASSES * G.MEMBERS
+    p = {k: v.astype(np.float64) for k, v in G.start_parameters(rng.random(G.CLASSES + 1) + 1, rng.random((G.CLASSES, G.MEMBERS)) + 1).items()}
+    for k in ("wc", "wm"):
+        p[k] = rng.normal(0, 0.3, p[k].shape)
+    ids = np.append(rng.integers(0, n + 1, 60), rng.integers(0, 40, 60))
+    offsets = np.array([0, 25, 31, 90, 120])
+
+    def loss(p, grads=None):
+        total = 0.0
+        for previous, token, fresh, at in G.windows(ids, offsets, 4, 200):
+            hs, saved, _ = G.forward(p, previous, fresh, np.zeros((token.shape[1], G.HIDDEN)))
+            real = at.reshape(-1) >= 0
+            flat = hs.reshape(-1, G.HIDDEN)
+            dhs = np.zeros_like(flat)
+            logp, d = G.output(p, flat[real], token.reshape(-1)[real], grads)
+            total -= logp.sum()
+            if grads is not None:
+                dhs[real] = d
+                G.backward(p, grads, previous, saved, dhs.reshape(hs.shape))
+        return total
+
+    grads = {k: np.zeros_like(v) for k, v in p.items()}
+    loss(p, grads)
+    for k in p:
+        flat, g = p[k].reshape(-1), grads[k].reshape(-1)
+        for i in [*rng.integers(0, len(flat), 4), int(np.abs(g).argmax())]:
+            keep, step = flat[i], 1e-5
+            flat[i] = keep + step
+            up = loss(p)
+            flat[i] = keep - step
+            down = loss(p)
+            flat[i] = keep
+            assert (up - down) / (2 * step) == pytest.approx(g[i], rel=1e-4, abs=1e-6), k

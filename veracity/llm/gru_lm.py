@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veracity.llm.shared import batches_by_bytes, cut, id_remainder, word_hashes
+from veracity.llm.shared import batches_by_bytes, cut, id_remainder, released, word_hashes
 
 CLASSES, MEMBERS, HIDDEN = 32, 96, 16
 HEAD, ROUNDS, WINDOW, LANES, RATE = 200_000, 2, 32, 256, 0.3
@@ -69,14 +69,11 @@ def start_parameters(class_counts: np.ndarray, member_counts: np.ndarray, seed:
     return {k: v.astype(_F) for k, v in p.items()}
 
 
-def _sigmoid(x):
-    return _F(0.5) * (np.tanh(_F(0.5) * x) + _F(1))
-
-
 def forward(p: dict, given: np.ndarray, fresh: np.ndarray, h: np.ndarray):
     """States of a window. given: (steps, lanes) previous tokens; fresh: True where a document begins; h: carried state."""
     steps, n = HIDDEN, len(given)
-    x = p["embed"][given] @ p["wx"] + p["b"]
+    x = p["embed"][given] @ p["wx"]
+    x += p["b"]
     keep = (~fresh).astype(_F)[:, :, None]
     hs, before, gates = np.empty((n, *h.shape), _F), np.empty((n, *h.shape), _F), np.empty((n, h.shape[0], 4 * steps), _F)
     for t in range(n):
@@ -84,7 +81,11 @@ def forward(p: dict, given: np.ndarray, fresh: np.ndarray, h: np.ndarray):
         before[t] = h
         u = h @ p["wh"]
         a = x[t]
-        rz = _sigmoid(a[:, : 2 * steps] + u[:, : 2 * steps])
+        rz = a[:, : 2 * steps] + u[:, : 2 * steps]
+        rz *= _F(0.5)  # the logistic function in place
+        np.tanh(rz, out=rz)
+        rz += _F(1)
+        rz *= _F(0.5)
         r, z = rz[:, :steps], rz[:, steps:]
         un = u[:, 2 * steps:]
         c = np.tanh(a[:, 2 * steps:] + r * un)
@@ -94,14 +95,23 @@ def forward(p: dict, given: np.ndarray, fresh: np.ndarray, h: np.ndarray):
     return hs, (before, gates, keep), h
 
 
+def _exp(h: np.ndarray, weights: np.ndarray, bias: np.ndarray, rows: np.ndarray, at: np.ndarray):
+    """(exp of the clipped scores, the scores at (rows, at)); one buffer, as new large ones cost more than the arithmetic."""
+    z = h @ weights
+    z += bias
+    np.maximum(z, _F(-60), out=z)  # keeps exp finite without a row maximum
+    np.minimum(z, _F(60), out=z)
+    own = z[rows, at]
+    return np.exp(z, out=z), own
+
+
 def output(p: dict, hs: np.ndarray, token: np.ndarray, grads: dict | None = None):
     """Natural log-probabilities of the tokens after the states; with ``grads``, also d(-sum)/d(states)."""
     cls = np.minimum(token // MEMBERS, CLASSES)
     rows = np.arange(len(token))
-    z = np.clip(hs @ p["wc"] + p["bc"], -60, 60)  # keeps exp finite without a row maximum
-    e = np.exp(z)
+    e, own = _exp(hs, p["wc"], p["bc"], rows, cls)
     total = e @ np.ones((e.shape[1], 1), e.dtype)
-    logp = z[rows, cls] - np.log(total[:, 0])
+    logp = own - np.log(total[:, 0])
     dh = None
     if grads is not None:
         e /= total
@@ -114,11 +124,10 @@ def output(p: dict, hs: np.ndarray, token: np.ndarray, grads: dict | None = None
     for c in np.flatnonzero(np.diff(ends)):
         own = order[ends[c]: ends[c + 1]]
         h, member = hs[own], token[own] % MEMBERS
-        z = np.clip(h @ p["wm"][c] + p["bm"][c], -60, 60)
-        e = np.exp(z)
+        at = rows[: len(own)]
+        e, mine = _exp(h, p["wm"][c], p["bm"][c], at, member)
         total = e @ np.ones((MEMBERS, 1), e.dtype)
-        at = np.arange(len(own))
-        logp[own] += z[at, member] - np.log(total[:, 0])
+        logp[own] += mine - np.log(total[:, 0])
         if grads is not None:
             e /= total
             e[at, member] -= 1
@@ -135,16 +144,22 @@ def backward(p: dict, grads: dict, given: np.ndarray, saved, dhs: np.ndarray) ->
     dx = np.empty((*given.shape, 3 * k), _F)
     du_all = np.empty_like(dx)
     dh = np.zeros_like(before[0])
+    r, z, c, un = (gates[:, :, i * k: (i + 1) * k] for i in range(4))
+    # slopes that do not depend on the gradient, for the whole window at once
+    to_c, to_z, to_r = (1 - z) * (1 - c * c), (before - c) * z * (1 - z), un * r * (1 - r)
+    back = np.ascontiguousarray(p["wh"].T)
     for t in range(len(given) - 1, -1, -1):
-        dh = dh + dhs[t]
-        r, z, c, un = (gates[t, :, i * k: (i + 1) * k] for i in range(4))
-        dc = dh * (1 - z) * (1 - c * c)
-        dz = dh * (before[t] - c) * z * (1 - z)
-        dr = dc * un * r * (1 - r)
-        dx[t, :, :k], dx[t, :, k: 2 * k], dx[t, :, 2 * k:] = dr, dz, dc
+        dh += dhs[t]
+        dr, dz, dc = (dx[t, :, i * k: (i + 1) * k] for i in range(3))
+        np.multiply(dh, to_z[t], out=dz)
+        np.multiply(dh, to_c[t], out=dc)
+        np.multiply(dc, to_r[t], out=dr)
         du = du_all[t]
-        du[:, : 2 * k], du[:, 2 * k:] = dx[t, :, : 2 * k], dc * r
-        dh = (dh * z + du @ p["wh"].T) * keep[t]
+        du[:, : 2 * k] = dx[t, :, : 2 * k]
+        np.multiply(dc, r[t], out=du[:, 2 * k:])
+        dh *= z[t]
+        dh += du @ back
+        dh *= keep[t]
     flat, x = dx.reshape(-1, 3 * k), given.reshape(-1)
     grads["wx"] += p["embed"][x].T @ flat
     grads["b"] += flat.sum(axis=0)
@@ -207,8 +222,12 @@ class Trainer:
             for k, g in grads.items():
                 g *= scale * _F(30)
                 np.clip(g, -1, 1, out=g)
-                self.seen[k] += g * g
-                self.p[k] -= _F(self.rate) * g / np.sqrt(self.seen[k]) * _F(0.3)
+                step = g * g
+                self.seen[k] += step
+                np.sqrt(self.seen[k], out=step)
+                np.divide(g, step, out=step)
+                step *= _F(self.rate * 0.3)
+                self.p[k] -= step
 
 
 def log_likelihood(p: dict, ids: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -278,7 +297,7 @@ def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def count_tokens(docs: DataFrame) -> DataFrame:
     """(h, n): the number of each token in the texts."""
-    return docs.select("text").mapInArrow(_counter, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(released(_counter), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
@@ -331,7 +350,7 @@ def fit(train: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> dict:
     for r in range(rounds):
         shared = spark.sparkContext.broadcast((vocab, p))
         own = train.filter(F.pmod(F.xxhash64("doc_id"), F.lit(rounds)) == r).select("text")
-        level = cut(own.mapInArrow(_trainer(shared), schema))
+        level = cut(own.mapInArrow(released(_trainer(shared)), schema))
         # a task's parameters are 0.4 MB: averaged 32 by 32 until one is left
         while True:
             level = cut(level.groupBy((F.col("part") / 32).cast("long").alias("k")).applyInPandas(_average, schema))
@@ -386,7 +405,7 @@ def score(docs: DataFrame) -> DataFrame:
     vocab = vocabulary(counts)
     shared = docs.sparkSession.sparkContext.broadcast((vocab, fit(train, vocab)))
     rows = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"), "text")
-               .mapInArrow(_scorer(shared), _SCORED))
+               .mapInArrow(released(_scorer(shared)), _SCORED))
     chance = F.log10((F.coalesce("n", F.lit(0)) + 0.5) / F.lit(vocab.mass))
     tail = (rows.select("row", F.explode("tail").alias("h")).join(counts, "h", "left").groupBy("row")
             .agg(F.sum(chance).alias("tail_base"), F.count("n").alias("tail_known")))
