@@ -16,7 +16,7 @@ tokens in Spark. So both what is counted and what is learned grow with the
 input. Scoring carries the state across windows over each whole document.
 
 Scale: counts are pre-aggregated in tasks and summed by a 64-bit word hash. The
-``HEAD`` most frequent tokens' counts are broadcast (2.4 MB, a fixed bound);
+at most ``HEAD`` most frequent tokens' counts are broadcast (2.4 MB, a fixed bound);
 rarer tokens meet their counts in a join of (row, word) pairs.
 
 Defined cases: null or blank text is the end token alone; a null doc_id counts
@@ -253,6 +253,8 @@ class Vocabulary:
         slot[known] = np.arange(len(known))
         by_hash = np.argsort(hashes)
         self.hashes, self.counts, self.slots = hashes[by_hash], counts[by_hash], slot[by_hash]
+        inside = self.slots < CLASSES * MEMBERS
+        self.known, self.known_slots = self.hashes[inside], self.slots[inside]
         self.total, self.distinct = total, distinct
         self.mass = total + 0.5 * (distinct + 1)
         members = np.zeros(CLASSES * MEMBERS)
@@ -263,6 +265,13 @@ class Vocabulary:
         #: log10 of the base chance of all tokens that the network does not know
         self.rest = np.log10(max(1e-300, 1 - (held + 0.5 * len(known)) / self.mass))
 
+    def slot(self, tokens: np.ndarray) -> np.ndarray:
+        """The network's slot of each token, from its own small table."""
+        if not len(self.known):
+            return np.full(len(tokens), CLASSES * MEMBERS, np.int64)
+        at = np.minimum(np.searchsorted(self.known, tokens), len(self.known) - 1)
+        return np.where(self.known[at] == tokens, self.known_slots[at], CLASSES * MEMBERS)
+
     def look(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(slot, count) of each token; count -1 outside the head."""
         if not len(self.hashes):
@@ -301,8 +310,17 @@ def count_tokens(docs: DataFrame) -> DataFrame:
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
+    """The head holds all tokens from a count on that at most ``HEAD`` reach (found by a histogram of the counts, of a few
+    thousand rows), and at least as many tokens as the network knows."""
     total, distinct = counts.agg(F.sum("n"), F.count("*")).first()
-    head = counts.orderBy(F.desc("n"), "h").limit(HEAD).toArrow()
+    rank = F.when(F.col("n") < 4096, F.col("n")).otherwise(4096 + F.floor(F.log2("n") * 64)).cast("long")
+    least, held = 1 << 62, 0
+    for r, n in sorted(counts.groupBy(rank.alias("r")).count().collect(), reverse=True):
+        if held + n > HEAD:
+            break
+        least, held = r, held + n
+    head = counts.filter(rank >= least) if held >= CLASSES * MEMBERS else counts.orderBy(F.desc("n"), "h").limit(CLASSES * MEMBERS)
+    head = head.toArrow()
     return Vocabulary(head.column("h").to_numpy().view(np.uint64), head.column("n").to_numpy(), int(total or 0), int(distinct))
 
 
@@ -326,7 +344,7 @@ def _trainer(shared):
             texts = batch.column(0).to_pylist()
             for a, b in batches_by_bytes(texts, BATCH):
                 tokens, offsets = tokens_of(texts[a:b])
-                trainer.learn(vocab.look(tokens)[0], offsets)
+                trainer.learn(vocab.slot(tokens), offsets)
                 seen += len(tokens)
         if seen:
             part = TaskContext.get().partitionId()
