@@ -444,3 +444,33 @@ def test_questions_are_numbered_in_linear_work(spark):
         seen[k] = seen.get(k, 0) + 1
         want.append({"I": "Нв", "R": "Пв"}.get(k, k) + str(seen[k]))
     assert [r["question_code"] for r in rows] == want
+
+
+def test_order_key(spark):
+    """Keys order as the doubles do, tell neighbouring doubles apart and give them back."""
+    import math
+    import struct
+    rng = np.random.default_rng(5)
+    vals = [struct.unpack("d", rng.bytes(8))[0] for _ in range(4000)]
+    vals += [2.0 ** e for e in range(-1074, 1024)] + [math.nextafter(2.0 ** e, 0.0) for e in range(-1073, 1024)]
+    vals += [0.0, -0.0, float("inf"), float("-inf"), 1.0, math.nextafter(1.0, 2.0), -1.5, 1e-310, 1.7976931348623157e308]
+    vals = [v for v in vals if not math.isnan(v)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i long, v double")
+    k = O.order_key(F.col("v"))
+    rows = df.select("v", k.alias("k"), O.key_value(k).alias("b")).collect()
+    assert all(r["v"] == r["b"] for r in rows)
+    rows.sort(key=lambda r: r["k"])
+    assert [r["v"] for r in rows] == sorted(vals)
+    assert len({r["k"] for r in rows}) == len(set(vals))
+
+
+def test_median_million_values(spark):
+    """A million distinct values inside 1e-6 in a hot group, beside a null group, small groups, weights and NaN."""
+    n = 1_000_000
+    hot = spark.range(n).select(F.lit("hot").alias("g"), (1.0 + F.col("id") * 1e-12).alias("x"), F.lit(1).alias("c"))
+    rest = spark.createDataFrame([(None, -3.0, 1), (None, 5.0, 2), ("w", 1.0, 3), ("w", 9.0, 2), ("e", None, 1), ("z", -0.0, 1), ("z", 0.0, 1),
+                                  ("n", float("nan"), 1), ("n", 1.0, 1), ("n", 2.0, 1), ("i", float("inf"), 1)], "g string, x double, c int")
+    df = hot.union(rest)
+    got = {r["g"]: r["m"] for r in O.group_median(df, ["g"], "x", "m", times="c").collect()}
+    want = float(np.median(1.0 + np.arange(n) * 1e-12))
+    assert got == {"hot": want, None: 5.0, "w": 1.0, "z": 0.0, "n": 2.0, "i": float("inf")}

@@ -75,17 +75,16 @@ def robust_stats(masked: DataFrame, by) -> DataFrame:
     population sd, else 1 (over baseline rows). One row per test, wide."""
     by = _by(by)
     # test and channel are one struct key, which compares null-safe: every step shares its placement.
-    # Written once, as one row per distinct value of a key: serves the centre, the deviations and the sd
-    v = materialize(masked.where("in_baseline").select(F.struct(*by).alias("_t"), *SIG.values())
-                    .unpivot("_t", list(SIG.values()), "channel", "x").where(F.col("x").isNotNull())
-                    .groupBy(F.struct("_t", "channel").alias("_g"), "x").agg(F.count(F.lit(1)).alias("c")))
-    centre = materialize(group_median(v, ["_g"], "x", "centre", times="c"))
-    dev = v.join(centre, "_g").select("_g", "c", "centre", (F.col("x") - F.col("centre")).alias("d"),
+    # The values are read again by every pass; only the centres, a row per test and channel, are written
+    v = (masked.where("in_baseline").select(F.struct(*by).alias("_t"), *SIG.values())
+         .unpivot("_t", list(SIG.values()), "channel", "x").where(F.col("x").isNotNull())
+         .select(F.struct("_t", "channel").alias("_g"), "x"))
+    centre = materialize(group_median(v, ["_g"], "x", "centre"))
+    dev = v.join(centre, "_g").select("_g", "centre", (F.col("x") - F.col("centre")).alias("d"),
                                       F.abs(F.col("x") - F.col("centre")).alias("dev"))
-    mad = group_median(dev, ["_g"], "dev", "mad", times="c")
-    n = F.sum("c")
+    mad = group_median(dev, ["_g"], "dev", "mad")
     # the variance about the median, less the square of the mean's distance from it
-    var = F.sum(F.col("c") * F.col("d") * F.col("d")) / n - F.pow(F.sum(F.col("c") * F.col("d")) / n, F.lit(2.0))
+    var = F.avg(F.col("d") * F.col("d")) - F.pow(F.avg("d"), F.lit(2.0))
     sd = dev.groupBy("_g").agg(F.first("centre").alias("centre"), F.sqrt(F.greatest(var, F.lit(0.0))).alias("sd"))
     st = sd.join(mad, "_g", "left").select(F.col("_g._t").alias("_t"), F.col("_g.channel").alias("channel"), "centre",
                                            _scale(F.col("mad"), F.col("sd")).alias("scale"))
@@ -162,7 +161,7 @@ def score_direct(stim: DataFrame, by="test_id", within_group: bool = False) -> D
     """JOB4 row level: every stimulus with signals, z, deltas, probability."""
     by = _by(by)
     sig = signals(stim)
-    tiers = test_tiers(sig, by)
+    tiers = materialize(test_tiers(sig, by))
     # one row per test is all that is written; the stimuli are read again, with the columns that the step needs
     per_test = materialize(tiers.join(robust_stats(with_masks(sig, tiers, by), by), by, "left"))
     masked = with_masks(sig, per_test, by)

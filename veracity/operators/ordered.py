@@ -15,6 +15,8 @@ Buckets depend on nothing but the row itself, so both levels agree whatever is
 recomputed after a lost executor, and nothing has to be written in between.
 Callers aggregate equal values to one row first, so a tied value is one row.
 
+Medians need no order at all: they are selected by counts over the bits of the values.
+
 Ranks over text keys have no such function. They are range-partitioned, numbered
 where they lie and written once (key columns only) to the checkpoint folder, so
 that the row numbers and the counts per partition come from the same placement.
@@ -125,35 +127,64 @@ def neighbours(df: DataFrame, group_cols: list[str], position: str, before_col:
     return local.join(offsets, "_k").select(*df.columns, F.coalesce("_le", "_pe").alias("left"), F.coalesce("_ls", "_ns").alias("right"))
 
 
+_MANTISSA, _LEAST_NORMAL, _LEAST, _INF = 1 << 52, 2.0 ** -1022, 2.0 ** -1074, float("inf")
+_MOST = 1.7976931348623157e308
+#: Bits of an order key that a pass of the median has not looked at yet: a pass counts at most 2 ** 22 cells beside each
+#: middle row (2 ** 20 in the first), whatever the group's size.
+_PASSES = (44, 22, 0)
+
+
+def order_key(v: Column) -> Column:
+    """64-bit whole number of a double that orders as doubles do, and tells all doubles apart (both zeros are one, NaN is
+    last): biased exponent above 52 bits of mantissa, negated below zero. Powers of two divide exactly."""
+    a = F.greatest(F.least(F.abs(v), F.lit(_MOST)), F.lit(_LEAST_NORMAL))
+    near = F.floor(F.log2(a))
+    e = near + (a >= F.pow(F.lit(2.0), near + 1)).cast("int") - (a < F.pow(F.lit(2.0), near)).cast("int")
+    size = (e + 1023) * F.lit(_MANTISSA) + ((a / F.pow(F.lit(2.0), e) - 1) * float(_MANTISSA)).cast("long")
+    odd = (F.when(F.isnan(v), F.lit(2047 * _MANTISSA + 1)).when(v == _INF, F.lit(2047 * _MANTISSA))
+           .when(v == -_INF, F.lit(-2047 * _MANTISSA)).when(F.abs(v) < _LEAST_NORMAL, (v / _LEAST).cast("long")))
+    return F.coalesce(odd, size * F.signum(v).cast("int"))
+
+
+def key_value(key: Column) -> Column:
+    """The double of an :func:`order_key`."""
+    k = F.abs(key)
+    e, m = F.shiftright(k, 52), k.bitwiseAND(F.lit(_MANTISSA - 1)).cast("double")
+    size = (F.when(k > 2047 * _MANTISSA, F.lit(float("nan"))).when(e == 2047, F.lit(_INF)).when(e == 0, m * _LEAST)
+            .otherwise((1 + m / float(_MANTISSA)) * F.pow(F.lit(2.0), (e - 1023).cast("double"))))
+    return F.when(key < 0, -size).otherwise(size)
+
+
 def group_median(df: DataFrame, group_cols: list[str], value: str, out: str = "median", times: str | None = None) -> DataFrame:
     """Exact median (midpoint for even counts) of the non-null ``value`` per group; one row per group that has a value.
     ``times`` names a column that says how often the row's value counts.
 
-    Counts per (group, cell) find the cells that hold the middle rows, then finer cells inside these; only the values of
-    the finest are ordered."""
-    often = F.sum(times) if times else F.count(F.lit(1))
-    v = (_cells(df.withColumn("_v", F.col(value).cast("double")).where(F.col("_v").isNotNull()), group_cols, value_bucket(F.col("_v")))
-         .groupBy("_k", "_v").agg(often.alias("_c")))
-    placed = v.groupBy("_k").agg(F.sum("_c").alias("_n")).select(
-        "_k", "_n", F.coalesce(F.sum("_n").over(_earlier(group_cols)), F.lit(0)).alias("_off"),
-        F.sum("_n").over(Window.partitionBy(*_group(group_cols))).alias("_tot"))
-    lo, hi = F.floor((F.col("_tot") - 1) / 2), F.floor(F.col("_tot") / 2)
-
-    def middle(cells: DataFrame) -> DataFrame:
-        return cells.where((F.col("_off") <= hi) & (F.col("_off") + F.col("_n") > lo))
-
-    # inside the middle cells the same once more: fine cells are counted, and only values of the middle ones are ordered
-    near = v.join(middle(placed).drop("_n"), "_k").withColumn("_b", fine_bucket(F.col("_v")))
-    sizes = near.groupBy("_k", "_b", "_off", "_tot").agg(F.sum("_c").alias("_n"))
-    before = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    fine = middle(sizes.withColumn("_off", F.col("_off") + F.coalesce(F.sum("_n").over(before), F.lit(0)))).drop("_n")
-    inside = Window.partitionBy("_k", "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    c = near.drop("_off", "_tot").join(fine, ["_k", "_b"]).withColumn("_end", F.col("_off") + F.sum("_c").over(inside))
-
-    def at(pos: Column) -> Column:
-        return F.max(F.when((F.col("_end") - F.col("_c") <= pos) & (pos < F.col("_end")), F.col("_v")))
-    return (c.groupBy(*[g.alias(n) for g, n in zip(_group(group_cols), group_cols)])
-            .agg(((at(lo) + at(hi)) / 2).alias(out)))
+    Radix selection: a pass counts the rows of every group per cell of the next bits of the order key (map-side), keeps the
+    cells of the two middle rows, and the next pass counts inside these alone. The last pass has seen all bits, so the
+    median is read off its cells: values are never sorted, shuffled one by one or written, a hot group's no more than
+    others."""
+    rows = df.where(F.col(value).isNotNull()).select(F.struct(*[F.col(c).alias(f"g{i}") for i, c in enumerate(group_cols)]).alias("_g"),
+                     order_key(F.col(value).cast("double")).alias("_x"), (F.col(times) if times else F.lit(1)).alias("_c"))
+    whole = Window.partitionBy("_g")
+    before = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    middle, seen = None, 64
+    for rest in _PASSES:
+        cell = F.shiftright("_x", rest).alias("_b")
+        if middle is None:
+            sizes = (rows.groupBy("_g", cell).agg(F.sum("_c").alias("_n")).withColumn("_all", F.sum("_n").over(whole))
+                     .select("_g", "_b", "_n", F.floor((F.col("_all") - 1) / 2).alias("_lo"), F.floor(F.col("_all") / 2).alias("_hi")))
+        else:
+            # no row lies between the cells of the two middle rows
+            inside = rows.join(middle, "_g").where(F.shiftright("_x", seen).between(F.col("_first"), F.col("_last")))
+            sizes = inside.groupBy("_g", "_lo", "_hi", cell).agg(F.sum("_c").alias("_n"))
+        end = F.col("_off") + F.col("_n")
+        middle = (sizes.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).groupBy("_g").agg(
+            F.min(F.when(end > F.col("_lo"), F.col("_b"))).alias("_first"), F.min(F.when(end > F.col("_hi"), F.col("_b"))).alias("_last"),
+            F.min(F.when(end > F.col("_lo"), F.col("_off"))).alias("_base"), F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi")).select(
+                "_g", "_first", "_last", (F.col("_lo") - F.col("_base")).alias("_lo"), (F.col("_hi") - F.col("_base")).alias("_hi")))
+        seen = rest
+    return middle.select(*[F.col(f"_g.g{i}").alias(c) for i, c in enumerate(group_cols)],
+                         ((key_value(F.col("_first")) + key_value(F.col("_last"))) / 2).alias(out))
 
 
 def materialize(df: DataFrame) -> DataFrame:
