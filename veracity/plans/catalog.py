@@ -490,6 +490,24 @@ def q_feedback_upsert(spark, sf):
     return out.select("test_id", "question_code", "expert_review", F.col("expert_label").cast("int").alias("expert_label"))
 
 
+@register("upload_adapter")
+def q_upload_adapter(spark, sf):
+    """The long records written as uploads with two headers, read back by the folder scan."""
+    import uuid
+    from ..session import ensure_checkpoint_dir
+    from ..sources import tables as TB
+    folder, raw = f"{ensure_checkpoint_dir(spark)}/uploads-{uuid.uuid4().hex}", raw_long(spark, sf)
+    docx = F.col("source_type").eqNullSafe("docx")
+    plain = raw.where(docx).selectExpr("metric_ii AS II", "parameter", "question_raw", "test_id", "metric_i AS I", "score_result AS `Результат`",
+                                       "source_file")
+    full = raw.where(~docx).selectExpr("question_raw AS Question_Raw", "parameter AS PARAMETER", "metric_i", "metric_ii", "score_result AS score",
+                                       *[c for c in raw.columns if c not in ("question_raw", "parameter", "metric_i", "metric_ii", "score_result")])
+    for name, part in (("plain", plain), ("full", full)):
+        (part.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+         .option("ignoreTrailingWhiteSpace", False).csv(f"{folder}/{name}"))
+    return rnd(TB.upload_long(*TB.scan_uploads(spark, folder)))
+
+
 @register("analyze_route")
 def q_analyze_route(spark, sf):
     raw = raw_long(spark, sf)

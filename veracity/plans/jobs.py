@@ -230,6 +230,20 @@ def score_uploads(features: DataFrame, members: list, threshold: float, cols: li
     return summary, per_q
 
 
+UPLOAD_IDS = ["test_id", "question_code", "question_raw", "question_type"]
+
+
+def score_upload_folder(spark: SparkSession, folder: str, members: list, threshold: float,
+                        cols: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """JOB9 from the uploaded files on: every table of the folder, wide ones as they are, long ones through the feature
+    table, to verdicts. Returns (summary per test, question rows, files with the error of those left out)."""
+    files, rows = TB.scan_uploads(spark, folder)
+    files = materialize(files)
+    built = FE.build_features(materialize(FE.build_long(TB.upload_long(files, rows))))
+    both = ML.feature_matrix(built, cols).select(*UPLOAD_IDS, *cols).unionByName(TB.upload_wide(rows, UPLOAD_IDS, cols))
+    return (*score_uploads(both, members, threshold, cols), files)
+
+
 def run_pipeline(spark: SparkSession, docx_dir: str | None, xdex_dir: str | None, out_dir: str,
                  trees_scale: float = 1.0, feedback: DataFrame | None = None, model_names: list[str] | None = None) -> dict:
     """JOB5: preprocess then train; tables, reports and bundle under out_dir."""

@@ -18,6 +18,7 @@ def to_float(x: str) -> str:
     return f"TRY_CAST(nullif(regexp_extract({s}, '-?[0-9]+(?:\\.[0-9]+)?', 0), '') AS DOUBLE)"
 
 
+META = ["question_type_code", "is_allowed", "waiting_answer_raw", "waiting_answer_label", "waiting_answer_ru"]
 REVIEW = ("CASE WHEN lower({t}) IN ('ложь', 'lie', '1', 'true', 'yes', 'да') THEN 1 "
           "WHEN lower({t}) IN ('правда', 'truth', '0', 'false', 'no', 'нет') THEN 0 END")
 PREFIX = {"Нв": "neutral", "Пв": "control", "Вл": "probable_lie", "Жв": "sacrifice", "Св": "symptomatic"}
@@ -36,6 +37,15 @@ def split_sql(x: str) -> str:
 
 def misc_oracles() -> dict[str, str]:
     q = {}
+    given = "source_type IS DISTINCT FROM 'docx'"
+    q["upload_adapter"] = duck_ctes("f_long") + f"""SELECT source_file, test_id, question_raw, parameter,
+        CASE WHEN {given} THEN source_type ELSE 'upload' END AS source_type,
+        CASE WHEN {given} THEN question_code ELSE question_raw END AS question_code,
+        CASE WHEN {given} THEN question_text ELSE question_raw END AS question_text,
+        CASE WHEN {given} THEN question_type ELSE 'other' END AS question_type,
+        {", ".join(f"CASE WHEN {given} THEN {c} END AS {c}" for c in META)},
+        {rd('metric_i')} AS metric_i, {rd('metric_ii')} AS metric_ii, {rd('score_result')} AS score_result
+        FROM f_long"""
     lab = REVIEW.format(t=utrim("expert_review"))
     q["review_labels"] = duck_ctes("f_fb") + f"SELECT test_id, question_code, expert_review, {lab} AS expert_label FROM f_fb"
     latest = duck_ctes("f_fb") + f""", lb AS (SELECT *, {lab} AS expert_label FROM f_fb),

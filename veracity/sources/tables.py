@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,6 +79,93 @@ def adapt_upload(df: DataFrame, name: str = "uploaded.csv", test_id: str | None
     return out.select(*[f.name for f in S.RAW.fields]), "long"
 
 
+#: Names under which a long upload may carry a field: the first that is a column is used, as written or in other case.
+UPLOAD_NAMES = {c: [c] for c in S.RAW.fieldNames()} | {
+    "metric_i": ["metric_i", "I", "i"], "metric_ii": ["metric_ii", "II", "ii"],
+    "score_result": ["score_result", "Результат", "result", "score"]}
+UNSUPPORTED = "Unsupported table format. Required columns: question_raw and parameter."
+NO_METRICS = "No numeric I/II metrics were found in the file."
+
+
+def scan_uploads(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """SRC8 over a folder: all ``*.csv`` tables under it, whatever their headers, by one plan.
+
+    Returns (files, rows). A file: path, source_file (its name), layout (wide, long or unsupported), n_rows and the error
+    that keeps it out (null: none). A row: path, source_file, layout, ``names`` (the file's header) and ``vals``.
+
+    Rows are read as arrays and meet their file's header in a join on the path, so the plan does not grow with the number
+    of layouts and no header reaches the driver, which reads one number: the most columns of a line. A file is read by one
+    task, record by record (quoted line breaks). Defined cases: a file without a line is not listed; a header alone is a
+    file of 0 rows; lines shorter than the header are filled with nulls, longer ones keep what the header names; of equal
+    column names the first counts; a leading byte-order mark is dropped."""
+    def reader():
+        return spark.read.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True)
+
+    width = reader().text(folder).agg(F.max(F.length("value") - F.length(F.replace("value", F.lit(","), F.lit("")))) + 1).first()[0] or 1
+    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
+    lines = (reader().schema(schema).option("header", False).option("multiLine", True).option("escape", '"').csv(folder)
+             .select(F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("_at"),
+                     F.array(*schema.fieldNames()).alias("vals")))
+    heads = lines.groupBy("path").agg(F.min_by("vals", "_at").alias("names"), F.min("_at").alias("_first"))
+    heads = heads.withColumn("names", F.transform("names", lambda n: F.ltrim(n, F.lit("\ufeff"))))
+    low = F.transform("names", lambda n: F.lower(n))
+    heads = heads.select("path", F.url_decode(F.replace(F.element_at(F.split("path", "/"), -1), F.lit("+"), F.lit("%2B"))).alias("source_file"),
+                         "names", "_first",
+                         F.when(F.exists("names", lambda n: n.startswith("i_") | n.startswith("ii_")), "wide")
+                         .when(F.array_contains(low, "question_raw") & F.array_contains(low, "parameter"), "long")
+                         .otherwise("unsupported").alias("layout"))
+    rows = lines.join(heads, "path").where(F.col("_at") > F.col("_first")).drop("_at", "_first")
+    usable = F.coalesce(*[_numeric(c) for c in ("metric_i", "metric_ii")]).isNotNull()
+    seen = rows.groupBy("path").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(usable).alias("_usable"))
+    files = heads.join(seen, "path", "left").select(
+        "path", "source_file", "layout", F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
+        F.when(F.col("layout") == "unsupported", UNSUPPORTED)
+        .when((F.col("layout") == "long") & (F.coalesce("_usable", F.lit(0)) == 0), NO_METRICS).alias("error"))
+    return files, rows
+
+
+def _field(column: str, default: Column | None = None) -> Column:
+    """Value of a field in a row of :func:`scan_uploads`; the default where the file has no such column."""
+    def place(names, name):
+        return F.nullif(F.array_position(names, name).cast("int"), F.lit(0))
+
+    low = F.transform("names", lambda n: F.lower(n))
+    at = F.coalesce(*[p for n in UPLOAD_NAMES.get(column, [column]) for p in (place(F.col("names"), n), place(low, n.lower()))])
+    value = F.get("vals", at - 1)
+    return value if default is None else F.when(at.isNull(), default).otherwise(value)
+
+
+def _numeric(column: str) -> Column:
+    return E.to_double(_field(column))
+
+
+def _stem() -> Column:
+    return F.regexp_replace("source_file", r"\.[^.]*$", "")
+
+
+def upload_long(files: DataFrame, rows: DataFrame) -> DataFrame:
+    """Records of the long files that can be used, in the columns of all raw sources, with the defaults of an upload."""
+    good = files.where("layout = 'long' AND error IS NULL").select("path")
+    raw = _field("question_raw")
+    defaults = {"source_file": F.col("source_file"), "source_type": F.lit("upload"), "test_id": _stem(), "question_code": raw,
+                "question_text": raw, "question_type": F.lit("other")}
+
+    def column(f: T.StructField) -> Column:
+        if f.dataType == T.DoubleType():
+            return _numeric(f.name)
+        value = _field(f.name, defaults.get(f.name))
+        return value.try_cast("boolean") if f.dataType == T.BooleanType() else value
+
+    return rows.where("layout = 'long'").join(good, "path", "left_semi").select(*[column(f).alias(f.name) for f in S.RAW.fields])
+
+
+def upload_wide(rows: DataFrame, ids: list[str], cols: list[str]) -> DataFrame:
+    """Rows of the wide files: ``ids`` as text (test_id and source_file by default from the file's name) and ``cols`` as
+    numbers, null where a file has no such column."""
+    defaults = {"source_file": F.col("source_file"), "test_id": _stem()}
+    return rows.where("layout = 'wide'").select(*[_field(c, defaults.get(c)).alias(c) for c in ids], *[_numeric(c).alias(c) for c in cols])
+
+
 def read_feedback(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, S.FEEDBACK)
 
