@@ -463,11 +463,6 @@ def q_train_extra_trees(spark, sf):
     return _fit_predict(spark, sf, ML.build_models()[2])
 
 
-@register("train_extra_trees_wide")
-def q_train_extra_trees_wide(spark, sf):
-    return _fit_predict(spark, sf, ML.build_models()[3])
-
-
 def member_weights(spark, sf):
     return M.ensemble_members(M.rank_models(model_table(spark, sf))).select("model", "weight")
 
