@@ -292,3 +292,22 @@ def test_gradients_equal_finite_differences(monkeypatch):
             down = loss(p)
             flat[i] = keep
             assert (up - down) / (2 * step) == pytest.approx(g[i], rel=1e-4, abs=1e-6), k
+
+
+def test_scoring_shares_outputs_between_windows(monkeypatch):
+    """Blocks of output, and states without what training keeps, give the same likelihoods."""
+    from veracity.llm import gru_lm as G
+    rng = np.random.default_rng(6)
+    n = G.CLASSES * G.MEMBERS
+    p = G.start_parameters(rng.random(G.CLASSES + 1) + 1, rng.random((G.CLASSES, G.MEMBERS)) + 1)
+    p = {k: (v + rng.normal(0, 0.1, v.shape)).astype(np.float32) for k, v in p.items()}
+    ids, offsets = rng.integers(0, n + 1, 700), np.array([0, 500, 501, 600, 700])
+    previous, token, fresh, _ = next(G.windows(ids, offsets, 3, 40))
+    h = np.zeros((token.shape[1], G.HIDDEN), np.float32)
+    assert (G.forward(p, previous, fresh, h)[0] == G.forward(p, previous, fresh, h, save=False)[0]).all()
+    calls, whole = [], G.output
+    monkeypatch.setattr(G, "output", lambda *a: calls.append(len(a[2])) or whole(*a))
+    one = G.log_likelihood(p, ids, offsets)
+    assert calls == [700]  # one output, though the longest document has many windows
+    monkeypatch.setattr(G, "BLOCK", 1)
+    assert np.allclose(one, G.log_likelihood(p, ids, offsets), rtol=1e-5) and len(calls) > 10

@@ -43,6 +43,8 @@ from veracity.llm.shared import batches_by_bytes, cut, id_remainder, released, w
 CLASSES, MEMBERS, HIDDEN = 32, 96, 16
 HEAD, ROUNDS, WINDOW, LANES, RATE = 200_000, 2, 32, 256, 0.3
 SCORE_LANES, BATCH = 512, 8_000_000
+#: Bytes of text scored together (the more documents, the fuller the lanes beside the longest), and tokens whose output is computed at once.
+SCORE_BATCH, BLOCK = 16_000_000, 8192
 END = np.uint64(0)  # stands for the end token; no word hashes to it in practice
 _F = np.float32
 
@@ -69,38 +71,44 @@ def start_parameters(class_counts: np.ndarray, member_counts: np.ndarray, seed:
     return {k: v.astype(_F) for k, v in p.items()}
 
 
-def forward(p: dict, given: np.ndarray, fresh: np.ndarray, h: np.ndarray):
-    """States of a window. given: (steps, lanes) previous tokens; fresh: True where a document begins; h: carried state."""
-    steps, n = HIDDEN, len(given)
-    x = p["embed"][given] @ p["wx"]
-    x += p["b"]
-    keep = (~fresh).astype(_F)[:, :, None]
-    hs, before, gates = np.empty((n, *h.shape), _F), np.empty((n, *h.shape), _F), np.empty((n, h.shape[0], 4 * steps), _F)
+def forward(p: dict, given: np.ndarray, fresh: np.ndarray, h: np.ndarray, save: bool = True):
+    """States of a window. given: (steps, lanes) previous tokens; fresh: True where a document begins; h: carried state.
+
+    Inside, lanes lie last: a gate of all lanes is one block of memory. ``save`` keeps what :func:`backward` needs."""
+    k, (n, lanes) = HIDDEN, given.shape
+    half = np.repeat(np.array([0.5, 1], _F), [2 * k, k])[:, None]  # the logistic function is a tanh of half its argument
+    wx, wh = p["wx"].T * half, p["wh"].T * half
+    gates = wx @ p["embed"][given].transpose(0, 2, 1)
+    gates += p["b"][:, None] * half
+    keep, begins = (~fresh).astype(_F)[:, None, :], fresh.any(axis=1)
+    hs, before = np.empty((n, k, lanes), _F), np.empty((n, k, lanes), _F) if save else None
+    us = np.empty((n if save else 1, 3 * k, lanes), _F)
+    h = np.ascontiguousarray(h.T)
     for t in range(n):
-        h = h * keep[t]
-        before[t] = h
-        u = h @ p["wh"]
-        a = x[t]
-        rz = a[:, : 2 * steps] + u[:, : 2 * steps]
-        rz *= _F(0.5)  # the logistic function in place
+        if begins[t]:
+            h = h * keep[t]
+        if save:
+            before[t] = h
+        u = np.matmul(wh, h, out=us[t if save else 0])
+        rz, c = gates[t, : 2 * k], gates[t, 2 * k:]
+        rz += u[: 2 * k]
         np.tanh(rz, out=rz)
         rz += _F(1)
         rz *= _F(0.5)
-        r, z = rz[:, :steps], rz[:, steps:]
-        un = u[:, 2 * steps:]
-        c = np.tanh(a[:, 2 * steps:] + r * un)
-        h = c + z * (h - c)
-        hs[t] = h
-        gates[t, :, : 2 * steps], gates[t, :, 2 * steps: 3 * steps], gates[t, :, 3 * steps:] = rz, c, un
-    return hs, (before, gates, keep), h
+        c += rz[:k] * u[2 * k:]
+        np.tanh(c, out=c)
+        h = np.subtract(h, c, out=hs[t])
+        h *= rz[k:]
+        h += c
+    hs = np.ascontiguousarray(hs.transpose(0, 2, 1))
+    return hs, (before, gates, us, keep, begins), hs[-1]
 
 
 def _exp(h: np.ndarray, weights: np.ndarray, bias: np.ndarray, rows: np.ndarray, at: np.ndarray):
     """(exp of the clipped scores, the scores at (rows, at)); one buffer, as new large ones cost more than the arithmetic."""
     z = h @ weights
     z += bias
-    np.maximum(z, _F(-60), out=z)  # keeps exp finite without a row maximum
-    np.minimum(z, _F(60), out=z)
+    np.clip(z, _F(-60), _F(60), out=z)  # keeps exp finite without a row maximum
     own = z[rows, at]
     return np.exp(z, out=z), own
 
@@ -119,7 +127,7 @@ def output(p: dict, hs: np.ndarray, token: np.ndarray, grads: dict | None = None
         grads["wc"] += hs.T @ e
         grads["bc"] += e.sum(axis=0)
         dh = e @ p["wc"].T
-    order = np.argsort(cls, kind="stable")
+    order = np.argsort(cls.astype(np.uint8), kind="stable")  # small numbers are sorted in linear time
     ends = np.searchsorted(cls[order], np.arange(CLASSES + 1))
     for c in np.flatnonzero(np.diff(ends)):
         own = order[ends[c]: ends[c + 1]]
@@ -139,33 +147,32 @@ def output(p: dict, hs: np.ndarray, token: np.ndarray, grads: dict | None = None
 
 def backward(p: dict, grads: dict, given: np.ndarray, saved, dhs: np.ndarray) -> None:
     """Adds the gradients of the recurrent part; dhs: gradient of each state from the output."""
-    before, gates, keep = saved
-    k = HIDDEN
-    dx = np.empty((*given.shape, 3 * k), _F)
-    du_all = np.empty_like(dx)
+    before, gates, us, keep, begins = saved
+    k, n = HIDDEN, len(given)
+    r, z, c, un = gates[:, :k], gates[:, k: 2 * k], gates[:, 2 * k:], us[:, 2 * k:]
+    dx, du = np.empty_like(gates), np.empty_like(gates)
+    down = np.ascontiguousarray(dhs.transpose(0, 2, 1))
     dh = np.zeros_like(before[0])
-    r, z, c, un = (gates[:, :, i * k: (i + 1) * k] for i in range(4))
     # slopes that do not depend on the gradient, for the whole window at once
-    to_c, to_z, to_r = (1 - z) * (1 - c * c), (before - c) * z * (1 - z), un * r * (1 - r)
-    back = np.ascontiguousarray(p["wh"].T)
-    for t in range(len(given) - 1, -1, -1):
-        dh += dhs[t]
-        dr, dz, dc = (dx[t, :, i * k: (i + 1) * k] for i in range(3))
-        np.multiply(dh, to_z[t], out=dz)
-        np.multiply(dh, to_c[t], out=dc)
-        np.multiply(dc, to_r[t], out=dr)
-        du = du_all[t]
-        du[:, : 2 * k] = dx[t, :, : 2 * k]
-        np.multiply(dc, r[t], out=du[:, 2 * k:])
+    rest = 1 - z
+    to_c, to_z, to_r = rest * (1 - c * c), (before - c) * z * rest, un * r * (1 - r)
+    for t in range(n - 1, -1, -1):
+        dh += down[t]
+        dc = np.multiply(dh, to_c[t], out=dx[t, 2 * k:])
+        np.multiply(dh, to_z[t], out=dx[t, k: 2 * k])
+        np.multiply(dc, to_r[t], out=dx[t, :k])
+        du[t, : 2 * k] = dx[t, : 2 * k]
+        np.multiply(dc, r[t], out=du[t, 2 * k:])
         dh *= z[t]
-        dh += du @ back
-        dh *= keep[t]
-    flat, x = dx.reshape(-1, 3 * k), given.reshape(-1)
+        dh += p["wh"] @ du[t]
+        if begins[t]:
+            dh *= keep[t]
+    flat, x = dx.transpose(0, 2, 1).reshape(-1, 3 * k), given.reshape(-1)
     grads["wx"] += p["embed"][x].T @ flat
     grads["b"] += flat.sum(axis=0)
-    grads["wh"] += before.reshape(-1, k).T @ du_all.reshape(-1, 3 * k)
+    grads["wh"] += before.transpose(0, 2, 1).reshape(-1, k).T @ du.transpose(0, 2, 1).reshape(-1, 3 * k)
     into = flat @ p["wx"].T
-    order = np.argsort(x, kind="stable")
+    order = np.argsort(x.astype(np.uint16), kind="stable")
     first = np.flatnonzero(np.append(True, x[order][1:] != x[order][:-1]))
     grads["embed"][x[order][first]] += np.add.reduceat(into[order], first, axis=0)
 
@@ -233,12 +240,25 @@ class Trainer:
 def log_likelihood(p: dict, ids: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sum of natural log-probabilities of each document; the state is carried across windows."""
     out = np.zeros(len(ids))
-    h = None
+    h, held, waiting = None, [], 0
+
+    def put():  # windows of few lanes share one output
+        states, tokens, places = (np.concatenate(v) for v in zip(*held))
+        out[places] = output(p, states, tokens)[0]
+        held.clear()
+
     for previous, token, fresh, at in windows(ids, offsets, SCORE_LANES):
         h = np.zeros((token.shape[1], HIDDEN), _F) if h is None else h[: token.shape[1]]
-        hs, _, h = forward(p, previous, fresh, h)
-        real = at.reshape(-1) >= 0
-        out[at.reshape(-1)[real]] = output(p, hs.reshape(-1, HIDDEN)[real], token.reshape(-1)[real])[0]
+        hs, _, h = forward(p, previous, fresh, h, save=False)
+        at = at.reshape(-1)
+        real = at >= 0
+        held.append((hs.reshape(-1, HIDDEN)[real], token.reshape(-1)[real], at[real]))
+        waiting += len(held[-1][2])
+        if waiting >= BLOCK:
+            put()
+            waiting = 0
+    if held:
+        put()
     return np.add.reduceat(out, offsets[:-1]) if len(offsets) > 1 else np.empty(0)
 
 
@@ -390,7 +410,7 @@ def _scorer(shared):
         row = TaskContext.get().partitionId() << 36
         for batch in batches:
             texts = batch.column(2).to_pylist()
-            for a, b in batches_by_bytes(texts, BATCH):
+            for a, b in batches_by_bytes(texts, SCORE_BATCH):
                 tokens, offsets = tokens_of(texts[a:b])
                 slots, counts = vocab.look(tokens)
                 base = np.log10((np.maximum(counts, 0) + 0.5) / vocab.mass)
