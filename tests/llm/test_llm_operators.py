@@ -386,6 +386,93 @@ def test_no_link_is_missed_on_concentrated_vectors(dim, spread):
     assert visited[a, cell[b]].all() and visited[b, cell[a]].all()
 
 
+def test_vectors_are_sent_by_tile_and_not_by_cell(spark, monkeypatch):
+    """A vector is dealt out once for each tile of its label, however many cells it visits, and tiles change no result."""
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(4000, 8))
+    x[2000:] = x[:2000] + rng.normal(0, 0.1, (2000, 8)) * (np.arange(2000) % 2)[:, None]
+    x[3990:] = x[0]
+    label = np.where(np.arange(4000) % 2000 < 1700, 0, 1)
+    table = spark.createDataFrame([(i, v.tolist(), int(k)) for i, (v, k) in enumerate(zip(x.astype(np.float32), label))],
+                                  "vec_id long, embedding array<float>, label int").repartition(3)
+    u = x.astype(np.float32).astype(float)
+    u /= np.linalg.norm(u, axis=1)[:, None]
+    hit = (u @ u.T >= 0.93) & (label[:, None] == label[None, :])
+    want = groups(range(4000), list(zip(*np.nonzero(np.triu(hit, 1)))))
+    sent = spark.sparkContext.accumulator(0)
+    verify = multi_index._verify
+
+    def counted(*args):
+        run = verify(*args)
+
+        def task(batches):
+            def seen():
+                for b in batches:
+                    sent.add(b.num_rows)
+                    yield b
+            return run(seen())
+        return task
+    monkeypatch.setattr(multi_index, "_verify", counted)
+    monkeypatch.setattr(multi_index, "VISITORS", 50)
+    monkeypatch.setattr(multi_index, "RESIDENTS", 70)
+    for least in (4000, 400):
+        monkeypatch.setattr(multi_index, "LEAST", least)
+        before = sent.value
+        got = {r["vec_id"]: r for r in rows(multi_index.near_duplicates(table))}
+        n = len(np.unique(np.concatenate([u, label[:, None]], axis=1), axis=0))
+        room = min(multi_index.TILE, max(least, n // multi_index.SHARE))
+        tiles = [-(-len(np.unique(u[label == k], axis=0)) // room) for k in (0, 1)]
+        assert sent.value - before == sum(t * len(np.unique(u[label == k], axis=0)) for t, k in zip(tiles, (0, 1)))
+        assert (tiles[0] > 3) == (least == 400)
+        assert all(got[i]["n_links"] == hit[i].sum() - 1 and got[i]["component_id"] == want[i] for i in range(4000))
+
+
+def test_links_are_found_in_any_number_of_partitions(spark):
+    rng = np.random.default_rng(13)
+    x = rng.normal(size=(600, 16))
+    x[300:] = x[:300] + rng.normal(0, 0.05, (300, 16))
+    table = spark.createDataFrame([(i, v.tolist(), i % 3) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    kept = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = {r["vec_id"]: r for r in rows(multi_index.near_duplicates(table))}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", kept)
+    assert all(got[i]["n_links"] == 1 and got[i]["component_id"] == i % 300 for i in range(600))
+
+
+def test_single_precision_decides_nothing_near_the_threshold():
+    """Pairs within the rounding of single precision are settled in double precision, beyond and below the threshold."""
+    a = np.zeros((1, 64))
+    a[0, 0] = 1.0
+    c = 0.93 + np.array([-1e-9, 1e-9, -1e-12, 1e-12, 0.01, -0.01])
+    b = np.zeros((6, 64))
+    b[:, 0], b[:, 1] = c, np.sqrt(1 - c * c)
+    rep = pa.array(np.arange(1, 8))
+    batch = pa.record_batch([pa.array([0] * 7), pa.array([64] * 7, pa.int32()), *[pa.array([0] * 7, pa.int32())] * 4, rep, pa.array([1] * 7),
+                             pa.array([v.tobytes() for v in np.concatenate([a, b])], pa.binary())],
+                            names=["label", "dim", "i", "j", "side", "cell", "rep", "n", "v"])
+    out = pa.Table.from_batches(multi_index._verify({}, 0.93, np.float64)(iter([batch.slice(0, 3), batch.slice(3)]))).to_pylist()
+    links = {r["u"]: r["links"] for r in out if r["links"]}
+    u = np.concatenate([a, b])
+    u /= np.linalg.norm(u, axis=1)[:, None]
+    linked = u @ u.T >= 0.93
+    assert links == {i + 1: n - 1 for i, n in enumerate(linked.sum(axis=1)) if n > 1}
+    assert [bool(x) for x in linked[0, 1:]] == [False, True, False, True, True, False]
+    assert all(r["u"] > r["v"] or r["links"] for r in out)
+
+
+def test_odd_vectors_become_bytes():
+    lists = pa.array([[1.0, -0.0], None, [], [0.0, 0.0], [float("nan"), 1.0], [1.0, None], [2.0, 3.0], [4.0]], pa.list_(pa.float32()))
+    batch = pa.record_batch([pa.array(range(8)), lists, pa.array([1, 1, 1, 1, 1, 1, None, 2], pa.int64())], names=["vec_id", "embedding", "label"])
+    for part, first in ((batch, 0), (batch.slice(3), 3)):
+        for kind in (np.float32, np.float64):
+            got = next(multi_index._valid(kind)(iter([part]))).to_pylist()
+            good = {0: [1.0, 0.0], 7: [4.0]}
+            assert [r["v"] for r in got] == [np.array(good[i], kind).tobytes() if i in good else None for i in range(first, 8)]
+            assert [r["dim"] for r in got] == [len(good.get(i, [])) for i in range(first, 8)]
+
+
 # ---------------------------------------------------------------- 9 SuperMinHash
 def test_signature_estimates():
     rng = np.random.default_rng(4)
